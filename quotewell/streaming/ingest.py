@@ -12,6 +12,14 @@ from pyspark.sql import types as T
 from quotewell.sources.readers import feed_of_file, normalize
 from quotewell.sources.schemas import FEEDS
 
+# Name patterns of the new format, so that each feed lists only
+# its own files (the old format spells names in any case; there the name test
+# alone decides).
+NEW_PATTERNS = {
+    "snap": "*snap_spot*", "snap_level": "*snap_level*", "index": "*index*",
+    "order": "*order*", "trade": "*trade*",
+}
+
 
 def ready_days(spark: SparkSession, root: str, marker: str = "ok") -> list[str]:
     """Day folders below ``root`` that hold the marker file: a listing, nothing
@@ -79,6 +87,6 @@ def ingest_feeds(spark: SparkSession, root: str, targets: Mapping[str, str], che
 
         ingest_available(
             spark, f"{root}/{{{','.join(days)}}}/*", FEEDS[fmt][feed], f"{checkpoint}/{feed}", route,
-            options={"sep": sep},
+            options={"sep": sep, **({"pathGlobFilter": NEW_PATTERNS[feed]} if fmt == "new" else {})},
         )
     return days
