@@ -239,3 +239,12 @@ select cast(ts as date) as trade_date, case when status = 'P' then null when pri
        case when status = 'F' then '' else 'desk' end as desk,
        case when priority = '2' then 'NaN' else cast(qty as string) end as total
 from {order_base}"""
+
+# the events as trades: thirty days, so thirty partitions where a table is stored
+INPUTS["raw_trade_ticks"] = """
+select lpad(cast(user_id as string), 6, '0') as securityid, <<TS17 ts>> as origtime, 'M5' as mdstreamid,
+       event_id as applseqnum, mod(event_id * 7, 1000) as bidapplseqnum, mod(event_id * 3, 1000) as offerapplseqnum,
+       case when event_type = 'error' then '4' else 'F' end as exectype,
+       case when event_type = 'click' then 0.0 else value end as price, cast(floor(value * 3) as bigint) as tradeqty
+from {events}"""
+_plain("sql_trade_ticks", "select * from {raw_trade_ticks}", _stamp17("origtime"), _clock17("origtime"))

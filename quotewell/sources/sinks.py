@@ -24,6 +24,15 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def as_stored(df: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """``df`` with the stored table's column types, so that all partitions of a
+    table keep one schema. Columns the table does not have yet stay as they are."""
+    if stored is None:
+        return df
+    types = {f.name: f.dataType for f in stored.schema.fields}
+    return df.withColumns({c: F.col(c).cast(types[c]) for c in df.columns if c in types})
+
+
 def replace_partition(df: DataFrame, path: str, partition: str = DAY,
                       sort: Sequence[str] = ()) -> None:
     """Overwrites exactly the partitions ``df`` holds. The rebalance hint sizes
@@ -43,7 +52,7 @@ def replace_range(df: DataFrame, path: str, lo, hi, partition: str = "data_dt")
     spark = df.sparkSession
     inside = F.col(partition).between(as_date(lo), as_date(hi))
     old = read_if_exists(spark, path)
-    fresh = df.where(inside)
+    fresh = as_stored(df.where(inside), old)
     if old is None:
         return replace_partition(fresh, path, partition)
     gone = (
@@ -73,8 +82,9 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column
     are read and rewritten. ``dry_run`` writes nothing and returns one row."""
     if dry_run:
         return df.limit(1)
-    new = keep_latest(df, keys, list(order) or [F.lit(1)]).withColumn("_new", F.lit(1))
     old = read_if_exists(df.sparkSession, path)
+    df = as_stored(df, old)
+    new = keep_latest(df, keys, list(order) or [F.lit(1)]).withColumn("_new", F.lit(1))
     if old is not None:
         touched = old.join(df.select(partition).distinct(), partition, "left_semi")
         both = touched.withColumn("_new", F.lit(0)).unionByName(new, allowMissingColumns=True)
@@ -88,6 +98,7 @@ def upsert_columns(changes: DataFrame, path: str, keys: Sequence[str], columns:
     """Sets some columns of rows already stored; keys not stored are ignored."""
     days = changes.select(partition).distinct()
     stored = changes.sparkSession.read.parquet(path).join(days, partition, "left_semi")
+    changes = as_stored(changes, stored)
     on = list(dict.fromkeys([partition, *keys]))
     replace_partition(partial_upsert(stored, changes, on, columns), path, partition, keys)
 
