@@ -14,15 +14,19 @@ BASE = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+_DAY = "replace(cast(cast({0} as date) as string), '-', '')"
+_CLOCK = ("hour({0}) * 10000000L + minute({0}) * 100000L + "
+          "cast(floor(extract(second from {0}) * 1000) as bigint)")
+
 # The few places where the two dialects differ: <<NAME arg ; arg>>.
 _DIALECT = {
     "spark": {
-        "ADDSEC": "({0} + make_dt_interval(0, 0, 0, {1}))",
+        "ADDSEC": "({0} + interval '1' second * {1})",
         "ISODOW": "(weekday({0}) + 1)",
-        "CLOCK": "(hour({0}) * 10000000L + minute({0}) * 100000L + cast(floor(extract(second from {0}) * 1000) as bigint))",
-        "TS17": "date_format({0}, 'yyyyMMddHHmmssSSS')",
-        "TS14": "date_format({0}, 'yyyyMMddHHmmss')",
-        "DAY8": "date_format({0}, 'yyyyMMdd')",
+        "CLOCK": f"({_CLOCK})",
+        "TS17": f"concat({_DAY}, lpad(cast({_CLOCK} as string), 9, '0'))",
+        "TS14": f"concat({_DAY}, substring(lpad(cast({_CLOCK} as string), 9, '0'), 1, 6))",
+        "DAY8": _DAY,
     },
     "duckdb": {
         "ADDSEC": "({0} + to_seconds({1}))",

@@ -19,15 +19,14 @@ def _wall(date8: Column, clock9: Column) -> Column:
     """yyyyMMdd text and HHmmssSSS text -> timestamp_ntz, null when not a time."""
 
     def part(c: Column, start: int, length: int) -> Column:
-        return F.substring(c, start, length).try_cast("int")
-
-    seconds = F.concat_ws(
-        ".", F.substring(clock9, 5, 2), F.substring(clock9, 7, 3)
-    ).try_cast("decimal(8,6)")
-    return F.try_make_timestamp_ntz(
-        part(date8, 1, 4), part(date8, 5, 2), part(date8, 7, 2),
-        part(clock9, 1, 2), part(clock9, 3, 2), seconds,
+        return F.substring(c, start, length)
+
+    text = F.concat(
+        part(date8, 1, 4), F.lit("-"), part(date8, 5, 2), F.lit("-"), part(date8, 7, 2), F.lit(" "),
+        part(clock9, 1, 2), F.lit(":"), part(clock9, 3, 2), F.lit(":"), part(clock9, 5, 2), F.lit("."),
+        part(clock9, 7, 3),
     )
+    return text.try_cast("timestamp_ntz")
 
 
 def parse_ts17(c: Column) -> Column:
@@ -50,18 +49,42 @@ def parse_ts14(c: Column) -> Column:
     return _wall(F.substring(c, 1, 8), F.concat(F.substring(c, 9, 6), F.lit("000")))
 
 
+def _clock16(c: Column, cs_as_ms: bool) -> Column:
+    tail = F.substring(c, 15, 2)
+    millis = F.lpad(tail, 3, "0") if cs_as_ms else F.rpad(tail, 3, "0")
+    return F.concat(F.substring(c, 9, 6), millis)
+
+
 def parse_ts16(c: Column, cs_as_ms: bool = True) -> Column:
     """'yyyyMMddHHmmss' plus two digits. The two digits count milliseconds by
     default; ``cs_as_ms=False`` reads them as hundredths of a second."""
-    tail = F.substring(c, 15, 2)
-    millis = F.lpad(tail, 3, "0") if cs_as_ms else F.rpad(tail, 3, "0")
-    return _wall(F.substring(c, 1, 8), F.concat(F.substring(c, 9, 6), millis))
+    return _wall(F.substring(c, 1, 8), _clock16(c, cs_as_ms))
+
+
+def text_clock16(c: Column, cs_as_ms: bool = True) -> Column:
+    return _clock16(c, cs_as_ms).try_cast("bigint")
+
+
+def text_clock(c: Column) -> Column:
+    """HHmmssSSS number straight from 'yyyyMMddHHmmss[SSS]' text: cheap to
+    filter on, since nothing has to be parsed as a time."""
+    return F.rpad(F.substring(c, 9, 9), 9, "0").try_cast("bigint")
+
+
+def text_day(c: Column) -> Column:
+    """Date from text that starts with yyyyMMdd."""
+    return F.concat_ws(
+        "-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2)
+    ).try_cast("date")
 
 
 def clock_number(ts: Column) -> Column:
     """HHmmssSSS as a number: the form session bounds are written in."""
-    ms = F.floor(F.date_part(F.lit("SECOND"), ts) * 1000).cast("bigint")
-    return F.hour(ts) * F.lit(10000000).cast("bigint") + F.minute(ts) * 100000 + ms
+    return F.hour(ts) * F.lit(10000000).cast("bigint") + F.minute(ts) * 100000 + _second_ms(ts)
+
+
+def _second_ms(ts: Column) -> Column:
+    return F.floor(F.date_part(F.lit("SECOND"), ts) * 1000).cast("bigint")
 
 
 def in_sessions(clock: Column, sessions=FULL_SESSIONS) -> Column:
@@ -71,17 +94,19 @@ def in_sessions(clock: Column, sessions=FULL_SESSIONS) -> Column:
     return hit
 
 
-def in_window(ts: Column, start: str, end: str) -> Column:
+def in_window(clock: Column, start: str, end: str) -> Column:
     """Caller's own clock window, bounds as HHmmssSSS text, inclusive."""
-    return clock_number(ts).between(int(start), int(end))
+    return clock.between(int(start), int(end))
 
 
 def epoch_ms(ts: Column, zone: str = "UTC") -> Column:
     """Milliseconds since 1970 of a wall-clock time in ``zone`` (floored)."""
     if zone != "UTC":
         ts = F.convert_timezone(F.lit(zone), F.lit("UTC"), ts)
-    origin = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    return F.floor(F.timestamp_diff("MICROSECOND", origin, ts) / F.lit(1000)).cast("bigint")
+    # calendar parts only: these read the wall clock as it is, whatever the
+    # session time zone
+    day = F.unix_date(F.to_date(ts)).cast("bigint") * 86400000
+    return day + F.hour(ts) * 3600000 + F.minute(ts) * 60000 + _second_ms(ts)
 
 
 def from_epoch_ms(ms: Column, zone: str = "UTC") -> Column:
@@ -121,7 +146,7 @@ def previous_month_end(day) -> Column:
 
 
 def date8(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd")
+    return F.replace(day.cast("string"), F.lit("-"), F.lit(""))
 
 
 def asof_valid(df: DataFrame, day, begin: str = "bgn_dt", end: str = "end_dt") -> DataFrame:

@@ -155,7 +155,7 @@ def count_rows(df: DataFrame, rules: Mapping[str, Column], detail: bool = False)
     return _finish(tall, detail)
 
 
-def breaks(
+def _scored(
     df: DataFrame,
     order: Sequence[str],
     falls: Mapping[str, float] | Sequence[str] = (),
@@ -167,8 +167,8 @@ def breaks(
     keep: Sequence[str] = (),
     rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
-    """Rows that break an ordering against the previous row of their key, with
-    ``n``: the number of copies of the row that do.
+    """Every distinct row with ``n``: how many of its copies break an ordering
+    against the previous row of their key.
 
     falls       column must not be below the previous value (a mapping gives
                 the drop that is still tolerated)
@@ -206,24 +206,25 @@ def breaks(
     if equal_breaks:
         known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in not_rising])
         again = F.when(known, again).otherwise(0)
-    return (
-        prev.withColumn("n", F.when(first, 1).otherwise(0) + again)
-        .where("n > 0")
-        .drop(COPIES, *[f"_prev_{c}" for c in dict.fromkeys(watched)])
+    return prev.withColumn("n", F.when(first, 1).otherwise(0) + again).drop(
+        COPIES, *[f"_prev_{c}" for c in dict.fromkeys(watched)]
     )
 
 
+def breaks(df: DataFrame, order: Sequence[str], **conditions) -> DataFrame:
+    """The distinct rows that break an ordering (conditions as in ``_scored``)."""
+    return _scored(df, order, **conditions).where("n > 0")
+
+
 def count_breaks(df: DataFrame, rule: str, order: Sequence[str], sessions=None,
-                 detail: bool = False, **kwargs) -> DataFrame:
-    """``breaks`` counted per day. ``sessions`` filters the offending rows, not
-    the rows they are compared with. Days without a break report 0."""
-    bad = breaks(df, order, keep=["clock"] if sessions else [], **kwargs)
+                 detail: bool = False, **conditions) -> DataFrame:
+    """Ordering breaks counted per day. ``sessions`` filters the offending rows,
+    not the rows they are compared with. Days without a break report 0."""
+    rows = _scored(df, order, keep=["clock"] if sessions else [], **conditions)
+    n = F.col("n")
     if sessions:
-        bad = bad.where(in_sessions(F.col("clock"), sessions))
-    counted = bad.groupBy(*_group(detail)).agg(F.sum("n").alias("n"))
-    if not detail:
-        days = df.select(DAY).distinct()
-        counted = days.join(counted, DAY, "left").fillna(0, ["n"])
+        n = F.when(in_sessions(F.col("clock"), sessions), n).otherwise(0)
+    counted = rows.groupBy(*_group(detail)).agg(F.sum(n).alias("n"))
     return _finish(counted.withColumn("rule", F.lit(rule)), detail)
 
 
@@ -272,11 +273,11 @@ def missing_reference(trades: DataFrame, orders: DataFrame, bid: str = "bidappls
         DAY, F.explode(F.array(F.col(bid).cast("bigint"), F.col(offer).cast("bigint"))).alias(seq)
     ).where(F.col(seq) != 0).distinct()
     known = orders.select(DAY, F.col(seq).cast("bigint").alias(seq))
-    lost = missing_from(named, known, [DAY, seq]).groupBy(DAY).agg(F.count("*").alias("n"))
-    days = trades.select(DAY).distinct()
-    return _finish(
-        days.join(lost, DAY, "left").fillna(0, ["n"]).withColumn("rule", F.lit(rule)), False
-    )
+    lost = missing_from(named, known, [DAY, seq]).select(DAY, F.lit(1).alias("n"))
+    # a zero per day keeps days without a break in the report
+    days = trades.select(DAY, F.lit(0).alias("n"))
+    counted = days.unionByName(lost).groupBy(DAY).agg(F.sum("n").alias("n"))
+    return _finish(counted.withColumn("rule", F.lit(rule)), False)
 
 
 def blank_cells(df: DataFrame, columns: Sequence[str], detail: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from quotewell.functions import codes
 from quotewell.functions.arrays import nonzero_list, pipe_list
 from quotewell.functions.keys import row_key
 from quotewell.functions.numbers import drop_dash, drop_null_word, trade_money, whole_part
-from quotewell.functions.times import in_window
+from quotewell.functions.times import date8, in_window
 from quotewell.operators.copies import with_row_number
 from quotewell.sources.schemas import DEPTH, QUEUE
 
@@ -65,7 +65,7 @@ def _common(df: DataFrame, record: str, exchange: str, zone: str, id_column: str
         F.col(DAY),
         F.col("ts"),
         row_key(full, F.col("ts"), seq, zone).alias("row_key"),
-        F.date_format(DAY, "yyyyMMdd").alias("MDDate"),
+        date8(F.col(DAY)).alias("MDDate"),
         F.lpad(F.col("clock").cast("string"), 9, "0").alias("MDTime"),
         F.col(SECURITY).alias("SecurityID"),
         full.alias(id_column),
@@ -174,7 +174,7 @@ def publish_index(df: DataFrame, products: DataFrame, fmt: str = "new",
 
 
 def _windowed(df: DataFrame, window: tuple[str, str] | None) -> DataFrame:
-    return df if window is None else df.where(in_window(F.col("ts"), *window))
+    return df if window is None else df.where(in_window(F.col("clock"), *window))
 
 
 def publish_orders(df: DataFrame, products: DataFrame, fmt: str = "new", side_mode: str = "store",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.functions import codes
@@ -22,6 +22,11 @@ KEYS = {
 }
 
 
+def _clock(df: DataFrame) -> Column:
+    """The stored clock where there is one, else the clock of ts."""
+    return F.col("clock") if "clock" in df.columns else clock_number(F.col("ts"))
+
+
 def key_counts(files: DataFrame, store: DataFrame, keys: Sequence[str], sessions=None,
                scope: str = "file_securities", security: str = SECURITY) -> DataFrame:
     """How often each key occurs on either side: (keys..., n_file, n_store).
@@ -32,7 +37,7 @@ def key_counts(files: DataFrame, store: DataFrame, keys: Sequence[str], sessions
     securities the files do not mention.
     """
     if sessions is not None:
-        files, store = (x.where(in_sessions(clock_number(F.col("ts")), sessions)) for x in (files, store))
+        files, store = (x.where(in_sessions(_clock(x), sessions)) for x in (files, store))
     if scope == "file_securities":
         store = store.join(files.select(security).distinct(), security, "left_semi")
     side = [

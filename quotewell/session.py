@@ -18,6 +18,10 @@ ADAPTIVE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8,000 bytecodes. Wide publish rows
+    # produce larger ones when fused into one stage; below this limit Spark
+    # generates each operator on its own instead and the JVM compiles them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -60,34 +60,36 @@ def _numeric_sh(df: DataFrame) -> DataFrame:
 def normalize(df: DataFrame, feed: str, fmt: str = "new", cs_as_ms: bool = True) -> DataFrame:
     """A raw feed with new-format column names plus trade_date, ts
     (timestamp_ntz) and clock (HHmmssSSS number). Header-marker rows go."""
+    # clock and trade_date come from the text, not from ts: filters on them are
+    # pushed to the scan and must stay cheap there
     if fmt == "new":
-        ts = times.parse_ts17(F.col("origtime"))
-        out = df.withColumn("ts", ts)
+        stamp = F.col("origtime")
+        out = df.withColumn("ts", times.parse_ts17(stamp))
         if feed == "index":
             out = out.withColumn("lowpx", F.col("lowpx").try_cast("double"))
+        clock = times.text_clock(stamp)
     elif fmt == "old":
-        raw = _OLD_CLOCK[feed]
-        out = df.withColumn("ts", times.parse_day_clock(F.substring("tradedate", 1, 8), F.col(raw)))
+        raw, stamp = F.col(_OLD_CLOCK[feed]), F.col("tradedate")
+        out = df.withColumn("ts", times.parse_day_clock(F.substring(stamp, 1, 8), raw))
         out = out.withColumnsRenamed(_RENAMES.get(("old", feed), {}))
         if feed == "trade":
             out = out.withColumns({
                 c: F.trim(c).try_cast("bigint") for c in ("bidapplseqnum", "offerapplseqnum")
             })
-        return out.withColumns({
-            "clock": F.col(raw).cast("bigint"), "trade_date": F.to_date("ts"),
-        })
+        clock = raw.cast("bigint")
     elif fmt == "sh":
         df = df.where(F.col("securityid") != HEADER_MARK)
         if feed == "trade":
-            ts = times.parse_ts16(F.col("tradetime"), cs_as_ms)
+            stamp = F.col("tradetime")
+            ts = times.parse_ts16(stamp, cs_as_ms)
+            clock = times.text_clock16(stamp, cs_as_ms)
         else:
-            ts = times.parse_ts14(F.col("datetime"))
+            stamp = F.col("datetime")
+            ts, clock = times.parse_ts14(stamp), times.text_clock(stamp)
         out = _numeric_sh(df).withColumnsRenamed(_sh_book_names()).withColumn("ts", ts)
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    return out.withColumns({
-        "clock": times.clock_number(F.col("ts")), "trade_date": F.to_date("ts"),
-    })
+    return out.withColumns({"clock": clock, "trade_date": times.text_day(stamp)})
 
 
 def read_day(spark: SparkSession, path: str, day: str | None = None, end: str | None = None) -> DataFrame:
