@@ -187,6 +187,19 @@ select o.securityid, <<TS14 o.ts>> as datetime, {_TOTAL_TEXT} as preclosepx, {_T
 from {{order_base}} o join {{book_base}} b on o.seq = b.l_orderkey"""
 
 
+# --- the same feeds as stored tables hold them: time columns already typed -----
+
+for _feed in ("trade", "order", "index", "snap", "snap_level"):
+    for _suffix in ("", "_old"):
+        _sql = INPUTS[f"raw_{_feed}{_suffix}"]
+        _ts = "o.ts" if "o.ts" in _sql else "ts"
+        _stamp = f"<<TS17 {_ts}>> as origtime" if not _suffix else f"<<DAY8 {_ts}>> as tradedate"
+        assert _stamp in _sql
+        INPUTS[f"typed_{_feed}{_suffix}"] = _sql.replace(
+            _stamp, f"{_ts}, cast({_ts} as date) as trade_date, <<CLOCK {_ts}>> as clock, {_stamp}"
+        )
+
+
 # --- what the oracle side reads: the raw feeds in SQL, normalized ----------
 
 def _plain(name: str, source: str, ts: str, clock: str) -> None:

@@ -18,9 +18,16 @@ from quotewell.sources import readers, schemas
 KEY3 = ["securityid", "ts", "applseqnum"]
 
 
+def raw_feed(t, name: str, fmt: str = "new") -> DataFrame:
+    """A feed as its files hold it, parsed."""
+    return readers.normalize(t[f"raw_{name}" if fmt == "new" else f"raw_{name}_{fmt}"], name, fmt)
+
+
 def feed(t, name: str, fmt: str = "new") -> DataFrame:
-    raw = f"raw_{name}" if fmt == "new" else f"raw_{name}_{fmt}"
-    return readers.normalize(t[raw], name, fmt)
+    """A feed as its stored table holds it: times typed when it was loaded."""
+    if fmt == "sh":
+        return raw_feed(t, name, fmt)
+    return readers.typed_columns(t[f"typed_{name}" if fmt == "new" else f"typed_{name}_{fmt}"], name, fmt)
 
 
 # --- reconcile -------------------------------------------------------------

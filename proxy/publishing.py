@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from proxy.core import query
-from proxy.market import _INDEX_PHASE_SQL, _PHASE_SQL, _sql_key, feed
+from proxy.market import _INDEX_PHASE_SQL, _PHASE_SQL, _sql_key, feed, raw_feed
 from quotewell.operators import clean
 from quotewell.plans import publish, recon
 from quotewell.functions import codes
@@ -46,7 +46,7 @@ _NEW_TRADE = _trade_sql("case exectype when '4' then '1' when 'F' then '0' end")
 @query("publish_trades_new", _TRADE_COLUMNS,
        _NEW_TRADE + " where price >= 0 and clock between 93000000 and 145700000")
 def publish_trades_new(t):
-    trades = feed(t, "trade").where("price >= 0")
+    trades = raw_feed(t, "trade").where("price >= 0")
     return publish.publish_trades(trades, t["products_sz"], window=("093000000", "145700000"))
 
 
@@ -101,7 +101,7 @@ select {_sql_common('4', 'SZ', 'applseqnum')}, case when ordertype = 'U' then '3
   nullif(contactor, 'NULL') as Contactor, nullif(contactinfo, 'NULL') as ContactInfo, confirmid as ConfirmID,
   mdstreamid as MDStreamID {_JOIN.format(feed='sql_order', exchange='sz')} where price >= 0""")
 def publish_orders_new(t):
-    return publish.publish_orders(feed(t, "order").where("price >= 0"), t["products_sz"])
+    return publish.publish_orders(raw_feed(t, "order").where("price >= 0"), t["products_sz"])
 
 
 _CLEAN_ORDER = """
@@ -132,7 +132,7 @@ select {_sql_common('1', 'SZ', None)}, {_INDEX_PHASE_SQL.format(c='tradingphasec
   preclosepx as PreClosePx, totalvolumetrade as TotalVolumeTrade, totalvaluetrade as TotalValueTrade, lastpx as LastPx,
   openpx as OpenPx, highpx as HighPx, cast(lowpx as double) as LowPx {_JOIN.format(feed='sql_index', exchange='sz')}""")
 def publish_index_new(t):
-    return publish.publish_index(feed(t, "index"), t["products_sz"])
+    return publish.publish_index(raw_feed(t, "index"), t["products_sz"])
 
 
 _CLEAN_INDEX = """
@@ -184,7 +184,7 @@ select {_sql_common('1', 'SZ', None)},
   cast(string_split(f.totalofferqty, '.')[1] as bigint) as TotalOfferQty, {_BOOK_SQL.format(b='b')}, {_QUEUE_SQL}
 {_JOIN.format(feed='sql_snap', exchange='sz')} {_BOOK_JOIN.format(book='sql_snap_level')}""")
 def publish_snapshots_new(t):
-    return _queued(publish.publish_snapshots(feed(t, "snap"), t["products_sz"], feed(t, "snap_level")))
+    return _queued(publish.publish_snapshots(raw_feed(t, "snap"), t["products_sz"], raw_feed(t, "snap_level")))
 
 
 _CLEAN_BOOK = """

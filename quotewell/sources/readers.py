@@ -57,39 +57,42 @@ def _numeric_sh(df: DataFrame) -> DataFrame:
     return df.withColumns(casts)
 
 
+def typed_columns(df: DataFrame, feed: str, fmt: str = "new") -> DataFrame:
+    """New-format column names and types for any format, times left alone."""
+    if fmt == "new":
+        return df.withColumn("lowpx", F.col("lowpx").try_cast("double")) if feed == "index" else df
+    if fmt == "old":
+        out = df.withColumnsRenamed(_RENAMES.get(("old", feed), {}))
+        if feed == "trade":
+            out = out.withColumns({
+                c: F.trim(c).try_cast("bigint") for c in ("bidapplseqnum", "offerapplseqnum")
+            })
+        return out
+    if fmt == "sh":
+        kept = df.where(F.col("securityid") != HEADER_MARK)
+        return _numeric_sh(kept).withColumnsRenamed(_sh_book_names())
+    raise ValueError(f"unknown format {fmt!r}")
+
+
 def normalize(df: DataFrame, feed: str, fmt: str = "new", cs_as_ms: bool = True) -> DataFrame:
     """A raw feed with new-format column names plus trade_date, ts
     (timestamp_ntz) and clock (HHmmssSSS number). Header-marker rows go."""
+    out = typed_columns(df, feed, fmt)
     # clock and trade_date come from the text, not from ts: filters on them are
     # pushed to the scan and must stay cheap there
-    if fmt == "new":
-        stamp = F.col("origtime")
-        out = df.withColumn("ts", times.parse_ts17(stamp))
-        if feed == "index":
-            out = out.withColumn("lowpx", F.col("lowpx").try_cast("double"))
-        clock = times.text_clock(stamp)
-    elif fmt == "old":
+    if fmt == "old":
         raw, stamp = F.col(_OLD_CLOCK[feed]), F.col("tradedate")
-        out = df.withColumn("ts", times.parse_day_clock(F.substring(stamp, 1, 8), raw))
-        out = out.withColumnsRenamed(_RENAMES.get(("old", feed), {}))
-        if feed == "trade":
-            out = out.withColumns({
-                c: F.trim(c).try_cast("bigint") for c in ("bidapplseqnum", "offerapplseqnum")
-            })
-        clock = raw.cast("bigint")
+        ts, clock = times.parse_day_clock(F.substring(stamp, 1, 8), raw), raw.cast("bigint")
+    elif fmt == "sh" and feed == "trade":
+        stamp = F.col("tradetime")
+        ts, clock = times.parse_ts16(stamp, cs_as_ms), times.text_clock16(stamp, cs_as_ms)
     elif fmt == "sh":
-        df = df.where(F.col("securityid") != HEADER_MARK)
-        if feed == "trade":
-            stamp = F.col("tradetime")
-            ts = times.parse_ts16(stamp, cs_as_ms)
-            clock = times.text_clock16(stamp, cs_as_ms)
-        else:
-            stamp = F.col("datetime")
-            ts, clock = times.parse_ts14(stamp), times.text_clock(stamp)
-        out = _numeric_sh(df).withColumnsRenamed(_sh_book_names()).withColumn("ts", ts)
+        stamp = F.col("datetime")
+        ts, clock = times.parse_ts14(stamp), times.text_clock(stamp)
     else:
-        raise ValueError(f"unknown format {fmt!r}")
-    return out.withColumns({"clock": clock, "trade_date": times.text_day(stamp)})
+        stamp = F.col("origtime")
+        ts, clock = times.parse_ts17(stamp), times.text_clock(stamp)
+    return out.withColumns({"ts": ts, "clock": clock, "trade_date": times.text_day(stamp)})
 
 
 def read_day(spark: SparkSession, path: str, day: str | None = None, end: str | None = None) -> DataFrame:
