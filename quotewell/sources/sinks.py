@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quotewell.functions.times import as_date
 from quotewell.operators.relational import keep_latest, partial_upsert
+from quotewell.sources.files import drop_folder
 
 DAY = "trade_date"
 
@@ -65,12 +66,6 @@ def replace_range(df: DataFrame, path: str, lo, hi, partition: str = "data_dt")
         drop_folder(spark, f"{path}/{partition}={day}")
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(hadoop_path, True)
-
-
 def replace_all(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

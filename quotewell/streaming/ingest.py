@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotewell.sources.files import matching_paths
 from quotewell.sources.readers import feed_of_file, normalize
 from quotewell.sources.schemas import FEEDS
 
@@ -22,14 +23,10 @@ NEW_PATTERNS = {
 
 
 def ready_days(spark: SparkSession, root: str, marker: str = "ok") -> list[str]:
-    """Day folders below ``root`` that hold the marker file: a listing, nothing
-    is read but names. One entry per day."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", marker).load(root).select("path")
-    )
-    days = files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("day")).distinct()
-    return sorted(r[0] for r in days.collect())
+    """Day folders below ``root`` that hold the (usually empty) marker file. One
+    entry per day."""
+    found = matching_paths(spark, f"{root}/*/{marker}")
+    return sorted({path.rstrip("/").split("/")[-2] for path in found})
 
 
 def ingest_available(
