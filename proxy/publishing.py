@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from proxy.core import query
-from proxy.market import _INDEX_PHASE_SQL, _PHASE_SQL, _sql_key, feed, raw_feed
+from proxy.market import (
+    _HIGH_LOW, _INDEX_PHASE_SQL, _PHASE_SQL, _UNPRICED, _count_sql, _sql_key, feed, raw_feed,
+)
+from quotewell.functions import codes, times
 from quotewell.operators import clean
-from quotewell.plans import publish, recon
-from quotewell.functions import codes
+from quotewell.plans import examine, publish, recon
 
 _COMMON = ("MDDate", "MDTime", "SecurityID", "FullSecurityID", "SecurityIDSource", "SecurityType",
            "SecuritySubType", "Symbol", "MDLevel", "MDChannel", "MDRecordType", "row_key")
@@ -239,3 +241,36 @@ def backfill_trades(t):
     # each missing key once: the rows themselves come from the files
     missing = recon.one_sided(counts, "file", copies=False)
     return recon.backfill("trade", files, missing, t["products_sz"])
+
+
+_STORED_SNAPS = """
+select f.trade_date, f.securityid, f.ts, f.clock, f.totalvolumetrade, f.totalvaluetrade, f.highpx, f.lowpx, f.lastpx,
+  f.uplimitpx, f.downlimitpx, f.numtrades, b.* exclude (securityid, origtime, trade_date, ts, clock)
+from {sql_snap} f join {products_sz} p on p.prdtid = f.securityid
+join {sql_snap_level} b on b.securityid = f.securityid and b.ts = f.ts"""
+_BACK = {"totalvolumetrade_falls": "totalvolumetrade <> 0 and totalvolumetrade < p_vol",
+         "totalvaluetrade_falls": "totalvaluetrade <> 0 and totalvaluetrade < p_val",
+         "highpx_falls": "highpx <> 0 and highpx < p_high", "lowpx_rises": "lowpx <> 0 and lowpx > p_low"}
+_TRACKED_HERE = [c for c in examine.TRACKED if c not in (
+    "ClosePx", *publish.SNAP_SH_COLUMNS.values()) and not (c.endswith(("NumOrders", "NoOrders")) and c not in (
+        "Buy1NumOrders", "Buy1NoOrders", "Sell1NumOrders", "Sell1NoOrders"))]
+
+
+@query("examine_store", "trade_date:s rule:s n:i", " union all ".join([
+    _count_sql("{stored_snaps}", {
+        "level_qty_without_price": _UNPRICED, "outside_limits": "lastpx <> 0 and (lastpx > uplimitpx or lastpx < downlimitpx)",
+        "outside_high_low": _HIGH_LOW, "non_trading_day": "clock > 80000000 and clock <= 170000000"},
+    ).replace("'non_trading_day' as rule, count(*) filter (where clock > 80000000 and clock <= 170000000) as n from {stored_snaps}",
+              "'non_trading_day' as rule, count(*) filter (where clock > 80000000 and clock <= 170000000) as n from {stored_snaps} "
+              "where isodow(trade_date) > 5"),
+    _count_sql("""(select *, lag(totalvolumetrade) over w as p_vol, lag(totalvaluetrade) over w as p_val,
+      lag(highpx) over w as p_high, lag(lowpx) over w as p_low from {stored_snaps}
+      window w as (partition by trade_date, securityid order by ts)) as l""", _BACK),
+    # every tracked cell is filled for these rows
+    f"select d, c, 0 from (select distinct trade_date as d from {{stored_snaps}}), "
+    f"(select unnest([{', '.join(repr('blank:' + c) for c in _TRACKED_HERE)}]) as c)",
+]), {"stored_snaps": _STORED_SNAPS})
+def examine_store(t):
+    store = publish.publish_snapshots(feed(t, "snap"), t["products_sz"], feed(t, "snap_level"))
+    closed = t["typed_snap"].select("trade_date").distinct().where(~times.weekday(F.col("trade_date")))
+    return examine.examine(store, closed)

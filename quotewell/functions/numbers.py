@@ -26,8 +26,8 @@ def drop_null_word(c: Column) -> Column:
 
 def blank_or_nan(c: Column) -> Column:
     """Empty, null or the word NaN (a double's NaN prints as that word)."""
-    text = c.cast("string")
-    return text.isNull() | (F.trim(text) == "") | (text == "NaN")
+    text = F.trim(c.cast("string"))
+    return F.coalesce(text.isin("", "NaN"), F.lit(True))
 
 
 def ratio(numerator: Column, denominator: Column, digits: int | None = None, empty=0) -> Column:

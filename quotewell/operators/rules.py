@@ -280,9 +280,15 @@ def missing_reference(trades: DataFrame, orders: DataFrame, bid: str = "bidappls
     return _finish(counted.withColumn("rule", F.lit(rule)), False)
 
 
-def blank_cells(df: DataFrame, columns: Sequence[str], detail: bool = False) -> DataFrame:
-    """Blank, null or NaN cells per tracked column; the rule is 'blank:' + column."""
-    return count_rows(df, {f"blank:{c}": blank_or_nan(F.col(c)) for c in columns}, detail)
+def blank(column: str, absent: bool = True) -> Column:
+    """A blank or NaN cell, or (unless ``absent`` is False) a missing one."""
+    bad = blank_or_nan(F.col(column))
+    return bad if absent else F.col(column).isNotNull() & bad
+
+
+def blank_cells(df: DataFrame, columns: Sequence[str], detail: bool = False, absent: bool = True) -> DataFrame:
+    """Blank cells per tracked column; the rule is 'blank:' + column."""
+    return count_rows(df, {f"blank:{c}": blank(c, absent) for c in columns}, detail)
 
 
 def on_closed_days(df: DataFrame, holidays: DataFrame, start: int = 80000000, end: int = 170000000,

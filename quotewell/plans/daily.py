@@ -11,8 +11,9 @@ from quotewell.functions.times import FULL_SESSIONS
 from quotewell.plans import recon
 from quotewell.sources import sinks
 
-# Feeds in the order the daily chain runs them.
+# Feeds in the order the daily chains run them.
 CHAIN = ("snap", "trade", "order", "index")
+BOND_FUND_CHAIN = ("bond", "fund")
 
 
 def run_day(feeds: Mapping[str, DataFrame], stores: Mapping[str, str], products: DataFrame,
@@ -27,6 +28,8 @@ def run_day(feeds: Mapping[str, DataFrame], stores: Mapping[str, str], products:
         files = feeds.get(feed)
         if files is None or files.isEmpty():
             continue
+        if feed in recon.SNAPSHOT_TYPES:
+            files = recon.of_type(files, products, feed)
         spark = files.sparkSession
         store = spark.read.parquet(stores[feed])
         seq = {"trade": "TradeIndex", "order": "OrderIndex"}.get(feed)
@@ -42,7 +45,7 @@ def run_day(feeds: Mapping[str, DataFrame], stores: Mapping[str, str], products:
         sinks.write_diff(missing, f"{out}/{feed}/file_only")
         sinks.write_diff(recon.one_sided(counts, "store"), f"{out}/{feed}/store_only")
         if insert:
-            extra = {"books": books} if feed == "snap" else {}
+            extra = {"books": books} if feed in recon.SNAPSHOT_TYPES else {}
             rows = recon.backfill(feed, files, missing, products, **extra)
             sinks.upsert(rows, stores[feed], [recon.DAY, "row_key"])
         done.append(feed)

@@ -18,8 +18,11 @@ DAY, SECURITY = "trade_date", "securityid"
 # What identifies a row, per feed.
 KEYS = {
     "trade": [SECURITY, "ts", "applseqnum"], "order": [SECURITY, "ts", "applseqnum"],
-    "index": [SECURITY, "ts"], "snap": [SECURITY, "ts"],
+    "index": [SECURITY, "ts"], "snap": [SECURITY, "ts"], "bond": [SECURITY, "ts"], "fund": [SECURITY, "ts"],
 }
+# The security type each snapshot chain covers.
+SNAPSHOT_TYPES = {name: codes.SECURITY_TYPES[kind] for name, kind in
+                  (("snap", "stock"), ("bond", "bond"), ("fund", "fund"))}
 
 
 def _clock(df: DataFrame) -> Column:
@@ -87,7 +90,13 @@ def backfill(feed: str, files: DataFrame, missing: DataFrame, products: DataFram
         return publish.publish_orders(rows, products, **options)
     if feed == "index":
         return publish.publish_index(rows, products, **options)
-    return publish.publish_snapshots(rows, products, books, **options)
+    return publish.publish_snapshots(rows, products, books, sectype=SNAPSHOT_TYPES[feed], **options)
+
+
+def of_type(files: DataFrame, products: DataFrame, feed: str) -> DataFrame:
+    """The snapshot rows a chain covers: securities of its type."""
+    wanted = products.where(F.col("sectype") == SNAPSHOT_TYPES[feed])
+    return present_in(files, wanted.withColumnRenamed("prdtid", SECURITY), [SECURITY])
 
 
 def backfill_saved(diffs: Mapping[str, DataFrame | None], feeds: Mapping[str, DataFrame],
@@ -96,7 +105,7 @@ def backfill_saved(diffs: Mapping[str, DataFrame | None], feeds: Mapping[str, Da
     out = {}
     for feed, missing in diffs.items():
         if missing is not None:
-            extra = {"books": books} if feed == "snap" else {}
+            extra = {"books": books} if feed in SNAPSHOT_TYPES else {}
             out[feed] = backfill(feed, feeds[feed], missing, products, **extra)
     return out
 

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from quotewell.plans import daily, publish, recon
+from quotewell.plans import daily, examine, publish, recon
 from quotewell.sources import sinks
 from test_rules import DAY, build, level, snap, trade
 
@@ -128,3 +128,28 @@ def test_reconcile_report_by_feed(spark):
     files, store = sides(spark)
     got = recon.reconcile({"trade": files}, {"trade": store}).collect()
     assert [(r.feed, r.trade_date, r.n_common) for r in got] == [("trade", date(2018, 3, 30), 1)]
+
+
+def test_bond_and_fund_chain(spark, products, tmp_path):
+    codes = dict(tradingphasecode="T0", totalofferqty="1", totalbidqty="1")
+    snaps = build(spark, "snap", [snap(0, securityid="000002", **codes), snap(1, securityid="000002", **codes), snap(0, **codes)])
+    books = build(spark, "snap_level", [level(i, securityid="000002") for i in (0, 1)])
+    path, out = str(tmp_path / "fund"), str(tmp_path / "out")
+    first = publish.publish_snapshots(snaps.where("origtime like '%100000000'"), products, books, sectype="3")
+    sinks.upsert(first, path, ["trade_date", "row_key"])
+    ran = daily.run_day({"fund": snaps}, {"fund": path}, products, out, books, insert=True, chain=daily.BOND_FUND_CHAIN)
+    stats = spark.read.parquet(f"{out}/stats").first()
+    assert ran == ["fund"] and (stats.n_file, stats.n_common, stats.n_file_only) == (2, 1, 1)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_examine_store(spark, products):
+    codes = dict(tradingphasecode="T0", totalofferqty="1", totalbidqty="1", peratio1=1.0, peratio2=1.0, pxchange1=0.0,
+                 pxchange2=0.0, weightedavgbidpx=1.0, weightedavgofferpx=1.0)
+    snaps = build(spark, "snap", [snap(0, **codes), snap(1, **codes, ), snap(2, **{**codes, "weightedavgbidpx": float("nan")})])
+    snaps = snaps.withColumn("totalvolumetrade", F.when(F.col("ts") > "2018-03-30 10:00:01", 7).otherwise(F.col("totalvolumetrade")))
+    books = build(spark, "snap_level", [
+        level(i, bidpx10=0.0, numorders_b1=1, noorders_b1=1, numorders_s1=1, noorders_s1=1) for i in range(3)])
+    store = publish.publish_snapshots(snaps, products, books)
+    found = {r.rule: r.n for r in examine.examine(store).where("n > 0").collect()}
+    assert found == {"blank:WeightedAvgBidPx": 1, "level_qty_without_price": 3, "totalvolumetrade_falls": 1}
