@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from proxy.core import query
 from quotewell.functions import arrays, codes, keys, numbers, times
 from quotewell.operators import clean, relational, rules
-from quotewell.operators.copies import with_row_number
 from quotewell.plans import publish, recon
 from quotewell.sources import readers, schemas
 
@@ -305,9 +304,6 @@ def _count_sql(source: str, tests: dict[str, str], by: str = "trade_date") -> st
     )
 
 
-_BOOK_SOURCE = f"(select *, {_BOOK_LIST} as a from {{{{sql_snap_level{{suffix}}}}}}) as b"
-
-
 def _book_source(suffix: str = "") -> str:
     return f"(select *, {_BOOK_LIST} as a from {{sql_snap_level{suffix}}}) as b"
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quotewell.functions.numbers import floor_zero, ratio, zero_if_null
 from quotewell.functions.times import as_date, asof_business_day, asof_valid, previous_month_end
-from quotewell.operators.relational import union_padded, with_rate
+from quotewell.operators.relational import union_padded
 
 Tables = Mapping[str, DataFrame]
 
