@@ -65,10 +65,12 @@ class Encoder:
             a, b = self.ids[as_bytes(left)], self.ids[as_bytes(right)]
             self.merge_rank[a, b] = rank
             self.parts.setdefault(self.ids[as_bytes(left + right)], (a, b, rank))
-        self.ends: dict[bytes, list[int]] = {}  # the last two bytes of a token: the lengths such tokens have
+        ends: dict[bytes, set[int]] = {}
         for token in self.ids:
-            self.ends.setdefault(token[-2:], set()).add(len(token))
-        self.ends = {end: sorted(lengths, reverse=True) for end, lengths in self.ends.items()}
+            if len(token) > 2:
+                ends.setdefault(token[-3:], {1, 2}).add(len(token))
+        # The last three bytes of a prefix: the lengths its last token may have.
+        self.ends = {end: sorted(lengths, reverse=True) for end, lengths in ends.items()}
         self.follows: dict[tuple[int, int], bool] = {}
         self.spines: dict[tuple[int, int], list[tuple[int, float]]] = {}
         self.known: dict[str, tuple[int, ...]] = {}
@@ -101,7 +103,7 @@ class Encoder:
 
     def _walk(self, words: list[bytes]) -> Iterator[tuple[int, ...]]:
         """The encodings of sorted words."""
-        ids, ends, follow = self.ids, self.ends, self.may_follow
+        token_of, lengths_of, known, ask = self.ids.get, self.ends.get, self.follows.get, self.may_follow
         last: list[int] = [-1]  # by prefix length: its last token
         size: list[int] = [0]  # and that token's length
         before = b""
@@ -109,15 +111,20 @@ class Encoder:
             shared = len(commonprefix((before, word)))
             del last[shared + 1 :], size[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for n in chain(ends.get(word[max(0, end - 2) : end], ()) if end > 1 else (), (1,)):
-                    if n > end or (token := ids.get(word[end - n : end])) is None:
+                for n in lengths_of(word[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
+                    if n > end or (token := token_of(word[end - n : end])) is None:
                         continue
-                    if n == end or follow(last[end - n], token):
-                        last.append(token)
-                        size.append(n)
+                    if n == end:
+                        break
+                    pair = (last[end - n], token)
+                    if (good := known(pair)) is None:
+                        good = ask(*pair)
+                    if good:
                         break
                 else:
                     raise ValueError(f"no token ends {word[:end]!r}")
+                last.append(token)
+                size.append(n)
             out, end = [], len(word)
             while end:
                 out.append(last[end])
