@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import quotewell
 from quotewell.session import scratch_dir
 
 # Rows are passed to Python in batches of this many; a batch of long texts must
@@ -16,8 +22,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Readies the session for functions that run in Python workers: bounded batches, and this package on every executor."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        top = os.path.dirname(os.path.dirname(os.path.abspath(quotewell.__file__)))
+        package = os.path.join(tempfile.mkdtemp(prefix="quotewell-code-"), "quotewell.zip")
+        with zipfile.ZipFile(package, "w") as out:
+            for path in Path(top, "quotewell").rglob("*.py"):
+                out.write(path, path.relative_to(top))
+        context.addPyFile(package)
+        _SHIPPED.add(context.applicationId)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

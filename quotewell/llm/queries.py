@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quotewell.llm.bpe import op4_bpe
 from quotewell.llm.lines import OP8_SQL, op8_line_dedup
 from quotewell.llm.mixing import OP3_SQL, op3_mixing
+from quotewell.llm.token_files import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
+    "op4_bpe": op4_bpe,
     "op8_line_dedup": op8_line_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {"op3_mixing": OP3_SQL, "op8_line_dedup": OP8_SQL}
