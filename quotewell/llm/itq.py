@@ -115,16 +115,16 @@ def vector_links(vectors: DataFrame, threshold: float = 0.9, vector: str = "embe
 
 
 def with_components(found: DataFrame, nodes: DataFrame, hits: DataFrame) -> DataFrame:
-    """ident, n_links, component_id of every row of found (ident, node) from the links of its node."""
+    """n_links, component_id and root (the component's least node) of every row of found (ident, node, ...) from the links of its node."""
     roots = components(hits)
     sums = hits.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.select("node", "weight", "least").join(roots, "node", "left").join(sums, "node", "left")
     known = saved(known.select("node", "weight", "least", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "nodes")
     names = saved(known.groupBy("root").agg(F.min("least").alias("name")), "names")
-    known = saved(known.join(names, "root").select("node", "name", (F.col("links") + F.col("weight") - 1).alias("n_links")), "named")
+    known = saved(known.join(names, "root").select("node", "root", "name", (F.col("links") + F.col("weight") - 1).alias("n_links")), "named")
     return found.join(known, "node", "left").select(
         *[c for c in found.columns if c not in ("node", "vec")], F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        F.when(F.col("node").isNull(), F.col("ident")).otherwise(F.col("name")).alias("component_id"),
+        F.when(F.col("node").isNull(), F.col("ident")).otherwise(F.col("name")).alias("component_id"), "root",
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quotewell.llm.bpe import op4_bpe
 from quotewell.llm.itq import op7_embedding_near_dedup
+from quotewell.llm.jaccard import op5_ngram_jaccard
 from quotewell.llm.langid import op9_language_id
 from quotewell.llm.lines import OP8_SQL, op8_line_dedup
 from quotewell.llm.mixing import OP3_SQL, op3_mixing
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
