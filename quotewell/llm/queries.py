@@ -10,6 +10,7 @@ from quotewell.llm.bpe import op4_bpe
 from quotewell.llm.itq import op7_embedding_near_dedup
 from quotewell.llm.jaccard import op5_ngram_jaccard
 from quotewell.llm.langid import op9_language_id
+from quotewell.llm.licenses import OP6_SQL, op6_license_scan
 from quotewell.llm.lines import OP8_SQL, op8_line_dedup
 from quotewell.llm.mixing import OP3_SQL, op3_mixing
 from quotewell.llm.quality import op1_quality
@@ -20,10 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_license_scan": op6_license_scan,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {"op3_mixing": OP3_SQL, "op8_line_dedup": OP8_SQL}
+SQL: dict[str, str] = {"op3_mixing": OP3_SQL, "op6_license_scan": OP6_SQL, "op8_line_dedup": OP8_SQL}
