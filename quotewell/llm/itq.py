@@ -36,10 +36,14 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-300)
 
 
+def finite(vector: str) -> Column:
+    """Not null, and all components finite numbers."""
+    return F.coalesce(F.forall(col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+
+
 def usable(vector: str) -> Column:
-    """Neither null nor zero, and all components finite numbers."""
-    finite = F.forall(col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(finite & F.exists(col(vector), lambda x: x != 0), F.lit(False))
+    """Finite and neither empty nor zero."""
+    return finite(vector) & F.exists(col(vector), lambda x: x != 0)
 
 
 def fit_rotations(x: np.ndarray, n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:

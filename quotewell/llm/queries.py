@@ -13,11 +13,13 @@ from quotewell.llm.langid import op9_language_id
 from quotewell.llm.licenses import OP6_SQL, op6_license_scan
 from quotewell.llm.lines import OP8_SQL, op8_line_dedup
 from quotewell.llm.mixing import OP3_SQL, op3_mixing
+from quotewell.llm.mtree import op2_top_k
 from quotewell.llm.quality import op1_quality
 from quotewell.llm.token_files import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_top_k": op2_top_k,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
     "op5_ngram_jaccard": op5_ngram_jaccard,
