@@ -206,7 +206,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "ve
     first = searched(home, "first-answers")
     bound = first.groupBy("query_id").agg(F.min("score").alias("worst"), F.count("*").alias("n")).select("query_id", F.when(F.col("n") >= k, F.col("worst")).alias("worst"))
     squared = F.aggregate("vec", F.lit(0).cast("long"), lambda s, x: s + x * x) + F.lit(float(ceiling)) - 2 * F.col("worst")
-    limit = F.sqrt(F.greatest(squared, F.lit(0.0))) * (1 + _EPS) + _EPS
+    limit = F.when(F.col("worst").isNotNull(), F.sqrt(F.greatest(squared, F.lit(0.0))) * (1 + _EPS) + _EPS)
     reached = aimed.join(saved(bound, "bounds"), "query_id", "left").withColumn("limit", limit).select(
         "query_id", "vec", "worst", "limit", block, F.explode(F.arrays_zip("regions", "bounds")).alias("r")
     ).where(F.col("limit").isNull() | (F.col("r.bounds") <= F.col("limit")))
