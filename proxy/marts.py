@@ -254,110 +254,129 @@ from {{sta_stk_jnls}} j left join {{view_conv_rmb}} r on r.data_dt = j.data_dt a
 where j.data_dt between {_M} and {_D} and j.busi_cd in {_in(codes)}"""
 
 
-_REPO_NUMBERS = [pre + n for n in p.REPO_NUMBERS for pre in ("", "HG")]
-_ORDINARY = f"""
-select pty_id, sys, prdt_id, sum(ba) as ba, sum(sa) as sa, sum(br) as br, sum(sr) as sr, sum(bc) as bc, sum(sc) as sc,
-  sum(pft) as pft from (
-  select pty_id, sys_source_cd as sys, prdt_id, buy_amt as ba, sell_amt as sa, buy_rake + coalesce(buy_fare, 0) as br,
-    sell_rake + coalesce(sell_fare, 0) as sr, buy_cnt as bc, sell_cnt as sc, 0 as pft
-  from {{mf_cust_tran_core_m}} where data_dt = {_D} and sys_source_cd in ('01', '04') and prdt_id not like 'HG%'
-  union all
-  select pty_id, '01', prdt_id, case when busi_cd = '406004021' then 0 else amt end,
-    case when busi_cd = '406004021' then amt else 0 end, 0, 0, case when busi_cd in ('406004021', '406002434') then 0 else 1 end,
-    case when busi_cd = '406004021' then 1 else 0 end, 0 from {{entry_lines}}
-  union all
-  select f.pty_id, f.sys_source_cd, f.prdt_id, (f.tran_in + f.allot_share_amt) * r.exchange_rate,
-    f.tran_out * r.exchange_rate, 0, 0, 0, 0, f.bonus_amt * r.exchange_rate
-  from {{mf_cust_sys_fin_d}} f join {{view_conv_rmb}} r on r.data_dt = f.data_dt and r.ccy = f.ccy
-  where f.data_dt between {_M} and {_D}
-  union all
-  select pty_id, '01', prdt_id, assure_out_amt, assure_in_amt, 0, 0, assure_out_cnt, assure_in_cnt, 0 from {{margin_sums}}
-  union all
-  select pty_id, '01', case when stk_id like '%204%' then 'ZQ888880' else 'ZQ131990' end, 0, clear_balance, 0, 0, 0, 0, 0
-  from {{sta_stk_jnls}} where data_dt between {_M} and {_D} and busi_cd in {_in(p.REPO_CODES)}
-    and stk_id in {_in(_REPO_NUMBERS)}) as parts
-group by pty_id, sys, prdt_id"""
+# Profit as a ledger: every event of an account and product is one row with its
+# signed money; a result is the sum of a key's rows.
 
+def _values(name: str, columns: str, rows) -> str:
+    body = ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
+    return f"(values {body}) as {name}({columns})"
 
-def _positions(day: str, systems: str) -> str:
-    return f"""
-select h.pty_id, h.sys_source_cd as sys, h.prdt_id, h.data_dt, h.hold_dt, h.mkt_val * coalesce(r.exchange_rate, 1) as v
-from {{ms_cust_ccy_prdt_anahold_d}} h left join {{view_conv_rmb}} r on r.data_dt = h.data_dt and r.ccy = h.ccy
-where h.data_dt = {day} and h.sys_source_cd in {systems}"""
+
+def _spent(bought: str, sold: str, *costs: str) -> str:
+    return " - ".join([f"{_nz(sold)}", f"{_nz(bought)}", *map(_nz, costs)])
 
 
+_REPO_NUMBERS = [pre + n for n in p.REPO_NUMBERS for pre in ("", "HG")]
+_MONTH_DAYS = f"(select d_date from {{ana_dim_date}} where d_date between {_M} and {_D})"
+_TWO_ENDS = f"(values ({_D}, 1), ({_B}, -1)) as ends(day, side)"
 _SYS3 = "('01', '04', '07')"
 _LISTED = """
-select * from {valid_now} where up_prdt_type_id in ('PA030000', 'PA040000', 'PA080000') and prdt_type_id <> 'PA040500'"""
-_TOUCHED = f"""
-select pty_id, sys, prdt_id, sum(days) as days, sum(v) as v from (
-  select pty_id, sys, prdt_id, date_diff('day', greatest(hold_dt, {_M}), data_dt) + 1 as days, v from {{positions_now}}
-  union all select pty_id, sys_source_cd, prdt_id, least(date_diff('day', {_M}, data_dt) + 1, hold_days), 0
-    from {{ms_cust_ccy_prdt_anaunhold_d}} where data_dt between {_M} and {_D} and sys_source_cd in {_SYS3}
-  union all select pty_id, '01', stk_id, 0, 0 from {{sta_stk_jnls}} where data_dt between {_M} and {_D}) as u
-group by pty_id, sys, prdt_id"""
+select prdt_id, prdt_type_id, up_prdt_type_id from {valid_now}
+where prdt_type_id <> 'PA040500' and up_prdt_type_id in ('PA030000', 'PA040000', 'PA080000')"""
+
+
+def _positions(systems: str) -> str:
+    """Both ends of the month: the end counts for, the beginning against."""
+    return f"""
+select side, pty_id, sys_source_cd as sys, prdt_id, data_dt, hold_dt, mkt_val * coalesce(exchange_rate, 1) as worth
+from {{ms_cust_ccy_prdt_anahold_d}} as held join {_TWO_ENDS} on held.data_dt = day
+left join {{view_conv_rmb}} as fx using (data_dt, ccy) where sys_source_cd in {systems}"""
+
+
+_CORE_LEDGER = f"""
+select pty_id, sys_source_cd as sys, prdt_id, buy_cnt as buys, sell_cnt as sells,
+  {_spent("buy_amt", "sell_amt", "buy_rake + coalesce(buy_fare, 0)", "sell_rake + coalesce(sell_fare, 0)")} as money
+from {{mf_cust_tran_core_m}} where data_dt = {_D}"""
+_FUND_LEDGER = f"""
+select pty_id, sys_source_cd as sys, prdt_id, exchange_rate * (tran_out - tran_in - allot_share_amt) as moved,
+  exchange_rate * bonus_amt as bonus
+from {{mf_cust_sys_fin_d}} join {{view_conv_rmb}} using (data_dt, ccy) where data_dt between {_M} and {_D}"""
+
+
+def _entry_ledger(source: str, codes) -> str:
+    """Sales bring money in and count as sales; all else takes it, and counts as a purchase unless it is the tax."""
+    signs = [(c, 1 if c == p.SELL_ENTRY else -1, int(c not in (p.SELL_ENTRY, p.DIVIDEND_TAX)), int(c == p.SELL_ENTRY)) for c in codes]
+    return f"""
+select pty_id, '01' as sys, prdt_id, buys, sells, direction * amt as money
+from {{{source}}} join {_values("signs", "busi_cd, direction, buys, sells", signs)} using (busi_cd)"""
+
+
+_ORDINARY_LEDGER = f"""
+select pty_id, sys, prdt_id, side > 0 as seen, case when side > 0 then 1 + date_diff('day', greatest({_M}, hold_dt), data_dt) else 0 end as days,
+  0 as buys, 0 as sells, side * worth as money from {{ends_ordinary}}
+union all
+select pty_id, sys_source_cd, prdt_id, true, least(hold_days, 1 + date_diff('day', {_M}, data_dt)), 0, 0, 0
+from {{ms_cust_ccy_prdt_anaunhold_d}} where sys_source_cd in {_SYS3} and data_dt between {_M} and {_D}
+union all
+select pty_id, '01', stk_id, true, 0, 0, 0, 0
+from {{sta_stk_jnls}} where data_dt between {_M} and {_D}
+union all
+select pty_id, '01', if(contains(stk_id, '204'), '{p.REPO_PRODUCTS[0]}', '{p.REPO_PRODUCTS[1]}'), false, 0, 0, 0, clear_balance
+from {{sta_stk_jnls}} where busi_cd in {_in(p.REPO_CODES)} and stk_id in {_in(_REPO_NUMBERS)} and data_dt between {_M} and {_D}
+union all
+select pty_id, sys, prdt_id, false, 0, buys, sells, money from {{core_ledger}} where sys in ('01', '04') and not starts_with(prdt_id, 'HG')
+union all
+select pty_id, sys, prdt_id, false, 0, buys, sells, money from {{entry_ledger}}
+union all
+select pty_id, sys, prdt_id, false, 0, 0, 0, {_nz("moved")} + {_nz("bonus")} from {{fund_ledger}}
+union all
+select pty_id, '01', prdt_id, false, 0, assure_out_cnt, assure_in_cnt, {_spent("assure_out_amt", "assure_in_amt")} from {{margin_sums}}"""
 _ORDINARY_PROFIT = f"""
-select a.pty_id, a.prdt_id, case a.sys when '04' then '004' when '07' then '007' else '001' end as flag, a.days as hold_days,
-  {_nz('o.bc')} as buy_cnt, {_nz('o.sc')} as sell_cnt,
-  a.v - {_nz('b.v')} + {_nz('o.sa')} - {_nz('o.ba')} + {_nz('o.pft')} - {_nz('o.br')} - {_nz('o.sr')} as tran_pft
-from {{touched}} a join {{listed}} d on d.prdt_id = a.prdt_id
-left join {{positions_before}} b on b.pty_id = a.pty_id and b.prdt_id = a.prdt_id and b.sys = a.sys
-left join {{ordinary_trades}} o on o.pty_id = a.pty_id and o.prdt_id = a.prdt_id and o.sys = a.sys"""
+select pty_id, prdt_id, desk as flag, sum(days) as hold_days, {_nz("sum(buys)")} as buy_cnt, {_nz("sum(sells)")} as sell_cnt, sum(money) as tran_pft
+from {{ordinary_ledger}} join {{listed}} using (prdt_id) join {_values("desks", "sys, desk", p.ACCOUNTS.items())} using (sys)
+group by pty_id, prdt_id, desk having bool_or(seen)"""
 _PLEDGED = f"""
-select t.pty_id, t.prdt_id, '001' as flag, 99 as hold_days, sum(buy_cnt) as buy_cnt, sum(sell_cnt) as sell_cnt,
-  sum(sell_amt - buy_amt - buy_rake - sell_rake) as tran_pft
-from {{mf_cust_tran_core_m}} t join {{valid_now}} d on d.prdt_id = t.prdt_id and d.up_prdt_type_id = 'PA030000'
-where t.sys_source_cd = '01' and t.data_dt = {_D} and not exists (
-  select 1 from {{ordinary_profit}} x where x.pty_id = t.pty_id and x.prdt_id = t.prdt_id)
-group by t.pty_id, t.prdt_id"""
-_ALL_DAYS = f"(select d_date from {{ana_dim_date}} where d_date between {_M} and {_D})"
-_FEES = "(j.rake + coalesce(j.fare1, 0) + coalesce(j.fare2, 0) + coalesce(j.fare3, 0) + coalesce(j.farex, 0)) * r.exchange_rate"
-_WORTH, _AMOUNT = "j.barg_cnt * m.end_price * r.exchange_rate", "j.barg_amt * r.exchange_rate"
-_MARGIN_TRADES = f"""
-select pty_id, prdt_id, sum(case when buy then one else 0 end) as bc, sum(case when buy then ba else 0 end) as ba,
-  sum(case when buy then fee else 0 end) as br, sum(case when sell then one_sell else 0 end) as sc,
-  sum(case when sell then sa else 0 end) as sa, sum(case when sell then fee else 0 end) as sr
-from (select j.pty_id, j.stk_id as prdt_id, j.tran_dir_cd = '603010' as buy, j.tran_dir_cd = '603020' as sell, {_FEES} as fee,
-    case when j.busi_cd in ('406004014', '406002434') then 0 else 1 end as one,
-    case when j.busi_cd in ('406004014', '406004018') then 0 else 1 end as one_sell,
-    case when j.busi_cd in ('406004014', '406004016') then j.ent_pri * j.barg_cnt
-         when j.busi_cd in ('406004201', '406004202', '406004015') then {_WORTH} else {_AMOUNT} end as ba,
-    case when j.busi_cd in ('406004201', '406004202') then {_WORTH} else {_AMOUNT} end as sa
-  from {{sta_fc_jnls}} j left join {{view_conv_rmb}} r on r.data_dt = j.data_dt and r.ccy = j.ccy
-  left join {{mf_prdt_mkt_d}} m on m.data_dt = j.data_dt and m.prdt_id = j.stk_id
-  where j.busi_cd in {_in(p.MONTH_TRADE_CODES)} and j.data_dt in {_ALL_DAYS}) as x
-group by pty_id, prdt_id"""
-_MARGIN_TOUCHED = f"""
-select pty_id, prdt_id, sum(days) as days from (
-  select pty_id, prdt_id, date_diff('day', greatest(hold_dt, {_M}), data_dt) + 1 as days from {{ms_cust_prdt_fc_hold_d}}
-  where data_dt = {_D} and (hold_cnt <> 0 or deb_mnt <> 0)
-  union all select pty_id, prdt_id, least(date_diff('day', {_M}, data_dt) + 1, hold_days) from {{ms_cust_prdt_fc_unhold_d}}
-  where data_dt in {_ALL_DAYS}) as u group by pty_id, prdt_id"""
-_MARGIN_INTEREST = f"""
-select pty_id, prdt_id, sum(deb_int_d) as fare from {{ms_cust_prdt_fc_hold_d}}
-where data_dt in {_ALL_DAYS} and (hold_cnt <> 0 or deb_mnt <> 0) group by pty_id, prdt_id"""
-_MFLOW = f"{_nz('c.sa')} - {_nz('c.ba')} - {_nz('c.br')} - {_nz('c.sr')} - {_nz('n.fare')}"
+select pty_id, prdt_id, '001' as flag, {p.PLEDGE_DAYS} as hold_days, sum(buy_cnt) as buy_cnt, sum(sell_cnt) as sell_cnt,
+  sum(sell_amt) - sum(buy_amt) - sum(buy_rake) - sum(sell_rake) as tran_pft
+from {{mf_cust_tran_core_m}} semi join (select prdt_id from {{valid_now}} where up_prdt_type_id = 'PA030000') as bonds using (prdt_id)
+anti join {{ordinary_profit}} using (pty_id, prdt_id)
+where sys_source_cd = '01' and data_dt = {_D} group by pty_id, prdt_id"""
+
+# What a margin journal code is worth when bought and when sold, and whether it counts as a trade.
+_LIMIT, _CLOSE, _TRADED = 1, 2, 3  # places in the list of amounts
+_BOUGHT_AT = {p.ALLOT: _LIMIT, p.NEW_STOCK: _LIMIT, p.BONUS: _CLOSE, p.VALUED_CODES["assure_in"]: _CLOSE, p.VALUED_CODES["assure_out"]: _CLOSE}
+_SOLD_AT = {p.VALUED_CODES["assure_in"]: _CLOSE, p.VALUED_CODES["assure_out"]: _CLOSE}
+_PRICED = [
+    (c, *row) for c in p.MONTH_TRADE_CODES for row in (
+        (p.BUY, -1, _BOUGHT_AT.get(c, _TRADED), int(c not in (p.ALLOT, p.DIVIDEND_TAX)), 0),
+        (p.SELL, 1, _SOLD_AT.get(c, _TRADED), 0, int(c not in (p.ALLOT, p.DIVIDEND_ENTRY))),
+    )
+]
+_MARGIN_LEDGER = f"""
+select pty_id, stk_id as prdt_id, false as seen, 0 as days, buys, sells,
+  direction * {_nz("amounts[basis]")} - {_nz("exchange_rate * (rake + coalesce(fare1, 0) + coalesce(fare2, 0) + coalesce(fare3, 0) + coalesce(farex, 0))")} as money
+from (
+  select lines.*, exchange_rate, [ent_pri * barg_cnt, barg_cnt * end_price * exchange_rate, barg_amt * exchange_rate] as amounts
+  from {{sta_fc_jnls}} as lines left join {{view_conv_rmb}} as fx using (data_dt, ccy)
+  left join {{mf_prdt_mkt_d}} as market on market.prdt_id = lines.stk_id and market.data_dt = lines.data_dt
+  where lines.data_dt in {_MONTH_DAYS}) as valued
+join {_values("priced", "busi_cd, tran_dir_cd, direction, basis, buys, sells", _PRICED)} using (busi_cd, tran_dir_cd)
+union all
+select pty_id, prdt_id, true, 1 + date_diff('day', greatest({_M}, hold_dt), data_dt), 0, 0, 0
+from {{margin_held}} where data_dt = {_D}
+union all
+select pty_id, prdt_id, true, least(hold_days, 1 + date_diff('day', {_M}, data_dt)), 0, 0, 0
+from {{ms_cust_prdt_fc_unhold_d}} where data_dt in {_MONTH_DAYS}
+union all
+select pty_id, prdt_id, false, 0, 0, 0, - {_nz("deb_int_d")} from {{margin_held}} where data_dt in {_MONTH_DAYS}
+union all
+select pty_id, held.prdt_id, false, 0, 0, 0,
+  side * {_nz("if(up_prdt_type_id = 'PA030000', mkt_val, (hold_cnt - stc_deb_mnt) * end_price)")}
+from {{ms_cust_prdt_fc_hold_d}} as held join {_TWO_ENDS} on held.data_dt = day join {{listed}} using (prdt_id)
+left join {{mf_prdt_mkt_d}} as market on market.data_dt = day and market.prdt_id = held.prdt_id"""
+_MARGIN_HELD = "select * from {ms_cust_prdt_fc_hold_d} where not (hold_cnt = 0 and deb_mnt = 0)"
 _MARGIN_PRODUCT = f"""
-select a.pty_id, a.prdt_id, '105' as flag, a.days as hold_days, {_nz('c.bc')} as buy_cnt, {_nz('c.sc')} as sell_cnt,
-  case when d.up_prdt_type_id = 'PA030000' then {_nz('e1.mkt_val')} - {_nz('e0.mkt_val')}
-       else ({_nz('e1.hold_cnt - e1.stc_deb_mnt')}) * {_nz('g.end_price')} - ({_nz('e0.hold_cnt - e0.stc_deb_mnt')}) * {_nz('f.end_price')}
-  end + {_MFLOW} as tran_pft
-from {{margin_touched}} a join {{listed}} d on d.prdt_id = a.prdt_id
-left join {{ms_cust_prdt_fc_hold_d}} e0 on e0.data_dt = {_B} and e0.pty_id = a.pty_id and e0.prdt_id = a.prdt_id
-left join {{ms_cust_prdt_fc_hold_d}} e1 on e1.data_dt = {_D} and e1.pty_id = a.pty_id and e1.prdt_id = a.prdt_id
-left join {{mf_prdt_mkt_d}} f on f.data_dt = {_B} and f.prdt_id = a.prdt_id
-left join {{mf_prdt_mkt_d}} g on g.data_dt = {_D} and g.prdt_id = a.prdt_id
-left join {{margin_trades}} c on c.pty_id = a.pty_id and c.prdt_id = a.prdt_id
-left join {{margin_interest_month}} n on n.pty_id = a.pty_id and n.prdt_id = a.prdt_id"""
+select pty_id, prdt_id, '{p.MARGIN_ACCOUNT}' as flag, sum(days) as hold_days, sum(buys) as buy_cnt, sum(sells) as sell_cnt, sum(money) as tran_pft
+from {{margin_ledger}} semi join {{listed}} using (prdt_id) group by pty_id, prdt_id having bool_or(seen)"""
 _PRODUCT_PROFIT = " union all ".join(
     f"select pty_id, prdt_id, flag, hold_days, buy_cnt, sell_cnt, cast(tran_pft as decimal(30,8)) as tran_pft from {{{x}}}"
     for x in ("ordinary_profit", "pledged_profit", "margin_product"))
 _PRODUCT_CTES = {
     "valid_now": _VALID, "listed": _LISTED, "margin_lines": _margin_lines(_M), "margin_sums": _MARGIN_SUMS,
-    "entry_lines": _entry_sql(p.ENTRY_CODES_MONTH), "ordinary_trades": _ORDINARY, "positions_now": _positions(_D, _SYS3),
-    "positions_before": _positions(_B, _SYS3), "touched": _TOUCHED, "ordinary_profit": _ORDINARY_PROFIT,
-    "pledged_profit": _PLEDGED, "margin_trades": _MARGIN_TRADES, "margin_touched": _MARGIN_TOUCHED,
-    "margin_interest_month": _MARGIN_INTEREST, "margin_product": _MARGIN_PRODUCT, "product_profit": _PRODUCT_PROFIT,
+    "entry_lines": _entry_sql(p.ENTRY_CODES_MONTH), "entry_ledger": _entry_ledger("entry_lines", p.ENTRY_CODES_MONTH),
+    "core_ledger": _CORE_LEDGER, "fund_ledger": _FUND_LEDGER, "ends_ordinary": _positions(_SYS3), "ordinary_ledger": _ORDINARY_LEDGER,
+    "ordinary_profit": _ORDINARY_PROFIT, "pledged_profit": _PLEDGED, "margin_held": _MARGIN_HELD, "margin_ledger": _MARGIN_LEDGER,
+    "margin_product": _MARGIN_PRODUCT, "product_profit": _PRODUCT_PROFIT,
 }
 
 
@@ -375,9 +394,9 @@ select prdt_id from {{valid_now}} where prdt_type_id = 'PA070100' and prdt_id <>
 select {_D} as data_dt, pty_id, sum(n) as prdt_cnt, sum(b) as buy_cnt, sum(s) as sell_cnt from (
   select pty_id, count(distinct prdt_id) as n, null as b, null as s from (
     select pty_id, prdt_id from {{ms_cust_prdt_hold_d}} where data_dt = {_D}
-    union all select pty_id, prdt_id from {{ms_cust_prdt_unhold_d}} where data_dt in {_ALL_DAYS}
+    union all select pty_id, prdt_id from {{ms_cust_prdt_unhold_d}} where data_dt in {_MONTH_DAYS}
     union all select pty_id, prdt_id from {{ms_cust_prdt_fc_hold_d}} where data_dt = {_D} and (hold_cnt <> 0 or deb_mnt <> 0)
-    union all select pty_id, prdt_id from {{ms_cust_prdt_fc_unhold_d}} where data_dt in {_ALL_DAYS}) as h
+    union all select pty_id, prdt_id from {{ms_cust_prdt_fc_unhold_d}} where data_dt in {_MONTH_DAYS}) as h
   where prdt_id in (select prdt_id from {{wealth}}) group by pty_id
   union all
   select pty_id, null, sum(buy_cnt), sum(sell_cnt) from {{mf_cust_tran_core_m}}
@@ -436,31 +455,24 @@ def portfolio_yield(t):
 
 _SYS5 = "('01', '02', '03', '04', '08')"
 _CLASSES = f"""
-select prdt_id, prdt_type_id, up_prdt_type_id from (
-  select *, row_number() over (partition by prdt_id order by end_dt desc) as n from {{mf_prdt_attr_h}}
-  where bgn_dt <= {_D} and end_dt > {_B} and (prdt_type_id in ('PA040500', 'PA070100')
-    or up_prdt_type_id in ('PA050000', 'PA090000', 'PA100000'))) as x where n = 1"""
+select distinct on (prdt_id) prdt_id, prdt_type_id, up_prdt_type_id from {{mf_prdt_attr_h}}
+where end_dt > {_B} and bgn_dt <= {_D} and (up_prdt_type_id in ('PA050000', 'PA090000', 'PA100000') or prdt_type_id in ('PA040500', 'PA070100'))
+order by prdt_id, end_dt desc"""
 _BOOK_GAIN = f"""
-select a.pty_id, a.sys, a.prdt_id, a.v - {_nz('b.v')} as gain from (
-  select pty_id, sys, prdt_id, sum(v) as v from (
-    select pty_id, sys, prdt_id, v from {{all_positions_now}}
-    union all select pty_id, sys_source_cd, prdt_id, 0 from {{ms_cust_ccy_prdt_anaunhold_d}}
-      where sys_source_cd in {_SYS5} and data_dt in {_ALL_DAYS}
-    union all select pty_id, '05', prdt_id, mkt_val from {{ms_cust_prdt_fc_hold_d}}
-      where data_dt = {_D} and (hold_cnt <> 0 or deb_mnt <> 0)
-    union all select pty_id, '05', prdt_id, 0 from {{ms_cust_prdt_fc_unhold_d}} where data_dt in {_ALL_DAYS}) as u
-  group by 1, 2, 3) as a
-left join (select pty_id, sys, prdt_id, sum(v) as v from {{all_positions_before}} group by 1, 2, 3
-  union all select pty_id, '05', prdt_id, mkt_val from {{ms_cust_prdt_fc_hold_d}} where data_dt = {_B}) as b
-  on b.pty_id = a.pty_id and b.sys = a.sys and b.prdt_id = a.prdt_id"""
+select pty_id, sys, prdt_id, sum(money) as gain from (
+  select pty_id, sys, prdt_id, side > 0 as seen, side * worth as money from {{ends_all}}
+  union all
+  select pty_id, '05', prdt_id, side > 0, side * mkt_val from {{ms_cust_prdt_fc_hold_d}} join {_TWO_ENDS} on data_dt = day
+  where side < 0 or not (hold_cnt = 0 and deb_mnt = 0)
+  union all
+  select pty_id, coalesce(sys_source_cd, '05'), prdt_id, true, 0 from (
+    select data_dt, pty_id, sys_source_cd, prdt_id from {{ms_cust_ccy_prdt_anaunhold_d}} where sys_source_cd in {_SYS5}
+    union all select data_dt, pty_id, null, prdt_id from {{ms_cust_prdt_fc_unhold_d}}) as left_over where data_dt in {_MONTH_DAYS}) as ledger
+group by pty_id, sys, prdt_id having bool_or(seen)"""
 _TRADE_GAIN = f"""
-select pty_id, sys_source_cd as sys, prdt_id, sell_amt - buy_amt - buy_rake - coalesce(buy_fare, 0) - sell_rake
-  - coalesce(sell_fare, 0) as gain from {{mf_cust_tran_core_m}} where data_dt = {_D}
-union all select pty_id, '01', prdt_id, case when busi_cd = '406004021' then amt else -amt end from {{report_entries}}
-union all select f.pty_id, f.sys_source_cd, f.prdt_id,
-  (f.bonus_amt + f.tran_out - f.tran_in - f.allot_share_amt) * r.exchange_rate
-from {{mf_cust_sys_fin_d}} f join {{view_conv_rmb}} r on r.data_dt = f.data_dt and r.ccy = f.ccy
-where f.data_dt between {_M} and {_D}"""
+select pty_id, sys, prdt_id, money as gain from {{core_ledger}}
+union all select pty_id, sys, prdt_id, money from {{report_ledger}}
+union all select pty_id, sys, prdt_id, moved + bonus from {{fund_ledger}}"""
 
 
 def _classed(source: str) -> str:
@@ -475,19 +487,20 @@ from {source} g join {{classes}} c on c.prdt_id = g.prdt_id where g.prdt_id <> '
 
 _CLASS_PROFIT = (f"select pty_id, sum(fina) as fina, sum(fund) as fund, sum(inn) as inn from ("
                  f"{_classed('{book_gain}')} union all {_classed('{trade_gain}')}) as u group by pty_id")
-_SHARE_PROFIT = """
-select x.pty_id, sum(case when v.up_prdt_type_id = 'PA040000' and substring(x.flag, 2, 2) in ('01', '04', '05') then x.tran_pft
-  else 0 end) as gp, sum(case when v.up_prdt_type_id = 'PA040000' and substring(x.flag, 2, 2) = '07' then x.tran_pft else 0 end) as lmt,
-  sum(case when v.up_prdt_type_id in ('PA030000', 'PA080000') and substring(x.flag, 2, 2) in ('01', '04', '05') then x.tran_pft
-  else 0 end) as zq
-from {product_profit} x join {valid_now} v on v.prdt_id = x.prdt_id group by x.pty_id"""
+_BUCKETS = [(desk, kind, bucket) for desk in ("001", "004", "105") for kind, bucket in (("PA040000", "shares"), ("PA030000", "bonds"), ("PA080000", "bonds"))]
+_SHARE_PROFIT = f"""
+select pty_id, {", ".join(f"coalesce(sum(tran_pft) filter (where bucket = '{b}'), 0) as {c}" for b, c in (("shares", "gp"), ("limited", "lmt"), ("bonds", "zq")))}
+from {{product_profit}} join {{valid_now}} using (prdt_id)
+left join {_values("buckets", "flag, up_prdt_type_id, bucket", [*_BUCKETS, ("007", "PA040000", "limited")])} using (flag, up_prdt_type_id)
+group by pty_id"""
 _CASH_FUND = f"""
 select j.pty_id, sum((case when j.busi_cd = '406000142' then -j.barg_cnt else j.barg_cnt end) * coalesce(r.exchange_rate, 1)) as shares
 from {{sta_fund_jnls}} j left join {{view_conv_rmb}} r on r.data_dt = j.data_dt and r.ccy = j.ccy
 where j.data_dt between {_M} and {_D} and j.fund_id = 'TA940018' and j.busi_cd in ('406000142', '406000143') group by j.pty_id"""
 _CLASS_CTES = {
-    "classes": _CLASSES, "all_positions_now": _positions(_D, _SYS5), "all_positions_before": _positions(_B, _SYS5),
-    "book_gain": _BOOK_GAIN, "report_entries": _entry_sql(monthly.ENTRY_CODES), "trade_gain": _TRADE_GAIN,
+    "classes": _CLASSES, "ends_all": _positions(_SYS5), "book_gain": _BOOK_GAIN, "report_entries": _entry_sql(monthly.ENTRY_CODES),
+    "core_ledger": _CORE_LEDGER, "fund_ledger": _FUND_LEDGER, "report_ledger": _entry_ledger("report_entries", monthly.ENTRY_CODES),
+    "trade_gain": _TRADE_GAIN,
     "class_profit": _CLASS_PROFIT,
 }
 
