@@ -94,14 +94,18 @@ def publish_trades_sh(t):
 _ORDER_COLUMNS = _text(*_COMMON, "OrderType", "OrderBSFlag") + " OrderIndex:i OrderPrice:d OrderQty:i"
 
 
-@query("publish_orders_new", _ORDER_COLUMNS + " " + _text(
-    "ExpirationType", "ExpirationDays", "Contactor", "ContactInfo", "ConfirmID", "MDStreamID"), f"""
+_NEW_ORDER_COLUMNS = _ORDER_COLUMNS + " " + _text(
+    "ExpirationType", "ExpirationDays", "Contactor", "ContactInfo", "ConfirmID", "MDStreamID")
+_NEW_ORDER = f"""
 select {_sql_common('4', 'SZ', 'applseqnum')}, case when ordertype = 'U' then '3' else ordertype end as OrderType,
   case side when '1' then '1' when 'G' then '1' when '2' then '2' when 'F' then '2' end as OrderBSFlag,
   applseqnum as OrderIndex, price as OrderPrice, orderqty as OrderQty,
   cast(expirationtype as varchar) as ExpirationType, cast(expirationdays as varchar) as ExpirationDays,
   nullif(contactor, 'NULL') as Contactor, nullif(contactinfo, 'NULL') as ContactInfo, confirmid as ConfirmID,
-  mdstreamid as MDStreamID {_JOIN.format(feed='sql_order', exchange='sz')} where price >= 0""")
+  mdstreamid as MDStreamID {_JOIN.format(feed='sql_order', exchange='sz')}"""
+
+
+@query("publish_orders_new", _NEW_ORDER_COLUMNS, _NEW_ORDER + " where price >= 0")
 def publish_orders_new(t):
     return publish.publish_orders(raw_feed(t, "order").where("price >= 0"), t["products_sz"])
 
@@ -128,11 +132,15 @@ def publish_orders_old(t):
 _INDEX_NUMBERS = "PreClosePx:d TotalVolumeTrade:i TotalValueTrade:d LastPx:d OpenPx:d HighPx:d LowPx:d"
 
 
-@query("publish_index_new", _text(*_COMMON, "TradingPhaseCode", "MDStreamID") + f" phase_rejected:i {_INDEX_NUMBERS}", f"""
+_NEW_INDEX_COLUMNS = _text(*_COMMON, "TradingPhaseCode", "MDStreamID") + f" phase_rejected:i {_INDEX_NUMBERS}"
+_NEW_INDEX = f"""
 select {_sql_common('1', 'SZ', None)}, {_INDEX_PHASE_SQL.format(c='tradingphasecode')} as TradingPhaseCode,
   mdstreamid as MDStreamID, case when {_INDEX_PHASE_SQL.format(c='tradingphasecode')} is null then 1 else 0 end as phase_rejected,
   preclosepx as PreClosePx, totalvolumetrade as TotalVolumeTrade, totalvaluetrade as TotalValueTrade, lastpx as LastPx,
-  openpx as OpenPx, highpx as HighPx, cast(lowpx as double) as LowPx {_JOIN.format(feed='sql_index', exchange='sz')}""")
+  openpx as OpenPx, highpx as HighPx, cast(lowpx as double) as LowPx {_JOIN.format(feed='sql_index', exchange='sz')}"""
+
+
+@query("publish_index_new", _NEW_INDEX_COLUMNS, _NEW_INDEX)
 def publish_index_new(t):
     return publish.publish_index(raw_feed(t, "index"), t["products_sz"])
 
@@ -175,16 +183,20 @@ def _queued(df):
     return df.withColumn("queued", F.when(queue.isNotNull(), F.size(queue)))
 
 
-@query("publish_snapshots_new",
-       f"{_text(*_COMMON, 'TradingPhaseCode', 'IOPV')} PreIOPV:d DiffPx1:d MaxPx:d MinPx:d SLYOne:d {_SNAP_SPEC} "
-       f"{_BOOK_SPEC} {_QUEUE_SPEC}", f"""
+_NEW_SNAP_COLUMNS = (
+    f"{_text(*_COMMON, 'TradingPhaseCode', 'IOPV')} PreIOPV:d DiffPx1:d MaxPx:d MinPx:d SLYOne:d {_SNAP_SPEC} "
+    f"{_BOOK_SPEC} {_QUEUE_SPEC}")
+_NEW_SNAP = f"""
 select {_sql_common('1', 'SZ', None)},
   {_PHASE_SQL.format(c='f.tradingphasecode').replace('clock', 'f.clock')} as TradingPhaseCode,
   case when p.sectype = '3' then nullif(f.realtimenav, 'NULL') end as IOPV, case when p.sectype = '3' then f.prenav end as PreIOPV,
   f.pxchange1 as DiffPx1, f.uplimitpx as MaxPx, f.downlimitpx as MinPx, f.peratio1 as SLYOne, {_SNAP_SQL},
   cast(string_split(f.totalbidqty, '.')[1] as bigint) as TotalBidQty,
   cast(string_split(f.totalofferqty, '.')[1] as bigint) as TotalOfferQty, {_BOOK_SQL.format(b='b')}, {_QUEUE_SQL}
-{_JOIN.format(feed='sql_snap', exchange='sz')} {_BOOK_JOIN.format(book='sql_snap_level')}""")
+{_JOIN.format(feed='sql_snap', exchange='sz')} {_BOOK_JOIN.format(book='sql_snap_level')}"""
+
+
+@query("publish_snapshots_new", _NEW_SNAP_COLUMNS, _NEW_SNAP)
 def publish_snapshots_new(t):
     return _queued(publish.publish_snapshots(raw_feed(t, "snap"), t["products_sz"], raw_feed(t, "snap_level")))
 

@@ -28,16 +28,21 @@ def clean_book(df: DataFrame) -> DataFrame:
     return missing_from(df, bad, [DAY, SECURITY, "ts"])
 
 
+def _latest(df: DataFrame, *order: str) -> DataFrame:
+    """One row per (security, time); ties fall to the greatest of the remaining columns."""
+    keys = [DAY, SECURITY, "ts"]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    return keep_latest(df, keys, [F.desc_nulls_last(c) for c in (*order, *rest)])
+
+
 def latest_snapshots(df: DataFrame) -> DataFrame:
     """One row per (security, time): the largest volume."""
-    return keep_latest(df, [DAY, SECURITY, "ts"], [
-        F.desc("totalvolumetrade"), F.desc("numtrades"), F.desc("totalvaluetrade"), F.desc("lastpx"),
-    ])
+    return _latest(df, "totalvolumetrade", "numtrades", "totalvaluetrade", "lastpx")
 
 
 def latest_books(df: DataFrame) -> DataFrame:
     """One row per (security, time): the last one sent."""
-    return keep_latest(df, [DAY, SECURITY, "ts"], [F.desc("sendtime")])
+    return _latest(df, "sendtime")
 
 
 def clean_trades(df: DataFrame, fmt: str = "old", rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:

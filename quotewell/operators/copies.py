@@ -20,24 +20,15 @@ def fold_copies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def unfold_copies(df: DataFrame, number: str | None = None, chunk: int = ROWS_PER_SEGMENT) -> DataFrame:
-    """Each row ``_copies`` times, numbered 1.. in ``number`` if asked for.
-    Rows with more than ``chunk`` copies are spread over tasks chunk by chunk."""
+    """Each row ``_copies`` times, numbered 1.. in ``number`` if asked for. Chunk
+    numbers are exploded and dealt over tasks first, then the positions inside
+    each chunk, so rows of any number of copies take one way."""
     position = number or "_position"
-    few = df.where(F.col(COPIES) <= chunk).withColumn(
-        position, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(COPIES)))
-    )
-    chunks = F.sequence(
-        F.lit(0).cast("bigint"), F.floor((F.col(COPIES) - 1) / chunk).cast("bigint")
-    )
-    many = df.where(F.col(COPIES) > chunk).withColumn("_chunk", F.explode(chunks))
-    many = many.repartition(*[c for c in df.columns if c != COPIES], "_chunk").withColumn(
-        position,
-        F.explode(F.sequence(
-            F.col("_chunk") * chunk + 1,
-            F.least(F.col(COPIES), (F.col("_chunk") + 1) * chunk),
-        )),
-    )
-    out = few.unionByName(many.drop("_chunk")).drop(COPIES)
+    last = F.floor((F.col(COPIES) - 1) / chunk).cast("bigint")
+    chunks = df.where(F.col(COPIES) > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    dealt = chunks.repartition(*[c for c in df.columns if c != COPIES], "_chunk")
+    positions = F.sequence(F.col("_chunk") * chunk + 1, F.least(F.col(COPIES), (F.col("_chunk") + 1) * chunk))
+    out = dealt.withColumn(position, F.explode(positions)).drop(COPIES, "_chunk")
     return out if number else out.drop(position)
 
 

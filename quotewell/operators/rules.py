@@ -121,7 +121,7 @@ def row_rules(feed: str, fmt: str = "new") -> dict[str, Column]:
     if feed == "snap_level":
         empty, order = level_without_quantity(), book_out_of_order()
         return {
-            "level_price_without_qty": empty if fmt == "sh" else trading & empty,
+            "level_price_without_qty": trading & empty if fmt == "new" else empty,
             "level_qty_without_price": level_without_price(),
             "level_order": order if fmt == "sh" else trading & order,
         }
@@ -309,7 +309,7 @@ def feed_report(feed: str, df: DataFrame, fmt: str = "new", mode: str = "any",
         out.append(count_breaks(
             df, "snap_counters_fall", ["ts"] if fmt == "new" else ["ts", "numtrades"],
             falls=COUNTERS, not_rising=["ts"] if fmt == "new" else (), mode=mode,
-            sessions=None if fmt == "new" else CONTINUOUS_SESSIONS, detail=detail,
+            sessions=CONTINUOUS_SESSIONS if fmt == "old" else None, detail=detail,
         ))
         out.append(count_breaks(
             df, "snap_high_low_moves_back", ["ts"], falls=["highpx"], rises=["lowpx"],

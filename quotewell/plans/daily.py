@@ -18,16 +18,22 @@ BOND_FUND_CHAIN = ("bond", "fund")
 
 def run_day(feeds: Mapping[str, DataFrame], stores: Mapping[str, str], products: DataFrame,
             out: str, books: DataFrame | None = None, insert: bool = False,
-            chain: Sequence[str] = CHAIN, sessions=FULL_SESSIONS) -> list[str]:
+            chain: Sequence[str] = CHAIN, sessions=FULL_SESSIONS, days: Sequence | None = None) -> list[str]:
     """Reconciles each feed of the chain against its stored table, writing the
     statistics row and both difference sets under ``out``; with ``insert`` the
-    rows missing from the store are published into it. Feeds without rows are
-    skipped. Returns the feeds that ran."""
+    rows missing from the store are published into it. Only the ``days`` are
+    read from the store, by default those the files hold. Feeds without rows
+    are skipped. Returns the feeds that ran."""
     done = []
     for feed in chain:
         files = feeds.get(feed)
-        if files is None or files.isEmpty():
+        if files is None:
             continue
+        held = sinks.days_of(files)
+        wanted = held if days is None else [d for d in held if d in days]
+        if not wanted:
+            continue
+        files = sinks.on_days(files, wanted)
         if feed in recon.SNAPSHOT_TYPES:
             files = recon.of_type(files, products, feed)
         spark = files.sparkSession
@@ -37,7 +43,7 @@ def run_day(feeds: Mapping[str, DataFrame], stores: Mapping[str, str], products:
         stored = store.withColumnsRenamed(names)
         # both differences and the totals come from one small table of keys
         counts_at = f"{out}/{feed}/key_counts"
-        sinks.write_diff(recon.key_counts(files, stored, [recon.DAY, *recon.KEYS[feed]], sessions), counts_at)
+        sinks.write_diff(recon.key_counts(files, stored, [recon.DAY, *recon.KEYS[feed]], sessions, days=wanted), counts_at)
         counts = spark.read.parquet(counts_at)
         stats = recon.summary(counts, [recon.DAY]).withColumn("feed", F.lit(feed))
         sinks.append_stats(stats, f"{out}/stats")

@@ -13,6 +13,7 @@ from quotewell.functions.times import clock_number, in_sessions
 from quotewell.operators.copies import COPIES, unfold_copies
 from quotewell.operators.relational import present_in
 from quotewell.plans import publish
+from quotewell.sources import sinks
 
 DAY, SECURITY = "trade_date", "securityid"
 # What identifies a row, per feed.
@@ -31,14 +32,21 @@ def _clock(df: DataFrame) -> Column:
 
 
 def key_counts(files: DataFrame, store: DataFrame, keys: Sequence[str], sessions=None,
-               scope: str = "file_securities", security: str = SECURITY) -> DataFrame:
+               scope: str = "file_securities", security: str = SECURITY, days: Sequence | None = None) -> DataFrame:
     """How often each key occurs on either side: (keys..., n_file, n_store).
 
     Both sides are stacked and counted in one aggregation, so keys shuffle once
     and repeated keys are combined before they do. Nulls compare equal.
     ``sessions`` limits both sides; ``scope='file_securities'`` ignores stored
     securities the files do not mention.
+
+    Only the ``days`` are compared, by default those of the files: they are
+    listed first (one value per calendar day) and reach the stored table as
+    literals that prune its partitions. Tables without a day are compared whole.
     """
+    if DAY in files.columns and DAY in store.columns:
+        days = sinks.days_of(files) if days is None else days
+        files, store = (sinks.on_days(x, days) for x in (files, store))
     if sessions is not None:
         files, store = (x.where(in_sessions(_clock(x), sessions)) for x in (files, store))
     if scope == "file_securities":
@@ -82,8 +90,11 @@ def backfill_rows(files: DataFrame, missing: DataFrame, keys: Sequence[str]) ->
 def backfill(feed: str, files: DataFrame, missing: DataFrame, products: DataFrame,
              books: DataFrame | None = None, **options) -> DataFrame:
     """Missing rows in publishable form; keys may come from ``one_sided`` or
-    from a saved difference."""
-    rows = backfill_rows(files, missing, [k for k in KEYS[feed] if k in missing.columns])
+    from a saved difference (``readers.read_diff``)."""
+    lacking = [k for k in KEYS[feed] if k not in missing.columns]
+    if lacking:
+        raise ValueError(f"{feed} keys without {lacking}")
+    rows = backfill_rows(files, missing, KEYS[feed])
     if feed == "trade":
         return publish.publish_trades(rows, products, **options)
     if feed == "order":

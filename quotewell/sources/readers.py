@@ -139,13 +139,17 @@ def products_of(products: DataFrame, exchange: str | None) -> DataFrame:
     )
 
 
-def read_diff(spark: SparkSession, path: str, with_seq: bool) -> DataFrame:
-    """Saved difference lines '[security,time]' or '[security,time,seq]'."""
+def read_diff(spark: SparkSession, path: str, feed: str) -> DataFrame:
+    """Keys of a feed from saved difference lines '[security,time]' or, for
+    trades and orders, '[security,time,seq]': securityid without its suffix, ts,
+    and applseqnum where the feed has one. Lines whose time or number cannot be
+    read give nulls, which match no row."""
     cells = F.split(F.regexp_replace(F.trim("value"), r"^\[|\]$", ""), ",")
-    names = ["securityid", "origtime"] + (["applseqnum"] if with_seq else [])
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    out = lines.select(*[F.trim(F.get(cells, F.lit(i))).alias(n) for i, n in enumerate(names)])
-    return out.withColumn("applseqnum", F.col("applseqnum").try_cast("bigint")) if with_seq else out
+    cell = [F.trim(F.get(cells, F.lit(i))) for i in range(3)]
+    keys = [F.substring_index(cell[0], ".", 1).alias("securityid"), times.parse_ts17(cell[1]).alias("ts")]
+    if feed in ("trade", "order"):
+        keys.append(cell[2].try_cast("bigint").alias("applseqnum"))
+    return spark.read.text(path).where(F.trim("value") != "").select(*keys)
 
 
 def read_kv(spark: SparkSession, path: str) -> DataFrame:

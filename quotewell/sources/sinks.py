@@ -4,13 +4,14 @@ replaces whole partitions, so a re-run gives the same table."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewell.functions.times import as_date
-from quotewell.operators.relational import keep_latest, partial_upsert
+from quotewell.operators.relational import keep_latest, missing_from, partial_upsert
 from quotewell.sources.files import drop_folder
 
 DAY = "trade_date"
@@ -47,13 +48,15 @@ def replace_partition(df: DataFrame, path: str, partition: str = DAY,
 
 
 def replace_range(df: DataFrame, path: str, lo, hi, partition: str = "data_dt") -> None:
-    """Empties the partitions from ``lo`` to ``hi`` and writes ``df`` into the
-    range. Days of the range without new rows must already hold none, or are
-    dropped by rewriting the remaining days."""
+    """Empties the partitions from ``lo`` to ``hi`` and writes ``df`` into them.
+    Days of the range without new rows are dropped. Rows of ``df`` outside the
+    range are an error: nothing is written then."""
     spark = df.sparkSession
     inside = F.col(partition).between(as_date(lo), as_date(hi))
+    if not df.where(~F.coalesce(inside, F.lit(False))).isEmpty():
+        raise ValueError(f"rows with {partition} outside {lo} to {hi}")
     old = read_if_exists(spark, path)
-    fresh = as_stored(df.where(inside), old)
+    fresh = as_stored(df, old)
     if old is None:
         return replace_partition(fresh, path, partition)
     gone = (
@@ -70,40 +73,72 @@ def replace_all(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def days_of(df: DataFrame, partition: str = DAY) -> list:
+    """The days ``df`` holds (one value per calendar day), null among them if any is."""
+    days = [r[0] for r in df.select(partition).distinct().collect()]
+    return sorted(d for d in days if d is not None) + [None] * (None in days)
+
+
+def on_days(df: DataFrame, days: Sequence, partition: str = DAY) -> DataFrame:
+    """Rows of the days, as a literal filter that prunes partitions."""
+    hit = F.col(partition).isin([d for d in days if d is not None])
+    return df.where(hit | F.col(partition).isNull() if None in days else hit)
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """The first row per key in ``order``; ties fall to the greatest values of
+    the remaining columns, so the choice does not depend on how rows are dealt."""
+    return keep_latest(df, keys, [*order, *[F.desc_nulls_last(c) for c in df.columns if c not in keys]])
+
+
 def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column] = (),
-           partition: str = DAY, dry_run: bool = False) -> DataFrame | None:
-    """Last write per key wins: rows of ``df`` replace stored rows with the same
-    key, and within ``df`` the first in ``order`` stays. Only the touched days
-    are read and rewritten. ``dry_run`` writes nothing and returns one row."""
+           partition: str = DAY, dry_run: bool = False, keep_absent: bool = False) -> DataFrame | None:
+    """Rows of ``df`` replace stored rows with the same key; within ``df`` the
+    first in ``order`` stays (see ``one_per_key``).
+
+    The touched days are listed first and read by a literal filter, so other
+    partitions are neither read nor rewritten. Stored rows without a new one
+    are added as they are. With ``keep_absent`` a null cell of a new row leaves
+    the stored cell as it is. ``dry_run`` writes nothing and returns one row:
+    the number of keys that would be written, and the least of them."""
     if dry_run:
-        return df.limit(1)
+        return df.select(*keys).distinct().agg(F.count("*").alias("n_keys"), F.min(F.struct(*keys)).alias("first_key"))
     old = read_if_exists(df.sparkSession, path)
-    df = as_stored(df, old)
-    new = keep_latest(df, keys, list(order) or [F.lit(1)]).withColumn("_new", F.lit(1))
+    new = one_per_key(as_stored(df, old), keys, order)
     if old is not None:
-        touched = old.join(df.select(partition).distinct(), partition, "left_semi")
-        both = touched.withColumn("_new", F.lit(0)).unionByName(new, allowMissingColumns=True)
-        new = keep_latest(both, keys, [F.desc("_new")])
-    replace_partition(new.drop("_new"), path, partition, keys)
+        touched = on_days(old, days_of(df, partition), partition)
+        if keep_absent:
+            cells = [c for c in old.columns if c not in keys and c != partition]
+            was = touched.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_was_{c}") for c in cells])
+            same = reduce(lambda a, k: a & new[k].eqNullSafe(was[f"_k_{k}"]), keys, F.lit(True))
+            found = new.join(was, same, "left")
+            new = found.select(
+                *[F.coalesce(F.col(c), F.col(f"_was_{c}")).alias(c) if c in cells else F.col(c) for c in new.columns],
+                *[F.col(f"_was_{c}").alias(c) for c in cells if c not in new.columns],
+            )
+        new = missing_from(touched, new, keys).unionByName(new, allowMissingColumns=True)
+    replace_partition(new, path, partition, keys)
     return None
 
 
 def upsert_columns(changes: DataFrame, path: str, keys: Sequence[str], columns: Sequence[str],
                    partition: str = DAY) -> None:
-    """Sets some columns of rows already stored; keys not stored are ignored."""
-    days = changes.select(partition).distinct()
-    stored = changes.sparkSession.read.parquet(path).join(days, partition, "left_semi")
-    changes = as_stored(changes, stored)
+    """Sets some columns of rows already stored; keys not stored are ignored, and
+    of several changes to a key one is taken (see ``one_per_key``)."""
     on = list(dict.fromkeys([partition, *keys]))
-    replace_partition(partial_upsert(stored, changes, on, columns), path, partition, keys)
+    changes = one_per_key(changes.select(*on, *columns), on)
+    stored = on_days(changes.sparkSession.read.parquet(path), days_of(changes, partition), partition)
+    replace_partition(partial_upsert(stored, as_stored(changes, stored), on, columns), path, partition, keys)
 
 
 def write_diff(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_stats(stats: DataFrame, path: str) -> None:
-    stats.write.mode("append").parquet(path)
+def append_stats(stats: DataFrame, path: str, by: Sequence[str] = ("feed", DAY)) -> None:
+    """Statistics by feed and day; a repeated run replaces its own rows."""
+    (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by).parquet(path))
 
 
 def write_by_security(df: DataFrame, path: str, security: str = "securityid") -> None:

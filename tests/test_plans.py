@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotewell.plans import daily, examine, publish, recon
-from quotewell.sources import sinks
+from quotewell.sources import readers, sinks
 from test_rules import DAY, build, level, snap, trade
 
 PRODUCTS = [("000001", "2", "-", "Ping"), ("000002", "3", "01", "-")]
@@ -93,11 +93,29 @@ def test_one_sided_keeps_copies(spark):
     assert [r.applseqnum for r in recon.one_sided(counts, "store").collect()] == [9]
 
 
-def test_backfill_from_saved_difference(spark, products):
+def test_stored_days_outside_the_files_do_not_count(spark, products, tmp_path):
+    files, store = sides(spark)
+    other = build(spark, "trade", [trade(1, origtime=f"20180{m}30100000000") for m in (1, 3, 5)])
+    history = store.unionByName(other.where("trade_date <> date'2018-03-30'"))
+    got = recon.reconcile({"trade": files}, {"trade": history}).collect()
+    assert [(str(r.trade_date), r.n_store) for r in got] == [("2018-03-30", 2)]
+    path = str(tmp_path / "store")
+    sinks.upsert(publish.publish_trades(history, products), path, ["trade_date", "row_key"])
+    counts = recon.key_counts(files, spark.read.parquet(path).withColumnsRenamed({"SecurityID": "securityid", "TradeIndex": "applseqnum"}), ["trade_date", *recon.KEYS["trade"]])
+    scan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in scan and "2018-03-30" in scan.split("PartitionFilters: ")[-1][:200] or "17620" in scan
+    before = spark.read.parquet(path).where("trade_date <> date'2018-03-30'").count()
+    daily.run_day({"trade": files}, {"trade": path}, products, str(tmp_path / "out"), insert=True)
+    assert spark.read.parquet(path).where("trade_date <> date'2018-03-30'").count() == before
+    assert daily.run_day({"trade": files}, {"trade": path}, products, str(tmp_path / "none"), days=[date(2018, 1, 30)]) == []
+
+
+def test_backfill_from_saved_difference(spark, products, tmp_path):
     files, _ = sides(spark)
-    saved = spark.createDataFrame([("000001", f"{DAY}100000000", 2)], "securityid string, origtime string, applseqnum bigint")
-    from quotewell.functions.times import parse_ts17
-    saved = saved.withColumn("ts", parse_ts17(F.col("origtime"))).drop("origtime")
+    (tmp_path / "saved.txt").write_text(f"[000001.SZ,{DAY}100000000,2]\n")
+    saved = readers.read_diff(spark, str(tmp_path / "saved.txt"), "trade")
+    with pytest.raises(ValueError):
+        recon.backfill("trade", files, saved.drop("ts"), products)
     out = recon.backfill_saved({"trade": saved, "order": None}, {"trade": files}, products)
     assert list(out) == ["trade"] and [r.TradeIndex for r in out["trade"].collect()] == [2, 2]
 
@@ -111,7 +129,7 @@ def test_daily_chain_fills_the_store(spark, products, tmp_path):
     assert spark.read.parquet(path).count() == 3  # 12:00 lies outside the sessions
     assert daily.run_day(feeds, {"trade": path}, products, out, insert=True) == ["trade"]
     stats = sorted((r.n_file_only, r.n_common) for r in spark.read.parquet(f"{out}/stats").collect())
-    assert stats == [(0, 3), (4, 1)]
+    assert stats == [(0, 3)]  # the second run's, in place of the first's
     assert spark.read.parquet(f"{out}/trade/file_only").isEmpty()
 
 

@@ -1,5 +1,4 @@
-"""Registered queries against their SQL. A cross-section by default; all of them
-with QUOTEWELL_ALL_QUERIES=1."""
+"""Every registered query of the library against its SQL, on the smallest tables."""
 
 import os
 
@@ -8,13 +7,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from proxy.core import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-SAMPLE = [
-    "recon_summary", "row_key_events", "rule_rows_new", "rule_trade_sequence", "clean_trades", "publish_orders_new",
-    "backfill_trades", "keep_latest", "assets_by_currency", "io_max_cost_month", "assets_month", "upsert_rows",
-]
-NAMES = list(entry.queries()) if os.environ.get("QUOTEWELL_ALL_QUERIES") else SAMPLE
+NAMES = list(QUERIES)
+# These select more than the smallest tables hold; the driver compares them on larger ones.
+EMPTY_HERE = {"rule_rows_old", "wealth_products_month", "share_trades_day", "class_profit"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables not present")
 
 
@@ -36,11 +34,11 @@ def canonical(frame: pd.DataFrame) -> list[str]:
 def test_query_equals_sql(spark, duck, name):
     ours = canonical(entry.queries()[name](spark, FOLDER).toPandas())
     theirs = canonical(duck.execute(entry.oracle_sql()[name]).df())
-    assert len(ours) > 0 and ours == theirs
+    assert (len(ours) > 0) != (name in EMPTY_HERE) and ours == theirs
 
 
 def test_every_query_has_sql_and_rows_come_from_the_tables():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

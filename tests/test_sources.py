@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,9 +31,11 @@ def test_dimension_and_lists(spark, tmp_path):
     assert [tuple(r) for r in readers.read_products(spark, path).collect()] == [("000001", "2", "-", "Ping")]
     assert readers.read_products(spark, path, "SH").first().prdtid == "600000"
     assert readers.read_products(spark, path, None).count() == 3
-    diff = write(tmp_path / "diff.txt", "[000001,20180330093432150,871663]\n\n[000002,20180330093432151,5]\n")
-    assert [tuple(r) for r in readers.read_diff(spark, diff, True).orderBy("securityid").collect()] == [
-        ("000001", "20180330093432150", 871663), ("000002", "20180330093432151", 5)]
+    diff = write(tmp_path / "diff.txt", "[000001.SZ,20180330093432150,871663]\n\n[000002,20180330093432151,5]\n[000003,bad,x]\n")
+    at = datetime(2018, 3, 30, 9, 34, 32, 150000)
+    assert [tuple(r) for r in readers.read_diff(spark, diff, "trade").orderBy("securityid").collect()] == [
+        ("000001", at, 871663), ("000002", at + timedelta(milliseconds=1), 5), ("000003", None, None)]
+    assert readers.read_diff(spark, diff, "index").columns == ["securityid", "ts"]
     kv = write(tmp_path / "a.properties", "# note\nx = 1\ny=a=b\n\n")
     assert sorted(tuple(r) for r in readers.read_kv(spark, kv).collect()) == [("x", "1"), ("y", "a=b")]
     days = write(tmp_path / "days.txt", "20170101\n20170102,new year\n")
@@ -82,7 +84,8 @@ def test_upsert_last_write_wins(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.upsert(days(spark, [(1, "a", 1), (1, "b", 1), (2, "a", 1)]), path, ["trade_date", "k"])
     late = days(spark, [(1, "b", 7), (1, "b", 8), (3, "c", 9)])
-    assert sinks.upsert(late, path, ["trade_date", "k"], dry_run=True).count() == 1
+    dry = sinks.upsert(late, path, ["trade_date", "k"], dry_run=True).first()
+    assert (dry.n_keys, dry.first_key.k) == (2, "b")
     assert len(table(spark, path)) == 3
     for _ in range(2):
         sinks.upsert(late, path, ["trade_date", "k"], [F.desc("v")])
@@ -91,10 +94,36 @@ def test_upsert_last_write_wins(spark, tmp_path):
     assert table(spark, path) == [(1, "a", 5), (1, "b", 8), (2, "a", 1), (3, "c", 9)]
 
 
+def test_upsert_does_not_depend_on_how_rows_are_dealt(spark, tmp_path):
+    found = []
+    for n in (1, 8):
+        path = str(tmp_path / f"t{n}")
+        rows = days(spark, [(1 + i % 2, f"k{i % 5}", (i * 7919) % 400) for i in range(400)]).repartition(n)
+        sinks.upsert(rows, path, ["trade_date", "k"])
+        found.append(table(spark, path))
+    assert found[0] == found[1] and len(found[0]) == 10
+    sinks.upsert_columns(days(spark, [(1, "k0", 1), (1, "k0", 2)]), path, ["k"], ["v"])
+    assert len(table(spark, path)) == 10 and (1, "k0", 2) in table(spark, path)
+
+
+def test_upsert_keeps_absent_cells(spark, tmp_path):
+    path = str(tmp_path / "t")
+    two = lambda *rows: spark.createDataFrame(rows, "k string, a long, b long").withColumn("trade_date", F.lit(date(2024, 1, 1)))
+    sinks.upsert(two(("x", 1, 2), ("y", 3, 4)), path, ["trade_date", "k"])
+    sinks.upsert(two(("x", None, 9), ("z", None, 5)).drop("a"), path, ["trade_date", "k"], keep_absent=True)
+    got = sorted((r.k, r.a, r.b) for r in spark.read.parquet(path).collect())
+    assert got == [("x", 1, 9), ("y", 3, 4), ("z", None, 5)]
+    sinks.upsert(two(("x", None, 7)), path, ["trade_date", "k"])
+    assert sorted((r.k, r.a, r.b) for r in spark.read.parquet(path).collect())[0] == ("x", None, 7)
+
+
 def test_replace_range_and_days(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.replace_partition(days(spark, [(d, "a", d) for d in (1, 2, 3, 4)]), path)
-    sinks.replace_range(days(spark, [(2, "n", 0), (9, "out", 0)]), path, "2024-01-02", "2024-01-03", "trade_date")
+    with pytest.raises(ValueError):
+        sinks.replace_range(days(spark, [(2, "n", 0), (9, "out", 0)]), path, "2024-01-02", "2024-01-03", "trade_date")
+    assert len(table(spark, path)) == 4
+    sinks.replace_range(days(spark, [(2, "n", 0)]), path, "2024-01-02", "2024-01-03", "trade_date")
     assert table(spark, path) == [(1, "a", 1), (2, "n", 0), (4, "a", 4)]
     sinks.replace_partition(days(spark, [(4, "x", 1)]), path)
     assert table(spark, path) == [(1, "a", 1), (2, "n", 0), (4, "x", 1)]
