@@ -334,7 +334,7 @@ _ROW_SQL_OLD = " union all ".join([
         "snap_price_range": f"{_SESSION} and ({_SNAP_BAD} or {_NEGATIVE})", "snap_negative_totals": _NEGATIVE,
         "snap_outside_high_low": _HIGH_LOW}),
     _count_sql(_book_source("_old"), {
-        "level_price_without_qty": f"{_SESSION} and {_EMPTY_LEVEL}", "level_qty_without_price": _UNPRICED,
+        "level_price_without_qty": _EMPTY_LEVEL, "level_qty_without_price": _UNPRICED,
         "level_order": f"{_SESSION} and {_BOOK_BAD}"}),
     _count_sql("{sql_order_old}", {"order_range": "(price < 0 or price > 99999999 or orderqty < 0) and price <> -1"}),
     _count_sql("{sql_trade_old}", {"trade_range": "trim(functioncode) = '0' and (price <= 0 or tradeqty <= 0)"}),
@@ -518,6 +518,49 @@ def rule_report(t):
     return rules.report({f: feed(t, f) for f in ("snap", "snap_level", "order", "trade", "index")})
 
 
+_HIGH_LOW_BACK = "(highpx <> 0 and highpx < p_highpx) or (lowpx <> 0 and lowpx > p_lowpx)"
+_OLD_TRADES = """(select *, recno as applseqnum, cast(trim(buyorderrecno) as bigint) as bidapplseqnum,
+  cast(trim(sellorderrecno) as bigint) as offerapplseqnum from {sql_trade_old}) as o"""
+_OLD_ORDERS = "(select *, recno as applseqnum from {sql_order_old}) as o"
+_REPORT_SQL_OLD = " union all ".join([
+    _ROW_SQL_OLD,
+    _lag_sql("{sql_snap_old}", "snap_counters_fall", "ts, numtrades", rules.COUNTERS, _FALLS, True, "clock"),
+    _lag_sql("{sql_snap_old}", "snap_high_low_moves_back", "ts", ["highpx", "lowpx"], _HIGH_LOW_BACK),
+    _lag_sql(_OLD_ORDERS, "order_sequence", "applseqnum", ["applseqnum", "clock"],
+             "applseqnum < p_applseqnum or clock - p_clock < -1000"),
+    _lag_sql(_OLD_TRADES, "trade_sequence", "applseqnum", ["ts", "applseqnum"], "applseqnum <= p_applseqnum or ts < p_ts"),
+    _lag_sql("(select *, totalvolumetraded as totalvolumetrade from {sql_index_old}) as i", "index_totals_fall", "ts, totalvolumetrade",
+             ["totalvolumetrade"], "totalvolumetrade < p_totalvolumetrade"),
+    """select t.trade_date, 'trade_sum_vs_total' as rule, count(*) filter (where qty <> tot_qty or money <> cast(tot_money as decimal(18,2))) as n
+from (select trade_date, securityid, sum(tradeqty) as qty, sum(cast(price as decimal(12,2)) * tradeqty) as money from {sql_trade_old}
+  where trim(functioncode) = '0' group by 1, 2) t
+join (select trade_date, securityid, max(totalvolumetrade) as tot_qty, max(totalvaluetrade) as tot_money from {sql_snap_old} group by 1, 2) s
+  on t.trade_date = s.trade_date and t.securityid = s.securityid group by t.trade_date""",
+    f"""select d.trade_date, 'trade_without_order' as rule, count(m.id) as n
+from (select distinct trade_date from {{sql_trade_old}}) d left join (
+  select distinct trade_date, unnest([bidapplseqnum, offerapplseqnum]) as id from {_OLD_TRADES}
+  except select trade_date, recno from {{sql_order_old}}) m on m.trade_date = d.trade_date and m.id <> 0 group by d.trade_date""",
+])
+
+
+@query("rule_report_old", _RULE, _REPORT_SQL_OLD)
+def rule_report_old(t):
+    return rules.report({f: feed(t, f, "old") for f in ("snap", "snap_level", "order", "trade", "index")}, "old")
+
+
+_SH_SNAP = "(select ts, trade_date, securityid, " + ", ".join(
+    f"cast({c} as {'double' if c == 'totalvaluetrade' else 'bigint'}) as {c}" for c in dict.fromkeys(["numtrades", *rules.COUNTERS])
+) + " from {sql_snap_sh}) as s"
+
+
+@query("rule_counters_fall_sh", _RULE,
+       _lag_sql(_SH_SNAP, "snap_counters_fall", "ts, numtrades", rules.COUNTERS, _FALLS))
+def rule_counters_fall_sh(t):
+    """As in the report of that format: at any time of day."""
+    counted = rules.feed_report("snap", feed(t, "snap", "sh"), "sh")
+    return counted.where("rule = 'snap_counters_fall'")
+
+
 # --- cleaning --------------------------------------------------------------
 
 _KEEP_SNAP = f"""

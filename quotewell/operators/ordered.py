@@ -11,7 +11,8 @@ the size bound of the one table broadcast here.
 
 What a segment needs from the one before it (last values, running total) is
 carried in as one extra row that sorts first and is dropped again. Full rows
-cross the network once, hashed by (key, segment).
+are hashed by (key, segment) for the window; folding copies before is a second
+exchange of the columns looked at.
 
 Exact copies share a hash, so callers fold copies into a count first
 (``operators.copies``). Order columns sort ascending, nulls first.
@@ -25,7 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SEGMENT = 1 << 20
-_SEARCH_STEPS = 24  # binary search depth: up to 2^24 cuts in one key
 
 
 def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int) -> DataFrame:
@@ -45,7 +45,9 @@ def _segment(order: Sequence[str]) -> Column:
         probe = low + step
         return F.when(F.get(F.col("_cuts"), probe - 1) <= at, probe).otherwise(low)
 
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(_SEARCH_STEPS))])
+    # steps from the greatest power of two within the number of cuts down to 1
+    depth = F.floor(F.log2(F.size("_cuts"))).cast("int")
+    steps = F.transform(F.sequence(depth, F.lit(0), F.lit(-1)), lambda i: F.pow(F.lit(2), i).cast("int"))
     found = F.aggregate(steps, F.lit(0), narrow)
     return F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(found)
 

@@ -36,18 +36,19 @@ def union_padded(frames: Sequence[DataFrame], measures: Sequence[str]) -> DataFr
 
 
 def with_rate(df: DataFrame, rates: DataFrame, on: Sequence[str] = ("data_dt", "ccy"),
-              rate: str = "exchange_rate", inner: bool = False) -> DataFrame:
-    """Adds the day's rate per currency; 1 where there is none (or, with
-    ``inner``, drops rows that have none).
+              rate: str = "exchange_rate", inner: bool = False, default: int | None = 1) -> DataFrame:
+    """Adds the day's rate per currency; ``default`` where there is none (or,
+    with ``inner``, drops rows that have none). A rate row that repeats counts once.
 
     The rate table is broadcast: it holds one row per currency and calendar day,
     and the day filter on ``df`` reaches it through the join key, so a year is
     at most 366 x some 180 currencies. Shuffling instead would put all rows of
     a day's home currency into one partition."""
-    r = F.broadcast(rates.select(*on, rate))
+    r = F.broadcast(rates.groupBy(*on).agg(F.max(rate).alias(rate)))
     if inner:
         return df.join(r, list(on))
-    return df.join(r, list(on), "left").withColumn(rate, F.coalesce(F.col(rate), F.lit(1)))
+    out = df.join(r, list(on), "left")
+    return out if default is None else out.withColumn(rate, F.coalesce(F.col(rate), F.lit(default)))
 
 
 def close_or_nav(price: Column, nav: Column) -> Column:

@@ -178,16 +178,29 @@ def listed_products(t: Tables, day) -> DataFrame:
     )
 
 
-def ordinary_product_profit(t: Tables, day) -> DataFrame:
+def _ordinary_touched(t: Tables, day, held: DataFrame) -> DataFrame:
+    """Rows of products held, closed or traded this month; days where there are any."""
     lo, key = month_begin(day), ["pty_id", "prdt_id", "sys_source_cd"]
-    held = _ordinary_holdings(t, day, "value").select(*key, held_days(day).alias("days"), "value")
     closed = days_between(t["ms_cust_ccy_prdt_anaunhold_d"], lo, day).where(
         F.col("sys_source_cd").isin(*ACCOUNTS)
     ).select(*key, closed_days(day).alias("days"))
     traded = days_between(t["sta_stk_jnls"], lo, day).select(
         "pty_id", F.col("stk_id").alias("prdt_id"), F.lit("01").alias("sys_source_cd")
     )
-    touched = union_padded([held, closed, traded], ["days", "value"]).groupBy(*key).agg(
+    return union_padded([held, closed, traded], ["days", "value"])
+
+
+def ordinary_products(t: Tables, day) -> DataFrame:
+    """The (customer, product) keys of ``ordinary_product_profit``, without working out any profit."""
+    held = on_day(t["ms_cust_ccy_prdt_anahold_d"], day).where(F.col("sys_source_cd").isin(*ACCOUNTS))
+    keys = _ordinary_touched(t, day, held.select("pty_id", "prdt_id", "sys_source_cd")).select("pty_id", "prdt_id").distinct()
+    return keys.join(listed_products(t, day).select("prdt_id"), "prdt_id", "left_semi")
+
+
+def ordinary_product_profit(t: Tables, day) -> DataFrame:
+    key = ["pty_id", "prdt_id", "sys_source_cd"]
+    held = _ordinary_holdings(t, day, "value").select(*key, held_days(day).alias("days"), "value")
+    touched = _ordinary_touched(t, day, held).groupBy(*key).agg(
         F.sum("days").alias("days"), F.sum("value").alias("value")
     )
     opening = _ordinary_holdings(t, previous_month_end(day), "opening").groupBy(*key).agg(
@@ -229,9 +242,8 @@ def margin_month_trades(t: Tables, day) -> DataFrame:
     rows = listed_days(t, t["sta_fc_jnls"], month_begin(day), day).where(
         F.col("busi_cd").isin(*MONTH_TRADE_CODES)
     )
-    rates = t["view_conv_rmb"].select("data_dt", "ccy", "exchange_rate")
     prices = t["mf_prdt_mkt_d"].select("data_dt", F.col("prdt_id").alias("stk_id"), "end_price")
-    rows = rows.join(rates, ["data_dt", "ccy"], "left").join(prices, ["data_dt", "stk_id"], "left")
+    rows = with_rate(rows, t["view_conv_rmb"], default=None).join(prices, ["data_dt", "stk_id"], "left")
     code, rate, count = F.col("busi_cd"), F.col("exchange_rate"), F.col("barg_cnt")
     worth, amount = count * F.col("end_price") * rate, F.col("barg_amt") * rate
     fees = F.col("rake")
@@ -301,7 +313,7 @@ def margin_product_profit(t: Tables, day) -> DataFrame:
 def product_profit_month(t: Tables, day) -> DataFrame:
     """Holding days, trade counts and profit per (customer, product, account)."""
     ordinary = ordinary_product_profit(t, day)
-    bonds = pledged_bond_profit(t, day, ordinary)
+    bonds = pledged_bond_profit(t, day, ordinary_products(t, day))
     margin = margin_product_profit(t, day)
     return ordinary.unionByName(bonds).unionByName(margin).withColumn("data_dt", as_date(day))
 

@@ -53,6 +53,13 @@ def ingest_available(
     query.awaitTermination()
 
 
+def refused_files(spark: SparkSession, root: str, days: Sequence[str], fmt: str = "new", marker: str = "ok") -> DataFrame:
+    """The files of these days that belong to no feed: path. One row per file."""
+    paths = [p for day in days for p in matching_paths(spark, f"{root}/{day}/*") if p.rsplit("/", 1)[-1] != marker]
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    return listed.where(feed_of_file(F.col("path"), fmt).isNull())
+
+
 def append_by_batch(target: str, partition: str = "trade_date") -> Callable[[DataFrame, int], None]:
     """A batch writer that is safe to repeat: each batch owns one sub-partition
     (day, batch id) and overwrites it, so a replayed batch adds nothing twice."""

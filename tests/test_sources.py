@@ -180,6 +180,9 @@ def test_ingest_waits_for_marker_and_loads_once(spark, tmp_path):
 
     assert run() == ["20180330"] and spark.read.parquet(target).count() == 2
     assert run() == ["20180330"] and spark.read.parquet(target).count() == 2
+    write(tmp_path / "in" / "20180330" / "notes.txt", "of no feed\n")
+    refused = ingest.refused_files(spark, str(tmp_path / "in"), ["20180330"]).collect()
+    assert [r.path.rsplit("/", 1)[-1] for r in refused] == ["notes.txt"]
     write(tmp_path / "in" / "20180331" / "ok", "")
     assert run() == ["20180330", "20180331"]
     got = spark.read.parquet(target).groupBy("trade_date").count().orderBy("trade_date").collect()
