@@ -94,13 +94,13 @@ def license_matches(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, c
             found += [F.struct(F.lit(w).alias("width"), at.alias("at")), F.struct(F.lit(w).alias("width"), F.greatest(at - 1, F.lit(0)).alias("at"))]
         return F.array(*found)
 
-    rows = rows.withColumn("places", places).where(F.size("places") > 0)
-    rows = rows.withColumn("windows", F.array_distinct(F.flatten(F.transform("places", windows)))).drop("places")
-    opened = rows.withColumn("window", F.explode("windows")).select(
+    rows = rows.withColumn("windows", F.array_distinct(F.flatten(F.transform(places, windows))))
+    # The outer explode, and the filter behind it: a filter in front would hash all texts once more to find out.
+    opened = rows.withColumn("window", F.explode_outer("windows")).where(F.col("window").isNotNull()).select(
         "ident", "k1", "k2", F.col("window.width").alias("width"), (F.col("window.at") * (F.col("window.width") / 2).cast("int")).alias("first_word"), "shingles"
     )
     opened = opened.select("ident", "k1", "k2", "width", "first_word", F.array_distinct(F.slice("shingles", F.col("first_word") + 1, F.col("width"))).alias("inside"))
-    banded = opened.withColumn("bands", _bands("inside")).select("*", F.posexplode("bands").alias("band", "value")).drop("bands")
+    banded = opened.withColumn("bands", _bands("inside")).select("*", F.posexplode_outer("bands").alias("band", "value")).drop("bands")
     looked_up = table.select("license", "own", F.col("width").alias("width"), F.posexplode("bands").alias("band", "value"))
     share = F.size(F.array_intersect("own", "inside")) / F.size("own")
     found = banded.join(F.broadcast(looked_up), ["width", "band", "value"]).select("ident", "k1", "k2", "license", "first_word", share.alias("containment"))
