@@ -155,20 +155,17 @@ def count_rows(df: DataFrame, rules: Mapping[str, Column], detail: bool = False)
     return _finish(tall, detail)
 
 
-def _scored(
+def _scored_sets(
     df: DataFrame,
     order: Sequence[str],
-    falls: Mapping[str, float] | Sequence[str] = (),
-    not_rising: Sequence[str] = (),
-    rises: Sequence[str] = (),
-    nonzero: bool = False,
-    mode: str = "any",
+    sets: Mapping[str, Mapping],
     keys: Sequence[str] = (DAY, SECURITY),
     keep: Sequence[str] = (),
     rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
-    """Every distinct row with ``n``: how many of its copies break an ordering
-    against the previous row of their key.
+    """Every distinct row with one column per entry of ``sets``: how many of its
+    copies break that entry's ordering against the previous row of their key.
+    All entries share one ordered pass. An entry may hold
 
     falls       column must not be below the previous value (a mapping gives
                 the drop that is still tolerated)
@@ -177,38 +174,46 @@ def _scored(
     nonzero     a zero in falls/rises columns is "no value", not a break
     mode        'any' or 'all' of the listed conditions
     """
-    slack = dict(falls) if isinstance(falls, Mapping) else {c: 0 for c in falls}
-    watched = [*slack, *not_rising, *rises]
+    slack = {n: dict(c) if isinstance(c := s.get("falls", ()), Mapping) else dict.fromkeys(c, 0) for n, s in sets.items()}
+    watched = list(dict.fromkeys(
+        c for n, s in sets.items() for c in (*slack[n], *s.get("not_rising", ()), *s.get("rises", ()))
+    ))
     columns = list(dict.fromkeys([*keys, *order, *watched, *keep]))
     # copies fold first: a repeated row then costs one row whatever its number
     folded = fold_copies(df.select(*columns))
     ties = [c for c in columns if c not in keys and c not in order]
-    prev = with_previous(
-        folded, list(keys), [*order, *ties], list(dict.fromkeys(watched)), "_prev_", rows_per_segment
-    )
+    prev = with_previous(folded, list(keys), [*order, *ties], watched, "_prev_", rows_per_segment)
 
     def against(c: str) -> Column:
         return F.col(f"_prev_{c}")
 
-    tests = []
-    for c, allowed in slack.items():
-        hit = F.col(c) < against(c) if not allowed else (F.col(c) - against(c)) < -allowed
-        tests.append(hit & (F.col(c) != 0) if nonzero else hit)
-    tests += [F.col(c) <= against(c) for c in not_rising]
-    for c in rises:
-        hit = F.col(c) > against(c)
-        tests.append(hit & (F.col(c) != 0) if nonzero else hit)
-    join = (lambda a, b: a | b) if mode == "any" else (lambda a, b: a & b)
-    first = F.coalesce(reduce(join, tests), F.lit(False))
-    # among identical rows only "must be above" can break
-    equal_breaks = bool(not_rising) if mode == "any" else not (slack or rises)
-    again = F.col(COPIES) - 1 if equal_breaks else F.lit(0)
-    if equal_breaks:
-        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in not_rising])
-        again = F.when(known, again).otherwise(0)
-    return prev.withColumn("n", F.when(first, 1).otherwise(0) + again).drop(
-        COPIES, *[f"_prev_{c}" for c in dict.fromkeys(watched)]
-    )
+    def score(name: str) -> Column:
+        own = sets[name]
+        not_rising, rises = own.get("not_rising", ()), own.get("rises", ())
+        nonzero, any_of = own.get("nonzero", False), own.get("mode", "any") == "any"
+        tests = []
+        for c, allowed in slack[name].items():
+            hit = F.col(c) < against(c) if not allowed else (F.col(c) - against(c)) < -allowed
+            tests.append(hit & (F.col(c) != 0) if nonzero else hit)
+        tests += [F.col(c) <= against(c) for c in not_rising]
+        for c in rises:
+            hit = F.col(c) > against(c)
+            tests.append(hit & (F.col(c) != 0) if nonzero else hit)
+        first = F.coalesce(reduce((lambda a, b: a | b) if any_of else (lambda a, b: a & b), tests), F.lit(False))
+        again = F.lit(0)
+        # among identical rows only "must be above" can break
+        if not_rising if any_of else not (slack[name] or rises):
+            known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in not_rising])
+            again = F.when(known, F.col(COPIES) - 1).otherwise(0)
+        return F.when(first, 1).otherwise(0) + again
+
+    return prev.withColumns({name: score(name) for name in sets}).drop(COPIES, *[f"_prev_{c}" for c in watched])
+
+
+def _scored(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (DAY, SECURITY), keep: Sequence[str] = (),
+            rows_per_segment: int = ROWS_PER_SEGMENT, **conditions) -> DataFrame:
+    """``_scored_sets`` for one set of conditions, in the column ``n``."""
+    return _scored_sets(df, order, {"n": conditions}, keys, keep, rows_per_segment)
 
 
 def breaks(df: DataFrame, order: Sequence[str], **conditions) -> DataFrame:
@@ -220,12 +225,20 @@ def count_breaks(df: DataFrame, rule: str, order: Sequence[str], sessions=None,
                  detail: bool = False, **conditions) -> DataFrame:
     """Ordering breaks counted per day. ``sessions`` filters the offending rows,
     not the rows they are compared with. Days without a break report 0."""
-    rows = _scored(df, order, keep=["clock"] if sessions else [], **conditions)
-    n = F.col("n")
-    if sessions:
-        n = F.when(in_sessions(F.col("clock"), sessions), n).otherwise(0)
-    counted = rows.groupBy(*_group(detail)).agg(F.sum(n).alias("n"))
-    return _finish(counted.withColumn("rule", F.lit(rule)), detail)
+    return count_break_sets(df, order, {rule: conditions | {"sessions": sessions}}, detail)
+
+
+def count_break_sets(df: DataFrame, order: Sequence[str], sets: Mapping[str, Mapping], detail: bool = False) -> DataFrame:
+    """Several ordering rules of one order in one pass: rule name -> conditions,
+    with its ``sessions`` if it has any."""
+    timed = {rule: s.get("sessions") for rule, s in sets.items()}
+    rows = _scored_sets(df, order, sets, keep=["clock"] if any(timed.values()) else [])
+    sums = [
+        F.sum(F.when(in_sessions(F.col("clock"), timed[rule]), F.col(rule)).otherwise(0) if timed[rule] else F.col(rule)).alias(rule)
+        for rule in sets
+    ]
+    counted = rows.groupBy(*_group(detail)).agg(*sums)
+    return _finish(counted.unpivot(_group(detail), list(sets), "rule", "n"), detail)
 
 
 def volume_summary(feeds: Mapping[str, DataFrame]) -> DataFrame:
@@ -306,15 +319,16 @@ def feed_report(feed: str, df: DataFrame, fmt: str = "new", mode: str = "any",
     """Every rule that needs only this feed."""
     out = [count_rows(df, row_rules(feed, fmt), detail)]
     if feed == "snap":
-        out.append(count_breaks(
-            df, "snap_counters_fall", ["ts"] if fmt == "new" else ["ts", "numtrades"],
-            falls=COUNTERS, not_rising=["ts"] if fmt == "new" else (), mode=mode,
-            sessions=CONTINUOUS_SESSIONS if fmt == "old" else None, detail=detail,
-        ))
-        out.append(count_breaks(
-            df, "snap_high_low_moves_back", ["ts"], falls=["highpx"], rises=["lowpx"],
-            nonzero=True, detail=detail,
-        ))
+        fall = {"falls": COUNTERS, "mode": mode}
+        back = {"falls": ["highpx"], "rises": ["lowpx"], "nonzero": True}
+        if fmt == "new":
+            out.append(count_break_sets(df, ["ts"], {
+                "snap_counters_fall": fall | {"not_rising": ["ts"]}, "snap_high_low_moves_back": back,
+            }, detail))
+        else:
+            sessions = CONTINUOUS_SESSIONS if fmt == "old" else None
+            out.append(count_breaks(df, "snap_counters_fall", ["ts", "numtrades"], sessions, detail, **fall))
+            out.append(count_breaks(df, "snap_high_low_moves_back", ["ts"], detail=detail, **back))
     elif feed == "order" and fmt == "new":
         out.append(count_breaks(df, "order_sequence", ["applseqnum"], falls=["ts"],
                                 not_rising=["applseqnum"], detail=detail))
