@@ -268,6 +268,9 @@ _TRACKED_HERE = [c for c in examine.TRACKED if c not in (
         "Buy1NumOrders", "Buy1NoOrders", "Sell1NumOrders", "Sell1NoOrders"))]
 
 
+_PUBLISHED_HERE = {c.split(":")[0] for c in _NEW_SNAP_COLUMNS.split()}
+
+
 @query("examine_store", "trade_date:s rule:s n:i", " union all ".join([
     _count_sql("{stored_snaps}", {
         "level_qty_without_price": _UNPRICED, "outside_limits": "lastpx <> 0 and (lastpx > uplimitpx or lastpx < downlimitpx)",
@@ -278,10 +281,13 @@ _TRACKED_HERE = [c for c in examine.TRACKED if c not in (
     _count_sql("""(select *, lag(totalvolumetrade) over w as p_vol, lag(totalvaluetrade) over w as p_val,
       lag(highpx) over w as p_high, lag(lowpx) over w as p_low from {stored_snaps}
       window w as (partition by trade_date, securityid order by ts)) as l""", _BACK),
-    # every tracked cell is filled for these rows
+    *[f"""select cast(strptime(MDDate, '%Y%m%d') as date), 'blank:{c}',
+      count(*) filter (where {c} is null or trim(cast({c} as varchar)) in ('', 'NaN', 'nan')) from {{published_snaps}} group by MDDate"""
+      for c in _TRACKED_HERE if c in _PUBLISHED_HERE],
+    # the published SQL leaves these out; the feed fills them in every row
     f"select d, c, 0 from (select distinct trade_date as d from {{stored_snaps}}), "
-    f"(select unnest([{', '.join(repr('blank:' + c) for c in _TRACKED_HERE)}]) as c)",
-]), {"stored_snaps": _STORED_SNAPS})
+    f"(select unnest([{', '.join(repr('blank:' + c) for c in _TRACKED_HERE if c not in _PUBLISHED_HERE)}]) as c)",
+]), {"stored_snaps": _STORED_SNAPS, "published_snaps": _NEW_SNAP})
 def examine_store(t):
     store = publish.publish_snapshots(feed(t, "snap"), t["products_sz"], feed(t, "snap_level"))
     closed = t["typed_snap"].select("trade_date").distinct().where(~times.weekday(F.col("trade_date")))
