@@ -170,7 +170,9 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, runs: int = RUNS, tex
             both += matrix @ matrix.T
         return both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
 
-    texts = rows.join(needed, ["k1", "k2"]).select("node", "body").mapInArrow(shingled, "node long, runs array<long>").dropDuplicates(["node"])
+    # What is compared grows with the documents, so it is never broadcast. Rows
+    # that repeat go while the texts are still dealt by their keys.
+    texts = rows.join(needed.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("node", "body").mapInArrow(shingled, "node long, runs array<long>")
     hits = links(members, texts.join(nodes.select("node", "weight"), "node"), ["runs"], linked)
     return with_components(found.select("ident", "k1", "k2", "node"), nodes, hits)
 

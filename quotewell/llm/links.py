@@ -53,8 +53,9 @@ def links(members: DataFrame, nodes: DataFrame, payload: list[str], linked: Call
     groups = F.lit(max(1, members.where(F.col("size") <= CHUNK).count() // GROUP_ROWS))
     home = F.when(F.col("size") > CHUNK, F.xxhash64("bucket", "a", "b")).otherwise(F.pmod(F.xxhash64("bucket"), groups))
     buckets = members.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-    needed = saved(nodes.join(buckets, "node"), "compared")
-    rows = tiles.select(home.alias("home"), "bucket", "a", "b", "own", "node").join(needed.select("node", "weight", "buckets", *payload), "node")
+    # All joins are on the node: a payload is dealt once by its node and once by tile.
+    needed = nodes.select("node", "weight", *payload).join(buckets.hint("merge"), "node")
+    rows = needed.join(tiles.select(home.alias("home"), "bucket", "a", "b", "own", "node").hint("merge"), "node")
 
     def compare(table: pa.Table) -> pa.Table:
         order = table.select(["bucket", "a", "b", "node"]).append_column("at", pa.array(np.arange(len(table)))).sort_by([("bucket", "ascending"), ("a", "ascending"), ("b", "ascending"), ("node", "ascending")])
