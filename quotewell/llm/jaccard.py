@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from quotewell.llm.links import components, distinct_buckets, links
 
 WORDS = 5
 TOKENS = 64  # minhash tokens that stand for a set
-RUNS = 5
+RECALL = 0.9998  # of pairs right at the threshold
 SMALL = 100  # buckets of at most so many sets are compared
 SIMILAR = 0.7  # a bucket that keeps this share of its parent holds similar sets and is compared, too
 DEPTH = 10
@@ -99,7 +100,15 @@ def _children(path: Column, sketch: Column) -> Column:
     return F.when(more, F.array_distinct(F.array(child(1), child(2)))).otherwise(F.array(child(1)))
 
 
-def candidate_buckets(sets: DataFrame, runs: int = RUNS) -> DataFrame:
+def runs_for(recall: float, threshold: float) -> int:
+    """Runs until a pair at the threshold has met with this probability. In one
+    run it takes the same first path with the threshold's probability, or with
+    that of one of two paths at every fourth node."""
+    meets = 0.75 * threshold + 0.25 * (1 - (1 - threshold) ** 2)
+    return ceil(log(1 - recall) / log(1 - meets))
+
+
+def candidate_buckets(sets: DataFrame, runs: int) -> DataFrame:
     """node, bucket: the buckets of all runs in which sets (node, sketch) are to be compared.
 
     All runs go down together, one level per round. A bucket of one set is done.
@@ -125,7 +134,7 @@ def candidate_buckets(sets: DataFrame, runs: int = RUNS) -> DataFrame:
     return out
 
 
-def jaccard_links(docs: DataFrame, threshold: float = 0.8, runs: int = RUNS, text: str = "text", ident: str = "doc_id") -> DataFrame:
+def jaccard_links(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """ident, k1, k2 (hash of id and text), n_links, component_id (least id reachable by links), root (the component), one row per row of docs.
 
     A link is a Jaccard similarity >= threshold of the sets of five-word runs,
@@ -134,8 +143,9 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, runs: int = RUNS, tex
     Texts without words (null, empty, blank) link with nothing. Null ids link
     but do not name a component unless all of its ids are null.
 
-    A pair at 0.8 meets in a compared bucket of a run with about 0.84, so that
-    five runs miss 1 in 10,000; more splits of crowded buckets lower that.
+    Runs are repeated until `recall` is reached: five at 0.8, as a pair meets in
+    the first bucket of a run with 0.84. Crowded buckets are split further, which
+    lowers that for pairs right at the threshold that share theirs with others.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(col(ident).alias("ident"), col(text).alias("body")).select("ident", *key_pair(F.col("ident"), F.col("body")), "body")
@@ -146,7 +156,7 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, runs: int = RUNS, tex
     # The sketch of a class is that of its representative: a join on the row, which no class crowds.
     rep = nodes.select("node", "rep.k1", "rep.k2")
     sets = saved(found.select("k1", "k2", "sketch").join(rep, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "sketch"), "set-sketches")
-    members = distinct_buckets(candidate_buckets(sets, runs))
+    members = distinct_buckets(candidate_buckets(sets, runs_for(recall, threshold)))
     needed = saved(members.select("node").distinct().join(rep, "node").select("k1", "k2", "node"), "needed")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quotewell.llm.bpe import default_tokenizer, encoder
 from quotewell.llm.common import col, read, small_batches
 from quotewell.session import scratch_dir
+from quotewell.sources.files import matching_paths
 
 END_OF_DOCUMENT = 50256
 BLOCK_TOKENS = 1 << 19
@@ -49,6 +50,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, tex
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
+    if not matching_paths(spark, folder):  # an empty table leaves no folder
+        return spark.createDataFrame([], "file string, length long, content binary")
     return spark.read.format("binaryFile").load(folder).select(F.regexp_extract("path", r"([^/]+?)(-[0-9a-f]{8}-[^/]*)?$", 1).alias("file"), "length", "content")
 
 

@@ -75,10 +75,14 @@ def test_jaccard_against_plain(spark, monkeypatch):
         monkeypatch.setattr(links, "CHUNK", chunk)
         rows = list(enumerate(corpus()))
         want_links, want_group = plain([t for _, t in rows])
-        got = {r.ident: (r.n_links, r.component_id) for r in jaccard_links(texts(spark, rows), runs=8).collect()}
+        got = {r.ident: (r.n_links, r.component_id) for r in jaccard_links(texts(spark, rows), recall=0.999999).collect()}
         assert got == {i: (want_links[i], want_group[i]) for i, _ in rows}, small
 
 
+def test_runs_reach_the_recall():
+    assert [jaccard.runs_for(r, 0.8) for r in (0.8, 0.9, 0.99, jaccard.RECALL)] == [1, 2, 3, 5]
+
+
 def test_one_large_family(spark):
     rows = list(enumerate(corpus(2, families=1, size=700, words=120, edits=2)))
     want_links, want_group = plain([t for _, t in rows])
