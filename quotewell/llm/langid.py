@@ -16,6 +16,7 @@ from quotewell.llm.common import col, read, small_batches
 
 BUCKETS = 1 << 14  # n-grams of one to three characters hash into so many features
 ROWS_PER_LANG = 600  # bound of the sample that weights are fitted on, per language
+PARTS = 16
 _PIECE = 1 << 19  # characters looked at together
 _CALIBRATE = 5  # every fifth sampled row fits the temperature, the others the weights
 
@@ -146,8 +147,10 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", ident: str =
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
 
     hashed = usable.withColumn("at", F.xxhash64("ident", "body"))
-    first = W.partitionBy("lang").orderBy("at", "ident")
-    ranked = hashed.select("lang", "at", "ident").withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows_per_lang)
+    # The least of each part first, then the least of those: no task sees more than PARTS * rows_per_lang rows of a language.
+    ranked = hashed.select("lang", "at", F.pmod("at", F.lit(PARTS)).alias("part"))
+    for by in (["lang", "part"], ["lang"]):
+        ranked = ranked.withColumn("n", F.row_number().over(W.partitionBy(*by).orderBy("at"))).where(F.col("n") <= rows_per_lang)
     sample = hashed.join(F.broadcast(ranked.select(F.col("at"), F.col("lang")).distinct()), ["at", "lang"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
