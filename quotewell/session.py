@@ -31,15 +31,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_OWN: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: spark.checkpoint.dir where the cluster
-    names one. The temp-folder fallback is for local masters only."""
+    names one. Where it is unset, local masters (tests) get one temp folder for
+    each application, which goes when Python ends."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="quotewell-")
+    application = spark.sparkContext.applicationId
+    if application not in _OWN:
+        _OWN[application] = tempfile.TemporaryDirectory(prefix="quotewell-")
+    return _OWN[application].name
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
