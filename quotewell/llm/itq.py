@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewell.llm.common import col, read, saved, small_batches
-from quotewell.llm.links import components, distinct_buckets, links
+from quotewell.llm.links import components, distinct_buckets, links, tile_plan
 
 SAMPLE = 4096  # vectors the rotations are fitted on
 BITS = 64  # of one rotation, at most
@@ -112,7 +112,7 @@ def vector_links(vectors: DataFrame, threshold: float = 0.9, vector: str = "embe
             x = _matrix(table.column("vec"), width)
             return x @ x.T >= threshold
 
-        hits = links(distinct_buckets(members), nodes, ["vec"], linked)
+        hits = links(nodes.select("node", "weight", "vec").join(tile_plan(distinct_buckets(members)), "node"), linked)
     else:
         hits = spark.createDataFrame([], "node long, root long, links long")
     return with_components(found, nodes, hits)

@@ -11,10 +11,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotewell.llm.common import col, key_pair, packed, read, saved, small_batches, unpacked
 from quotewell.llm.itq import with_components
-from quotewell.llm.links import components, distinct_buckets, links
+from quotewell.llm.links import distinct_buckets, links, tile_plan
 
 WORDS = 5
 TOKENS = 64  # minhash tokens that stand for a set
@@ -157,12 +158,13 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, recall: float = RECAL
     rep = nodes.select("node", "rep.k1", "rep.k2")
     sets = saved(found.select("k1", "k2", "sketch").join(rep, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "sketch"), "set-sketches")
     members = distinct_buckets(candidate_buckets(sets, runs_for(recall, threshold)))
-    needed = saved(members.select("node").distinct().join(rep, "node").select("k1", "k2", "node"), "needed")
+    needed = saved(tile_plan(members).join(nodes.select("node", "weight", "rep.*"), "node"), "needed")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = shingle_sets(batch.column("body").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["node", "runs"])
+            rest = [c for c in batch.schema.names if c != "body"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=[*rest, "runs"])
 
     def linked(table: pa.Table) -> np.ndarray:
         column = table.column("runs").combine_chunks()
@@ -181,9 +183,11 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, recall: float = RECAL
         return both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
 
     # What is compared grows with the documents, so it is never broadcast. Rows
-    # that repeat go while the texts are still dealt by their keys.
-    texts = rows.join(needed.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("node", "body").mapInArrow(shingled, "node long, runs array<long>")
-    hits = links(members, texts.join(nodes.select("node", "weight"), "node"), ["runs"], linked)
+    # that repeat go while the texts are still dealt by their keys, and sets are
+    # made from them right before they are dealt by tile.
+    texts = rows.select("k1", "k2", "body").join(needed.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).drop("k1", "k2")
+    schema = T.StructType([*(f for f in texts.schema.fields if f.name != "body"), T.StructField("runs", T.ArrayType(T.LongType()))])
+    hits = links(texts.mapInArrow(shingled, schema), linked)
     return with_components(found.select("ident", "k1", "k2", "node"), nodes, hits)
 
 

@@ -32,30 +32,38 @@ def distinct_buckets(members: DataFrame) -> DataFrame:
     return saved(members.join(kept, "bucket"), "bucket-members")
 
 
-def links(members: DataFrame, nodes: DataFrame, payload: list[str], linked: Callable[[pa.Table], np.ndarray]) -> DataFrame:
-    """node, root, links: for each tile a node is compared in and has links in, the least node it hangs together with there, and the summed weight of its partners.
-
-    members: node, bucket, size (from distinct_buckets); nodes: node, weight and
-    the payload columns. linked(table) gives the symmetric matrix of links of
-    the nodes in a table of payloads.
+def tile_plan(members: DataFrame) -> DataFrame:
+    """node, buckets (in order) and tiles of every node: the comparisons it takes part in.
 
-    A bucket of more than CHUNK nodes is cut into chunks by hash and every pair
-    of chunks is one tile, so no task holds a whole bucket. A pair that shares
-    several buckets counts only in the one with the least number.
+    members: node, bucket, size (from distinct_buckets). A bucket of more than
+    CHUNK nodes is cut into chunks by hash and every pair of chunks is one tile,
+    so no task holds a whole bucket. home names the group of tiles that is
+    handled together: a tile of a large bucket alone, small buckets in groups.
     """
-    small_batches(nodes.sparkSession)
     chunks = F.ceil(F.col("size") / CHUNK)
     own = F.pmod(F.xxhash64("node", "bucket"), chunks)
+    groups = F.lit(max(1, members.where(F.col("size") <= CHUNK).count() // GROUP_ROWS))
+    home = F.when(F.col("size") > CHUNK, F.xxhash64("bucket", "a", "b")).otherwise(F.pmod(F.xxhash64("bucket"), groups))
     tiles = (
         members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
         .withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other"))
+        .select("node", F.struct(home.alias("home"), "bucket", "a", "b", "own").alias("tile"))
     )
-    groups = F.lit(max(1, members.where(F.col("size") <= CHUNK).count() // GROUP_ROWS))
-    home = F.when(F.col("size") > CHUNK, F.xxhash64("bucket", "a", "b")).otherwise(F.pmod(F.xxhash64("bucket"), groups))
-    buckets = members.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-    # All joins are on the node: a payload is dealt once by its node and once by tile.
-    needed = nodes.select("node", "weight", *payload).join(buckets.hint("merge"), "node")
-    rows = needed.join(tiles.select(home.alias("home"), "bucket", "a", "b", "own", "node").hint("merge"), "node")
+    return tiles.groupBy("node").agg(
+        F.array_sort(F.collect_set("tile.bucket")).alias("buckets"), F.collect_list("tile").alias("tiles")
+    )
+
+
+def links(rows: DataFrame, linked: Callable[[pa.Table], np.ndarray]) -> DataFrame:
+    """node, root, links: for each tile a node is compared in and has links in, the least node it hangs together with there, and the summed weight of its partners.
+
+    rows: one per node with weight, buckets and tiles (from tile_plan), and what
+    linked(table) needs, which gives the symmetric matrix of links of the nodes
+    in a table of such rows. A pair that shares several buckets counts only in
+    the one with the least number. What rows carry is dealt once, by tile.
+    """
+    small_batches(rows.sparkSession)
+    rows = rows.select(*[c for c in rows.columns if c != "tiles"], F.explode("tiles").alias("tile")).select("*", "tile.*").drop("tile")
 
     def compare(table: pa.Table) -> pa.Table:
         order = table.select(["bucket", "a", "b", "node"]).append_column("at", pa.array(np.arange(len(table)))).sort_by([("bucket", "ascending"), ("a", "ascending"), ("b", "ascending"), ("node", "ascending")])
