@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 import quotewell
 from quotewell.session import scratch_dir
 
-# Rows are passed to Python in batches of this many; a batch of long texts must
-# fit into a worker next to its arrays.
-BATCH_ROWS = 256
+# Rows are passed to Python in batches of at most so many rows and bytes; a batch
+# must fit into a worker next to its arrays. A row larger than that comes alone.
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,6 +28,7 @@ _SHIPPED: set[str] = set()
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Readies the session for functions that run in Python workers: bounded batches, and this package on every executor."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         top = os.path.dirname(os.path.dirname(os.path.abspath(quotewell.__file__)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -62,16 +63,17 @@ def build(classes: DataFrame, ceiling: float) -> tuple[DataFrame, DataFrame]:
     is dealt by hash to as many subtrees as it takes, so that a task builds, and
     later searches, about UNIT entries however crowded a place is.
 
-    pages: unit, parent (routing object of the subtree), pivot, radius (covering),
+    pages: region, part (the subtree), parent (its routing object), pivot, radius (covering),
     to_parent (distance of pivot and parent), entries, own (distance of each
-    entry to the pivot), ids. units: unit, region, parent, radius (covering).
+    entry to the pivot), ids. regions: region, parent, radius (covering all its
+    subtrees), last (number of its last subtree).
     """
     spark = classes.sparkSession
     n = classes.count()
     sample = classes.orderBy(F.xxhash64(F.lit("pivot"), "node")).limit(max(1, min(PIVOTS, ceil(n / UNIT) * 4))).select("vec").toArrow()
     shared = spark.sparkContext.broadcast(_metric(_rows(sample.column("vec")), ceiling))
 
-    def place(batches):  # noqa: ANN001, ANN202
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
                 x = _metric(_rows(pa.chunked_array([batch.column("vec")])), ceiling)
@@ -103,7 +105,7 @@ def build(classes: DataFrame, ceiling: float) -> tuple[DataFrame, DataFrame]:
     return pages, saved(regions, "regions")
 
 
-def _search(k: int):  # noqa: ANN202
+def _search(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The function that searches one subtree for a block of queries."""
 
     def run(tree: pa.Table, asked: pa.Table) -> pa.Table:
@@ -182,7 +184,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "ve
     table = sorted((r.asDict() for r in regions.collect()), key=lambda r: r["region"])
     shared = spark.sparkContext.broadcast((np.array([r["parent"] for r in table]), np.array([r["radius"] for r in table]), np.array([r["region"] for r in table], np.int32)))
 
-    def reach(batches):  # noqa: ANN001, ANN202
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each query the regions, nearest lower bound first, with that bound."""
         parents, radii, numbers = shared.value
         for batch in batches:
