@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 from os.path import commonprefix
 
 import numpy as np
@@ -74,7 +73,7 @@ class Encoder:
         self.ends = {end: sorted(lengths, reverse=True) for end, lengths in ends.items()}
         self.follows: dict[tuple[int, int], bool] = {}
         self.spines: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        self.known: dict[str, bytes] = {}  # encodings as 32-bit ids side by side
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens at one edge (0 first, 1 last) while `token` is built, each with the rank of the merge that ends it."""
@@ -102,8 +101,8 @@ class Encoder:
             self.follows[a, b] = out
         return out
 
-    def _walk(self, words: list[bytes]) -> Iterator[bytes]:
-        """The encodings of sorted words, as 32-bit ids side by side."""
+    def _walk(self, words: list[bytes]) -> Iterator[tuple[int, ...]]:
+        """The encodings of sorted words."""
         token_of, lengths_of, known, ask = self.ids.get, self.ends.get, self.follows.get, self.may_follow
         last: list[int] = [-1]  # by prefix length: its last token
         size: list[int] = [0]  # and that token's length
@@ -131,10 +130,9 @@ class Encoder:
                 out.append(last[end])
                 end -= size[end]
             before = word
-            out.reverse()
-            yield array("i", out).tobytes()
+            yield tuple(reversed(out))
 
-    def learn(self, words: Iterable[str]) -> dict[str, bytes]:
+    def learn(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
         """A table with the encodings of all these words."""
         new = sorted({w.encode() for w in words if w not in self.known})
         if len(self.known) + len(new) > _KEEP_WORDS:
@@ -159,13 +157,14 @@ class Encoder:
     def encode(self, texts: list[str | None], special: bool = True) -> list[np.ndarray]:
         """Token ids of each text; a null text has none."""
         cut = [list(self.words(t or "", special)) for t in texts]
-        plain = [part for parts in cut for part in parts if part and type(part[0]) is str]
-        table = self.learn(set().union(*plain))
-
-        def joined(part: list[str | int]) -> bytes:
-            return b"".join(map(table.__getitem__, part)) if part and type(part[0]) is str else array("i", part).tobytes()
-
-        return [np.frombuffer(b"".join(map(joined, parts)), dtype=np.int32) for parts in cut]
+        table = self.learn({w for parts in cut for part in parts for w in part if type(w) is str})
+        get = lambda w: table[w] if type(w) is str else (w,)
+        return [
+            np.fromiter(chain.from_iterable(chain.from_iterable(
+                map(table.__getitem__, part) if part and type(part[0]) is str else map(get, part) for part in parts
+            )), dtype=np.int32)
+            for parts in cut
+        ]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
