@@ -17,7 +17,9 @@ SAMPLE = 4096  # vectors the rotations are fitted on
 BITS = 64  # of one rotation, at most
 ROUNDS = 30
 EXPECTED = 64  # vectors of unrelated content that share a table entry with a vector, about
-RECALL = 0.995  # expected for a pair right at the threshold
+RECALL = 0.995  # measured on pairs at the threshold
+PROBE = 4  # rotations the bits of a key are chosen by
+ENOUGH = 200  # with fewer pairs of the sample at the threshold only those made for it are measured
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
@@ -64,21 +66,99 @@ def fit_rotations(x: np.ndarray, n: int, seed: int = 11) -> tuple[np.ndarray, np
 
 
 def tables_for(n: int, threshold: float) -> tuple[int, int]:
-    """Bits of a table's key and number of tables for n vectors.
+    """Bits of a table's key, at most, and number of tables for n vectors whose mean is zero.
 
-    A bit of two vectors at the threshold differs with probability angle / pi.
+    A bit of two such vectors at the threshold differs with probability angle / pi; plan_tables() measures it.
     """
     bits = max(4, round(log2(max(n, 2) / EXPECTED)))
     meet = (1 - acos(threshold) / pi) ** bits
     return bits, ceil(log(1 - RECALL) / log(1 - meet))
 
 
+def pairs_at(x: np.ndarray, threshold: float, seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs at the threshold to measure recall on, kind by kind, as two matrices of their vectors.
+
+    The second vector of a pair is spread about the mean as the rows are, or lies
+    in any direction from the first. The rows' own pairs up to 0.02 above the
+    threshold come third, if there are ENOUGH. Where unrelated rows are linked
+    already, the pairs of the first kind are unrelated.
+    """
+    random = np.random.default_rng(seed)
+    mean = x.mean(axis=0)
+    own = x - mean
+    other = own[random.permutation(len(x))]
+    low, high = np.zeros((len(x), 1)), np.ones((len(x), 1))
+    for _ in range(40):
+        mid = (low + high) / 2
+        linked = (x * _unit(mean + mid * own + np.sqrt(1 - mid * mid) * other)).sum(axis=1, keepdims=True) >= threshold
+        low, high = np.where(linked, low, mid), np.where(linked, mid, high)
+    away = random.standard_normal(x.shape)
+    away = _unit(away - (away * x).sum(axis=1, keepdims=True) * x)
+    kinds = [(x, _unit(mean + high * own + np.sqrt(1 - high * high) * other)), (x, threshold * x + np.sqrt(max(1 - threshold * threshold, 0)) * away)]
+    found, step = [], 512
+    for at in range(0, len(x), step):
+        cosines = x[at : at + step] @ x.T
+        i, j = np.nonzero((cosines >= threshold) & (cosines < threshold + 0.02))
+        found.append(np.stack([i + at, j])[:, i + at < j])
+    i, j = np.concatenate(found, axis=1)
+    if len(i) >= ENOUGH:
+        chosen = random.permutation(len(i))[:SAMPLE]
+        kinds.append((x[i[chosen]], x[j[chosen]]))
+    return kinds
+
+
+def plan_tables(x: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """mean, projections, bits of a key and number of tables for n vectors like those of the sample x.
+
+    How often a bit of two vectors at the threshold agrees depends on the rows:
+    the more their mean has of their length, the less it does. It is measured
+    on pairs_at(); the bits that make the fewest comparisons are taken, and
+    tables are added until every kind of pairs meets with RECALL. Where tables
+    would take as much as comparing all vectors, there is one table without
+    bits and all are compared.
+    """
+    kinds = pairs_at(x, threshold)
+    size = min(BITS, x.shape[1])
+    mean, projection = fit_rotations(x, PROBE)
+
+    def agreeing(turn: np.ndarray) -> list[np.ndarray]:
+        return [((a - mean) @ turn >= 0) == ((b - mean) @ turn >= 0) for a, b in kinds]
+
+    def most(bits: int) -> int:
+        return int(n / (EXPECTED + n / 2**bits))
+
+    shares = [same.mean(axis=1) for same in agreeing(projection)]
+    plans = []
+    for bits in range(4, tables_for(n, threshold)[0] + 1):
+        low, high = 0, most(bits) + 1
+        while high - low > 1:
+            mid = (low + high) // 2
+            enough = all((1 - (1 - p**bits) ** mid).mean() >= RECALL for p in shares)
+            low, high = (low, mid) if enough else (mid, high)
+        if high <= most(bits):
+            plans.append((high * (EXPECTED + n / 2**bits), bits, high))
+    if plans:
+        _, bits, tables = min(plans)
+        while tables <= most(bits):
+            mean, projection = fit_rotations(x, ceil(bits * tables / size))
+            projection = projection[:, : bits * tables]
+            if all(_meet(same, bits) >= RECALL for same in agreeing(projection)):
+                return mean, projection, bits, tables
+            tables += max(1, tables // 8)
+    return mean, projection[:, :0], 0, 1
+
+
+def _meet(same: np.ndarray, bits: int) -> float:
+    """Share of pairs that agree in all bits of a table, given whether they agree in each bit."""
+    return float(same.reshape(len(same), -1, bits).all(axis=2).any(axis=1).mean())
+
+
 def vector_links(vectors: DataFrame, threshold: float = 0.9, vector: str = "embedding", ident: str = "vec_id") -> DataFrame:
     """ident, n_links, component_id (least ident reachable by links, its own included), one row per row of vectors.
 
     Links are pairs of cosine >= threshold, computed in double precision from
     the original vectors; pairs are looked for among vectors whose codes agree
-    in one of the tables. Vectors that are null, empty or zero, or hold null or
+    in one of the tables, as many as plan_tables() finds to be needed. Vectors that are null, empty or zero, or hold null or
     non-finite components, link with nothing. A vector shorter than the longest
     counts as ending in zeros. Equal vectors are one node with a weight, so a
     vector of any number of copies is compared once. Null ids link but do not
@@ -92,10 +172,8 @@ def vector_links(vectors: DataFrame, threshold: float = 0.9, vector: str = "embe
     n, width = nodes.agg(F.count("*"), F.max(F.size("vec"))).first()
     if n:
         sample = nodes.select("vec").orderBy(F.xxhash64(F.lit("sample"), "node")).limit(SAMPLE).toArrow()
-        bits, tables = tables_for(n, threshold)
-        x = _matrix(sample.column("vec"), width)
-        mean, projection = fit_rotations(x, ceil(bits * tables / min(BITS, width)))
-        shared = spark.sparkContext.broadcast((mean, projection[:, : bits * tables]))
+        mean, projection, bits, tables = plan_tables(_matrix(sample.column("vec"), width), n, threshold)
+        shared = spark.sparkContext.broadcast((mean, projection))
 
         def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             centre, turn = shared.value

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from quotewell.llm import jaccard, links
-from quotewell.llm.itq import tables_for, vector_links
+from quotewell.llm.itq import plan_tables, tables_for, vector_links
 from quotewell.llm.jaccard import jaccard_links, jaccard_stage
 from quotewell.llm.links import components
 
@@ -153,3 +153,36 @@ def test_no_vectors(spark):
 def test_tables_grow_with_the_number_of_vectors():
     assert tables_for(100, 0.9)[0] == 4 and tables_for(10**9, 0.9)[0] == 24
     assert tables_for(10**9, 0.9)[1] > tables_for(10**6, 0.9)[1] > tables_for(1000, 0.9)[1]
+
+
+def about_a_direction(n, width, length, seed):
+    """n vectors whose mean has the given length, each second one just above a cosine of 0.9 with the one before."""
+    rng = np.random.default_rng(seed)
+    spread = np.sqrt((1 - length * length) / width)
+    x = spread * rng.standard_normal((n, width))
+    x[:, 0] += length
+    cosine = 1 - 0.099 / (1 - length * length)  # of the parts beside the mean
+    x[1::2] = cosine * x[::2] + np.sqrt(1 - cosine * cosine) * spread * rng.standard_normal((n // 2, width))
+    x[1::2, 0] += (1 - cosine) * length
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("length", [0.0, 0.8])
+def test_recall_whatever_the_mean(length):
+    x = about_a_direction(4096, 96, length, 8)
+    mean, projection, bits, tables = plan_tables(x[:3000], 10**5, 0.9)
+    assert bits and projection.shape[1] == bits * tables < 10**5
+    a, b = x[3000::2], x[3001::2]
+    near = (a * b).sum(axis=1) >= 0.9
+    same = (((a - mean) @ projection >= 0) == ((b - mean) @ projection >= 0)).reshape(len(a), tables, bits)
+    assert near.sum() > 200 and same.all(axis=2).any(axis=1)[near].mean() >= 0.985
+
+
+def test_vectors_about_a_common_direction(spark):
+    x = about_a_direction(3000, 64, 0.85, 9).astype(np.float32)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    got = {r.ident: r.n_links for r in vector_links(vectors(spark, list(enumerate(x)))).collect()}
+    assert all(got[i] <= linked[i].sum() for i in range(len(x))) and linked.sum() > 1000
+    assert sum(got.values()) >= 0.99 * linked.sum()
