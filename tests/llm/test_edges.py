@@ -29,6 +29,8 @@ def folder(spark, path, documents, vectors, labels):
     spark.createDataFrame([(*r, *pad) for r in documents], DOCUMENTS).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(*r, *pad) for r in vectors], EMBEDDINGS).write.parquet(f"{path}/embeddings.parquet")
     spark.createDataFrame(labels, LABELS).write.parquet(f"{path}/labels.parquet")
+    items = [(i, PROSE, *pad) for i in range(3)] + [(None, None, *pad), (4, "", *pad)] if documents else []
+    spark.createDataFrame(items, T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType()), *EXTRA])).write.parquet(f"{path}/benchmark.parquet")
     return str(path)
 
 
@@ -48,7 +50,7 @@ def test_empty_tables(spark, empty, name):
     assert query(spark, empty).count() == 0
 
 
-PER_ROW = ["op1_quality", "op4_bpe", "op5_ngram_jaccard", "op8_line_dedup", "op9_language_id", "op10_token_counts"]
+PER_ROW = ["op1_quality", "op4_bpe", "op5_ngram_jaccard", "op8_line_dedup", "op9_language_id", "op10_token_counts", "op11_merkle_manifest", "op13_decontaminate"]
 
 
 @pytest.mark.parametrize("name", PER_ROW)
@@ -61,6 +63,8 @@ def test_rows_of_the_others(spark, odd):
     assert {r.doc_id for r in QUERIES["op6_license_scan"](spark, odd).collect()} == {8}
     assert sorted(str(r.vec_id) for r in QUERIES["op7_embedding_near_dedup"](spark, odd).collect()) == sorted(str(v[0]) for v in VECTORS)
     assert {r.query_id for r in QUERIES["op2_top_k"](spark, odd).collect()} == {0, 40}
+    assert sorted(str(r.vec_id) for r in QUERIES["op12_whitening"](spark, odd).where("component = 1").collect()) == ["0", "0", "3", "4", "40", "None"]
+    assert {r.doc_id for r in QUERIES["op13_decontaminate"](spark, odd).where("contaminated").collect()} == {1, None, *range(10, 22)}
     assert set(QUERIES["op3_mixing"](spark, odd).columns) >= {"doc_id", "text", "n_copies"}
 
 
