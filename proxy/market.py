@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from proxy.core import query
 from quotewell.functions import arrays, codes, keys, numbers, times
-from quotewell.operators import clean, relational, rules
+from quotewell.operators import bitmaps, clean, relational, rules
 from quotewell.plans import publish, recon
-from quotewell.sources import readers, schemas
+from quotewell.session import scratch_dir
+from quotewell.sources import readers, schemas, sinks
 
 KEY3 = ["securityid", "ts", "applseqnum"]
 
@@ -264,6 +265,20 @@ def scan_store(t):
     return readers.scan_store(t["events"], "2024-01-05 09:00:00", "2024-01-12 15:00:00", ids, security="user_id")
 
 
+@query("scan_store_clustered", "event_id:i user_id:i", """
+select event_id, user_id from {events}
+where (ts between timestamp '2024-01-05 09:00:00' and timestamp '2024-01-12 15:00:00' and user_id between 3 and 7) or event_id in (17, 517, 917)""")
+def scan_store_clustered(t):
+    """Range scans of a store clustered by security and time, and look-ups of single ids by Bloom filter."""
+    path = scratch_dir(t.spark, "clustered")
+    rows = t["events"].withColumn("trade_date", F.to_date("ts"))
+    sinks.write_clustered(rows, path, ("user_id", "ts"), {"event_id": 100_000})
+    store = t.spark.read.parquet(path)
+    ranged = readers.scan_store(store, "2024-01-05 09:00:00", "2024-01-12 15:00:00", [3, 4, 5, 6, 7], security="user_id")
+    single = store.where(F.col("event_id").isin(17, 517, 917))
+    return ranged.select("event_id", "user_id").union(single.select("event_id", "user_id")).distinct()
+
+
 @query("store_cells", "row:s qualifier:s value:s", """
 select cast(c_custkey as varchar) as "row", 'c_name' as qualifier, c_name as value from {customer}
 union all select cast(c_custkey as varchar), 'c_nationkey', cast(c_nationkey as varchar) from {customer}
@@ -465,18 +480,40 @@ def rule_sum_vs_total_all(t):
     return rules.sum_vs_total(feed(t, "trade"), t["sql_totals"], mode="all", tolerance=20)
 
 
-@query("rule_missing_reference", _RULE, """
+_MISSING_SQL = """
 select d.trade_date, 'trade_without_order' as rule, count(m.id) as n
 from (select distinct trade_date from {sql_trade}) d left join (
   select distinct trade_date, id from (
     select trade_date, bidapplseqnum as id from {sql_trade} union all
     select trade_date, offerapplseqnum from {sql_trade}) as named
   where id <> 0 and not exists (select 1 from {sql_order} o where o.trade_date = named.trade_date and o.applseqnum = id)
-) m on m.trade_date = d.trade_date group by d.trade_date""")
+) m on m.trade_date = d.trade_date group by d.trade_date"""
+
+
+@query("rule_missing_reference", _RULE, _MISSING_SQL)
 def rule_missing_reference(t):
     return rules.missing_reference(feed(t, "trade"), feed(t, "order"))
 
 
+@query("rule_missing_reference_bitmap", _RULE, _MISSING_SQL)
+def rule_missing_reference_bitmap(t):
+    return rules.missing_reference_bitmap(feed(t, "trade"), feed(t, "order"))
+
+
+@query("trades_outside_bitmaps", "securityid:s applseqnum:i number:i", """
+select securityid, applseqnum, number from (
+  select trade_date, securityid, applseqnum, bidapplseqnum as number from {sql_trade}
+  union all select trade_date, securityid, applseqnum, offerapplseqnum from {sql_trade}) as named
+where number <> 0 and not exists (select 1 from {sql_order} o where o.trade_date = named.trade_date and o.applseqnum = number)""")
+def trades_outside_bitmaps(t):
+    """Trades whose orders are lacking, looked up in bitmaps that two loads of orders left."""
+    orders = feed(t, "order")
+    loads = [bitmaps.number_bitmaps(orders.where(f"orderqty % 2 = {i}"), "applseqnum", ["trade_date"]) for i in (0, 1)]
+    known = bitmaps.merged_bitmaps(loads[0].unionByName(loads[1]), ["trade_date"])
+    named = rules.named_numbers(feed(t, "trade"), seq="number", keep=("trade_date", "securityid", "applseqnum"))
+    return bitmaps.rows_outside(named, "number", known, ["trade_date"])
+
+
 @query("rule_blank_cells", _RULE, " union all ".join(
     f"select trade_date, 'blank:{c}' as rule, count(*) filter (where {c} is null or trim({c}) = '' or {c} = 'NaN') as n "
     "from {sql_blanks} group by trade_date" for c in ("contact", "desk", "total")))

@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from proxy.core import query
+from quotewell.functions import times
 from quotewell.functions.times import asof_business_day
 from quotewell.plans.marts import assets, flows, monthly, products as p
+from quotewell.session import scratch_dir
 
 DAY = "1998-06-30"
 _D, _B, _M, _Y = "date '1998-06-30'", "date '1998-05-31'", "date '1998-06-01'", "date '1998-01-01'"
@@ -157,6 +159,17 @@ def io_max_cost_year(t):
     return flows.margin_io_year(t, DAY)
 
 
+@query("io_max_cost_year_incremental", _IO_SPEC,
+       f"select {_D} as data_dt, * from ({_cost_sql(_margin_flow_sql(_Y), 'max_cost_fc')}) as x")
+def io_max_cost_year_incremental(t):
+    """The months before were stored in any order, one of them twice; the current month comes last."""
+    path = scratch_dir(t.spark, "cost-states")
+    past = flows.margin_flows(t, times.year_begin(DAY), times.previous_month_end(DAY))
+    flows.store_cost_states(past.where("net_in > 0"), path, times.year_begin(DAY), times.previous_month_end(DAY))
+    flows.store_cost_states(past, path, times.year_begin(DAY), times.previous_month_end(DAY))
+    return flows.margin_io_year_incremental(t, DAY, path)
+
+
 _MARGIN_BASE = f"""
 select c.pty_id, {_at('ms_cust_fc_aset_d', 'pur_aset', _B)} as b, {_at('ms_cust_fc_aset_d', 'pur_aset', _D)} as e,
   {_nz('io.fin_in_amt')} as i, {_nz('io.fin_out_amt')} as o, {_nz('io.max_cost_fc')} as cost

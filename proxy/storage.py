@@ -11,9 +11,9 @@ from proxy.core import query
 from quotewell.functions.times import FULL_SESSIONS, in_sessions
 from quotewell.plans import daily, publish, recon
 from quotewell.session import scratch_dir
-from quotewell.sources import partitions, readers, sinks
+from quotewell.sources import bucketed, manifest, partitions, readers, sinks
 from quotewell.sources.readers import normalize
-from quotewell.sources.schemas import INDEX
+from quotewell.sources.schemas import INDEX, TRADE
 from quotewell.streaming import ingest
 
 
@@ -37,6 +37,44 @@ def ingest_available_now(t):
     )
 
 
+_FILES = {"index": ("hq_index", INDEX), "trade": ("hq_trade", TRADE)}
+
+
+def _drop_files(t, root, part):
+    """One half of the index and trade files into day folders, with their markers and a file of no table."""
+    rows = {"index": t["raw_index"], "trade": t["raw_trade_ticks"]}
+    for half in (0, 1):
+        for feed, (name, schema) in _FILES.items():
+            mine = rows[feed].where(F.pmod(F.xxhash64("securityid", "origtime"), F.lit(4)) == 2 * part + half)
+            mine.select(*schema.fieldNames()).write.mode("append").option("mapreduce.output.basename", name).csv(f"{root}/d{half}", sep="\t")
+        for other in ("ok", "stock_status"):
+            t.spark.range(1).select(F.lit("x").alias("value")).write.mode("append").option("mapreduce.output.basename", other).text(f"{root}/d{half}")
+
+
+@query("ingest_manifest", "feed:s trade_date:s n:i volume:d", """
+select 'index' as feed, trade_date, count(*) as n, sum(totalvolumetrade) as volume from {sql_index} group by trade_date
+union all select 'trade', trade_date, count(*), sum(tradeqty) from {sql_trade_ticks} group by trade_date""")
+def ingest_manifest(t):
+    """Loads that are cut off before and after their rows are written, with files arriving in between."""
+    base = scratch_dir(t.spark, "manifest")
+    root, notes = f"{base}/in", f"{base}/notes"
+    targets = {feed: f"{base}/{feed}" for feed in _FILES}
+    _drop_files(t, root, 0)
+    days = ingest.ready_days(t.spark, root, "ok-*")
+    listed = manifest.arrived(t.spark, root, days)
+    manifest.begin(listed.where("feed = 'index'"), notes, 1)  # noted, then lost
+    cut = manifest.begin(listed.where("feed = 'trade'"), notes)
+    manifest.load(t.spark, cut, notes, targets["trade"])  # loaded, but not noted as done
+    _drop_files(t, root, 1)
+    for _ in range(2):  # the second load finds nothing new
+        manifest.load_arrivals(t.spark, root, ingest.ready_days(t.spark, root, "ok-*"), targets, notes, max_files=5)
+    parts = [
+        manifest.loaded(t.spark, targets[feed], notes).groupBy("trade_date").agg(F.count("*").alias("n"), F.sum(c).alias("volume")).withColumn("feed", F.lit(feed))
+        for feed, c in (("index", "totalvolumetrade"), ("trade", "tradeqty"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def _ticks(t):
     return t["events"].select(
         "event_id", "user_id", "event_type", F.col("value").cast("decimal(12,2)").alias("value"),
@@ -82,6 +120,23 @@ def upsert_rows(t):
     )
 
 
+@query("upsert_bucketed", "trade_date:s n:i total:d", f"""
+select trade_date, count(*) as n, sum(case when event_type in ('error', 'view') then v + 100 else v end) as total
+from {_TICKS} group by trade_date""")
+def upsert_bucketed(t):
+    """As upsert_rows, in a table bucketed by row key."""
+    path, table = scratch_dir(t.spark, "bucketed"), f"bucketed_{uuid.uuid4().hex[:12]}"
+    ticks = _ticks(t).withColumn("row_key", F.concat_ws("-", "user_id", "event_id"))
+    bucketed.create_bucketed(ticks.where("event_type <> 'error'"), table, 8, path=path)
+    late = ticks.where("event_type in ('error', 'view')")
+    late = late.withColumn("value", F.explode(F.array(*[F.col("value") + n for n in (50, 100, 70)])))
+    for n in (1, 5):  # the same rows again change nothing
+        bucketed.upsert_bucketed(late.repartition(n), table, order=[F.desc("value")])
+    absent = ticks.where("event_type = 'click'").select("row_key", "trade_date", F.lit(None).cast("decimal(12,2)").alias("value"))
+    bucketed.upsert_bucketed(absent, table, keep_absent=True)
+    return t.spark.table(table).groupBy("trade_date").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+
+
 @query("upsert_flag_column", "trade_date:s flag:s n:i", """
 select t.trade_date, case when price = 0 or tradeqty = 0 or bidapplseqnum = offerapplseqnum then '0'
   when bidapplseqnum > offerapplseqnum then '1' else '2' end as flag, count(*) as n

@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 
 from quotewell.functions.times import CONTINUOUS_SESSIONS, in_sessions
 from quotewell.operators import rules
-from quotewell.operators.ordered import ROWS_PER_SEGMENT
 from quotewell.operators.relational import keep_latest, missing_from
 from quotewell.operators.rules import COUNTERS, DAY, SECURITY
 
 
-def clean_snapshots(df: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def clean_snapshots(df: DataFrame, ranges: int | None = None) -> DataFrame:
     """Drops rows with bad prices or totals, and every row at a (security, time)
     where a counter fell during continuous trading."""
     fell = rules.breaks(
-        df, ["ts", "numtrades"], falls=COUNTERS, keep=["clock"], rows_per_segment=rows_per_segment
+        df, ["ts", "numtrades"], falls=COUNTERS, keep=["clock"], ranges=ranges
     ).where(in_sessions(F.col("clock"), CONTINUOUS_SESSIONS))
     good = df.where(~(rules.bad_snapshot_price() | rules.negative(COUNTERS)))
     return missing_from(good, fell, [DAY, SECURITY, "ts"])
@@ -45,30 +44,30 @@ def latest_books(df: DataFrame) -> DataFrame:
     return _latest(df, "sendtime")
 
 
-def clean_trades(df: DataFrame, fmt: str = "old", rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def clean_trades(df: DataFrame, fmt: str = "old", ranges: int | None = None) -> DataFrame:
     """Drops executed trades without price or quantity, and trades whose number
     does not rise or whose time falls."""
     key = [DAY, SECURITY, "ts", "applseqnum"]
     unpriced = df.where(rules.bad_trade(rules.executed(fmt))).select(*key)
     unordered = rules.breaks(
-        df, ["applseqnum"], falls=["ts"], not_rising=["applseqnum"], rows_per_segment=rows_per_segment
+        df, ["applseqnum"], falls=["ts"], not_rising=["applseqnum"], ranges=ranges
     ).select(*key)
     return missing_from(df, unpriced.unionByName(unordered), key)
 
 
-def clean_orders(df: DataFrame, tolerance: int = 1000, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def clean_orders(df: DataFrame, tolerance: int = 1000, ranges: int | None = None) -> DataFrame:
     """Drops negative prices and quantities, and orders whose number falls or
     whose clock falls by more than ``tolerance``."""
     unordered = rules.breaks(
-        df, ["applseqnum"], falls={"applseqnum": 0, "clock": tolerance}, rows_per_segment=rows_per_segment
+        df, ["applseqnum"], falls={"applseqnum": 0, "clock": tolerance}, ranges=ranges
     )
     good = df.where((F.col("price") >= 0) & (F.col("orderqty") >= 0))
     return missing_from(good, unordered, [DAY, SECURITY, "applseqnum", "clock"])
 
 
-def clean_index(df: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def clean_index(df: DataFrame, ranges: int | None = None) -> DataFrame:
     """Drops every row at a (security, time) where time or volume fell."""
     fell = rules.breaks(
-        df, ["ts", "totalvolumetrade"], falls=["ts", "totalvolumetrade"], rows_per_segment=rows_per_segment
+        df, ["ts", "totalvolumetrade"], falls=["ts", "totalvolumetrade"], ranges=ranges
     )
     return missing_from(df, fell, [DAY, SECURITY, "ts"])

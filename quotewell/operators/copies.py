@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotewell.operators.ordered import ROWS_PER_SEGMENT, with_running_sum
+from quotewell.operators.ordered import COPIES, with_running_sum
 
-COPIES = "_copies"
+CHUNK = 1 << 20  # copies that are dealt to one place
 
 
 def fold_copies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -19,7 +19,7 @@ def fold_copies(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.groupBy(*(columns or df.columns)).agg(F.count("*").alias(COPIES))
 
 
-def unfold_copies(df: DataFrame, number: str | None = None, chunk: int = ROWS_PER_SEGMENT) -> DataFrame:
+def unfold_copies(df: DataFrame, number: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """Each row ``_copies`` times, numbered 1.. in ``number`` if asked for. Chunk
     numbers are exploded and dealt over tasks first, then the positions inside
     each chunk, so rows of any number of copies take one way."""
@@ -33,15 +33,14 @@ def unfold_copies(df: DataFrame, number: str | None = None, chunk: int = ROWS_PE
 
 
 def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-                    rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+                    ranges: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """``row_number()`` per key. Ties are broken by all remaining columns, so
     the numbering is the same on every run; copies take consecutive numbers."""
     ties = [c for c in df.columns if c not in keys and c not in order]
-    folded = fold_copies(df)
-    run = with_running_sum(folded, keys, [*order, *ties], COPIES, "_upto", rows_per_segment)
+    run = with_running_sum(df, keys, [*order, *ties], COPIES, "_upto", ranges, fold=True)
     first = run.withColumn("_before", F.col("_upto") - F.col(COPIES)).drop("_upto")
     return (
-        unfold_copies(first, "_nth", rows_per_segment)
+        unfold_copies(first, "_nth", chunk)
         .withColumn(out, F.col("_before") + F.col("_nth"))
         .drop("_before", "_nth")
     )

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from quotewell.functions import arrays
 from quotewell.functions.numbers import blank_or_nan
 from quotewell.functions.times import CONTINUOUS_SESSIONS, in_sessions
-from quotewell.operators.copies import COPIES, fold_copies
-from quotewell.operators.ordered import ROWS_PER_SEGMENT, with_previous
+from quotewell.operators import bitmaps
+from quotewell.operators.ordered import COPIES, with_previous
 from quotewell.operators.relational import missing_from
 
 DAY, SECURITY = "trade_date", "securityid"
@@ -161,7 +161,7 @@ def _scored_sets(
     sets: Mapping[str, Mapping],
     keys: Sequence[str] = (DAY, SECURITY),
     keep: Sequence[str] = (),
-    rows_per_segment: int = ROWS_PER_SEGMENT,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Every distinct row with one column per entry of ``sets``: how many of its
     copies break that entry's ordering against the previous row of their key.
@@ -179,10 +179,9 @@ def _scored_sets(
         c for n, s in sets.items() for c in (*slack[n], *s.get("not_rising", ()), *s.get("rises", ()))
     ))
     columns = list(dict.fromkeys([*keys, *order, *watched, *keep]))
-    # copies fold first: a repeated row then costs one row whatever its number
-    folded = fold_copies(df.select(*columns))
     ties = [c for c in columns if c not in keys and c not in order]
-    prev = with_previous(folded, list(keys), [*order, *ties], watched, "_prev_", rows_per_segment)
+    # copies fold on the way: a repeated row then costs one row whatever its number
+    prev = with_previous(df.select(*columns), list(keys), [*order, *ties], watched, "_prev_", ranges, fold=True)
 
     def against(c: str) -> Column:
         return F.col(f"_prev_{c}")
@@ -211,9 +210,9 @@ def _scored_sets(
 
 
 def _scored(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (DAY, SECURITY), keep: Sequence[str] = (),
-            rows_per_segment: int = ROWS_PER_SEGMENT, **conditions) -> DataFrame:
+            ranges: int | None = None, **conditions) -> DataFrame:
     """``_scored_sets`` for one set of conditions, in the column ``n``."""
-    return _scored_sets(df, order, {"n": conditions}, keys, keep, rows_per_segment)
+    return _scored_sets(df, order, {"n": conditions}, keys, keep, ranges)
 
 
 def breaks(df: DataFrame, order: Sequence[str], **conditions) -> DataFrame:
@@ -293,6 +292,28 @@ def missing_reference(trades: DataFrame, orders: DataFrame, bid: str = "bidappls
     return _finish(counted.withColumn("rule", F.lit(rule)), False)
 
 
+def named_numbers(trades: DataFrame, bid: str = "bidapplseqnum", offer: str = "offerapplseqnum", seq: str = "applseqnum",
+                  keep: Sequence[str] = (DAY,)) -> DataFrame:
+    """(keep..., seq): the order numbers trades name, one row a side; 0 is "no order"."""
+    return trades.select(*keep, F.explode(F.array(F.col(bid).cast("bigint"), F.col(offer).cast("bigint"))).alias(seq)).where(F.col(seq) != 0)
+
+
+def missing_reference_bitmap(trades: DataFrame, orders: DataFrame | None = None, bid: str = "bidapplseqnum",
+                             offer: str = "offerapplseqnum", seq: str = "applseqnum", channel: str | None = None,
+                             known: DataFrame | None = None, rule: str = "trade_without_order") -> DataFrame:
+    """``missing_reference`` with sets of numbers as bitmaps, per day and, if
+    named, channel: orders and trades shuffle bitmaps, not rows. ``known`` takes
+    bitmaps of the orders that were stored when the orders were loaded
+    (``bitmaps.number_bitmaps``), so the orders need not be read again."""
+    by = [DAY, *([channel] if channel else [])]
+    named = bitmaps.number_bitmaps(named_numbers(trades, bid, offer, seq, by), seq, by)
+    known = bitmaps.number_bitmaps(orders, seq, by) if known is None else known
+    lost = bitmaps.count_outside(named, known, by).select(DAY, "n")
+    days = trades.select(DAY, F.lit(0).cast("bigint").alias("n")).distinct()
+    counted = days.unionByName(lost).groupBy(DAY).agg(F.sum("n").alias("n"))
+    return _finish(counted.withColumn("rule", F.lit(rule)), False)
+
+
 def blank(column: str, absent: bool = True) -> Column:
     """A blank or NaN cell, or (unless ``absent`` is False) a missing one."""
     bad = blank_or_nan(F.col(column))

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.operators import rules
-from quotewell.operators.copies import fold_copies
-from quotewell.operators.ordered import ROWS_PER_SEGMENT, with_previous
+from quotewell.operators.ordered import with_previous
 from quotewell.plans.publish import INDEX_COLUMNS, SNAP_COLUMNS, SNAP_NEW_COLUMNS, SNAP_SH_COLUMNS
 from quotewell.sources.schemas import DEPTH
 
@@ -30,13 +29,13 @@ _TO_FEED = {
 
 
 def moves_back(df: DataFrame, falls: list[str], rises: list[str], detail: bool = False,
-               rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+               ranges: int | None = None) -> DataFrame:
     """Columns that fall (or rise) between consecutive rows of a security, one
     rule per column, all in one ordered pass. Zero means "no value"."""
     keys, watched = [rules.DAY, rules.SECURITY], [*falls, *rises]
-    # copies never move against each other, so one of each is enough
-    folded = fold_copies(df, [*keys, "ts", *watched])
-    prev = with_previous(folded, keys, ["ts", *watched], watched, "_prev_", rows_per_segment)
+    # copies never move against each other, so one of each is enough: they fold
+    rows = df.select(*keys, "ts", *watched)
+    prev = with_previous(rows, keys, ["ts", *watched], watched, "_prev_", ranges, fold=True)
     tests = {f"{c}_falls": (F.col(c) != 0) & (F.col(c) < F.col(f"_prev_{c}")) for c in falls}
     tests |= {f"{c}_rises": (F.col(c) != 0) & (F.col(c) > F.col(f"_prev_{c}")) for c in rises}
     return rules.count_rows(prev, tests, detail)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewell.functions.numbers import ratio, zero_if_null
 from quotewell.functions.times import as_date, month_begin, previous_month_end, year_begin
+from quotewell.operators.peaks import floored, merge_states, peak_states
 from quotewell.operators.relational import max_running_floor0
 from quotewell.plans.marts.assets import Tables, active_customers, assets_month, at_two_dates
+from quotewell.sources.sinks import replace_range
 
 # Fixed value: largest accepted absolute return.
 MAX_RATE = 10
+IN_OUT = {"fin_in_amt": "fin_in_amt", "fin_out_amt": "fin_out_amt"}
 
 
 def _between(df: DataFrame, lo: Column, day) -> DataFrame:
@@ -36,7 +39,7 @@ def margin_flows(t: Tables, lo: Column, day) -> DataFrame:
 def _in_out(flows: DataFrame, day, cost: str) -> DataFrame:
     out = max_running_floor0(
         flows, "pty_id", "data_dt", "net_in", cost,
-        {"fin_in_amt": "fin_in_amt", "fin_out_amt": "fin_out_amt"},
+        IN_OUT,
     )
     return out.withColumn("data_dt", as_date(day))
 
@@ -51,6 +54,35 @@ def margin_io_year(t: Tables, day) -> DataFrame:
     return _in_out(margin_flows(t, year_begin(day), day), day, "max_cost_fc")
 
 
+def store_cost_states(flows: DataFrame, path: str, first, last) -> None:
+    """One state per customer and month of the flows from ``first`` to ``last``
+    into the table at ``path``, partitioned by month. Months begin with their
+    first day: both bounds are read as whole months, so a late flow is mended by
+    storing its month again, whatever was stored after it."""
+    lo, hi = (F.trunc(as_date(d), "month") for d in (first, last))
+    inside = flows.where(F.col("data_dt").between(lo, F.last_day(as_date(last))))
+    states = peak_states(inside.withColumn("month", F.trunc("data_dt", "month")), ["pty_id"], "month", "data_dt", "net_in", IN_OUT)
+    replace_range(states, path, lo, hi, "month")
+
+
+def cost_between(spark: SparkSession, path: str, first, last) -> DataFrame:
+    """In and out flows and max cost from the stored states of these months; no
+    other partition is read."""
+    lo, hi = (F.trunc(as_date(d), "month") for d in (first, last))
+    states = spark.read.parquet(path).where(F.col("month").between(lo, hi))
+    merged = merge_states(states, ["pty_id"], "month", list(IN_OUT))
+    return merged.select("pty_id", *IN_OUT, floored().alias("max_cost_fc"), F.last_day(as_date(last)).alias("data_dt"))
+
+
+def margin_io_year_incremental(t: Tables, day, path: str) -> DataFrame:
+    """The year's in and out flows and max cost, reading the flows of the
+    current month alone: its states are stored anew, those of the months before
+    are taken as they were stored. Flows after ``day`` do not count."""
+    flows = margin_flows(t, month_begin(day), day)
+    store_cost_states(flows, path, month_begin(day), as_date(day))
+    return cost_between(flows.sparkSession, path, year_begin(day), as_date(day)).withColumn("data_dt", as_date(day))
+
+
 def all_flows(t: Tables, lo: Column, day) -> DataFrame:
     """Ordinary account flows and margin cash flows."""
     own = _between(t["ms_cust_fin_d"], lo, day)

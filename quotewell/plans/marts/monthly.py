@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quotewell.functions.numbers import ratio, zero_if_null
 from quotewell.functions.times import as_date, month_begin, previous_month_end
-from quotewell.operators.ordered import ROWS_PER_SEGMENT, with_rank
+from quotewell.operators.ordered import with_rank
 from quotewell.operators.relational import carry_forward, keep_latest, union_padded, with_rate
 from quotewell.plans.marts import products as p
 from quotewell.plans.marts.assets import Tables
@@ -176,9 +176,9 @@ def described(rows: DataFrame, code: str, codes: DataFrame, out: str) -> DataFra
     return rows.join(names, code, "left").select("pty_id", out)
 
 
-def rank_share(df: DataFrame, value: str, out: str, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def rank_share(df: DataFrame, value: str, out: str, ranges: int | None = None) -> DataFrame:
     """1 - rank / rows, best value first."""
-    ranked = with_rank(df, value, "_rk", "_rows", rows_per_segment)
+    ranked = with_rank(df, value, "_rk", "_rows", ranges)
     return ranked.withColumn(out, F.lit(1.0) - F.col("_rk").cast("double") / F.col("_rows")).drop("_rk", "_rows")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,16 @@ def _clock(df: DataFrame) -> Column:
     return F.col("clock") if "clock" in df.columns else clock_number(F.col("ts"))
 
 
+def _counted(files: DataFrame, store: DataFrame, keys: Sequence[str]) -> DataFrame:
+    side = [
+        x.select(*keys, F.lit(f).alias("_f"), F.lit(s).alias("_s"))
+        for x, f, s in ((files, 1, 0), (store, 0, 1))
+    ]
+    return side[0].unionByName(side[1]).groupBy(*keys).agg(
+        F.sum("_f").alias("n_file"), F.sum("_s").alias("n_store")
+    )
+
+
 def key_counts(files: DataFrame, store: DataFrame, keys: Sequence[str], sessions=None,
                scope: str = "file_securities", security: str = SECURITY, days: Sequence | None = None) -> DataFrame:
     """How often each key occurs on either side: (keys..., n_file, n_store).
@@ -51,15 +62,105 @@ def key_counts(files: DataFrame, store: DataFrame, keys: Sequence[str], sessions
         files, store = (x.where(in_sessions(_clock(x), sessions)) for x in (files, store))
     if scope == "file_securities":
         store = store.join(files.select(security).distinct(), security, "left_semi")
-    side = [
-        x.select(*keys, F.lit(f).alias("_f"), F.lit(s).alias("_s"))
-        for x, f, s in ((files, 1, 0), (store, 0, 1))
-    ]
-    return side[0].unionByName(side[1]).groupBy(*keys).agg(
-        F.sum("_f").alias("n_file"), F.sum("_s").alias("n_store")
+    return _counted(files, store, keys)
+
+
+# --- digests first ---------------------------------------------------------
+
+BLOCK_MINUTES = 5
+_HALF = 0xFFFFFFFF
+
+
+def _digest(keys: Sequence[str]) -> dict[str, Column]:
+    """128 bits of two hashes of a row's key, as four numbers that add up
+    without overflow. A sum does not cancel repeated keys as an XOR would."""
+    first, second = F.xxhash64(*keys), F.xxhash64(F.lit("second"), *keys)
+    return {
+        "_d1": first.bitwiseAND(F.lit(_HALF)), "_d2": F.shiftrightunsigned(first, 32),
+        "_d3": second.bitwiseAND(F.lit(_HALF)), "_d4": F.shiftrightunsigned(second, 32),
+    }
+
+
+def block_columns(keys: Sequence[str], minutes: int = BLOCK_MINUTES, security: str = SECURITY) -> dict[str, Column]:
+    """What a digest is kept for: the day (where the key has one), the security,
+    and a stretch of the clock."""
+    clock = clock_number(F.col("ts"))
+    block = {DAY: F.col(DAY)} if DAY in keys else {}
+    return block | {security: F.col(security), "_block": F.floor(clock / F.lit(100000 * minutes)).cast("int")}
+
+
+def digests(df: DataFrame, keys: Sequence[str], minutes: int = BLOCK_MINUTES, security: str = SECURITY) -> DataFrame:
+    """Rows and digest of each (day, security, time block). Sums combine before
+    the shuffle: blocks cross the network, keys do not."""
+    block = block_columns(keys, minutes, security)
+    parts = _digest(keys)
+    return df.select(*[c.alias(n) for n, c in block.items()], *[c.alias(n) for n, c in parts.items()]).groupBy(*block).agg(
+        F.count("*").alias("n"), *[F.sum(p).alias(p) for p in parts]
     )
 
 
+@dataclass(frozen=True)
+class DigestDiff:
+    """``blocks``: every compared block with n_file, n_store and ``same``;
+    ``counts``: key counts (as ``key_counts``) of the blocks that differ."""
+
+    blocks: DataFrame
+    counts: DataFrame
+
+    def summary(self, by: Sequence[str] = ()) -> DataFrame:
+        """As ``summary``, from blocks that agree and keys of those that do not.
+        Stored keys do not repeat, so in a block that agrees every row is a common key."""
+        n = F.col("n_file")
+        zero = F.lit(0).cast("bigint")
+        agreed = self.blocks.where("same").groupBy(*by).agg(F.coalesce(F.sum(n), zero).alias("n"))
+        parts = agreed.select(*by, F.col("n").alias("n_store"), F.col("n").alias("n_file"), F.col("n").alias("n_common"), zero.alias("n_file_only"), zero.alias("n_store_only"))
+        both = parts.unionByName(summary(self.counts, by).drop("status"))
+        names = ["n_store", "n_file", "n_common", "n_file_only", "n_store_only"]
+        out = both.groupBy(*by).agg(*[F.sum(c).alias(c) for c in names])
+        return out.withColumn("status", F.when(F.col("n_common") > 0, "OK").otherwise("CHECK"))
+
+
+def digest_diff(files: DataFrame, store: DataFrame, keys: Sequence[str], sessions=None, scope: str = "file_securities",
+                security: str = SECURITY, days: Sequence | None = None, minutes: int = BLOCK_MINUTES) -> DigestDiff:
+    """Reconciles by digest first: both sides are summed up per (day, security,
+    time block), and only the keys of blocks whose sums differ are shuffled and
+    compared, so a day that matches moves no keys at all.
+
+    Days, sessions and scope as in ``key_counts``; the days of the files come
+    from their digests, not from a pass of their own. The store holds a key
+    once, as ``sinks.upsert`` leaves it; files may repeat keys, which makes
+    their blocks differ. Two different blocks agree by chance once in 2^64."""
+    if sessions is not None:
+        files = files.where(in_sessions(_clock(files), sessions))
+    held = sinks.written(digests(files, keys, minutes, security), "digests")
+    if DAY in keys and DAY in store.columns:
+        days = sinks.days_of(held) if days is None else days
+        files, held, store = (sinks.on_days(x, days) for x in (files, held, store))
+    if sessions is not None:
+        store = store.where(in_sessions(_clock(store), sessions))
+    stored = digests(store, keys, minutes, security)
+    if scope == "file_securities":
+        stored = present_in(stored, held.select(security).distinct(), [security])
+    names = list(block_columns(keys, minutes, security))
+    sums = ["n", "_d1", "_d2", "_d3", "_d4"]
+    sides = [
+        x.select(*names, *[(F.col(c) * sign).alias(c) for c in sums], F.when(F.lit(sign) > 0, F.col("n")).otherwise(0).alias("n_file"), F.when(F.lit(sign) < 0, F.col("n")).otherwise(0).alias("n_store"))
+        for x, sign in ((held, 1), (stored, -1))
+    ]
+    met = sides[0].unionByName(sides[1]).groupBy(*names).agg(*[F.sum(c).alias(c) for c in (*sums, "n_file", "n_store")])
+    same = reduce(lambda a, c: a & (F.col(c) == 0), sums, F.lit(True))
+    blocks = sinks.written(met.select(*names, "n_file", "n_store", same.alias("same")), "blocks")
+    differ = blocks.where(~F.col("same")).select(*[F.col(c).alias(f"_b_{c}") for c in names])
+
+    def in_doubt(df: DataFrame) -> DataFrame:
+        own = df.select(*keys, *[c.alias(f"_o_{n}") for n, c in block_columns(keys, minutes, security).items()])
+        match = reduce(lambda a, n: a & F.col(f"_o_{n}").eqNullSafe(F.col(f"_b_{n}")), names, F.lit(True))
+        return own.join(differ, match, "left_semi").select(*keys)
+
+    counts = _counted(in_doubt(files), in_doubt(store), keys)
+    return DigestDiff(blocks, counts)
+
+
 def summary(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """File and store row counts, distinct common keys, one-sided rows, and the
     status: OK once anything is common, else CHECK."""

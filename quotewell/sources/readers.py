@@ -173,15 +173,19 @@ def security_ids(df: DataFrame) -> DataFrame:
     return df.select("securityid").distinct()
 
 
-def scan_store(store: DataFrame, start, end, ids: DataFrame | None = None,
+def scan_store(store: DataFrame, start, end, ids: DataFrame | Sequence | None = None,
                security: str = "securityid", ts: str = "ts") -> DataFrame:
     """Rows of the serving table in a time range (inclusive), optionally only
-    for the listed securities. The range also prunes trade_date partitions."""
+    for the listed securities. The range also prunes trade_date partitions. A
+    list of ids reaches the scan, which in a clustered table
+    (``sinks.write_clustered``) then skips all other row groups."""
     lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     out = store.where(F.col(ts).between(lo, hi))
     if "trade_date" in store.columns:
         out = out.where(F.col("trade_date").between(F.to_date(lo), F.to_date(hi)))
-    return out if ids is None else out.join(ids.select(security), security, "left_semi")
+    if ids is None or isinstance(ids, DataFrame):
+        return out if ids is None else out.join(ids.select(security), security, "left_semi")
+    return out.where(F.col(security).isin(list(ids)))
 
 
 def key_times(store: DataFrame, key: str, security: str, zone: str = "UTC") -> DataFrame:

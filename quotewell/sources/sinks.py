@@ -3,7 +3,8 @@ replaces whole partitions, so a re-run gives the same table."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quotewell.functions.times import as_date
 from quotewell.operators.relational import keep_latest, missing_from, partial_upsert
+from quotewell.session import scratch_dir
 from quotewell.sources.files import drop_folder
 
 DAY = "trade_date"
@@ -80,11 +82,25 @@ def days_of(df: DataFrame, partition: str = DAY) -> list:
 
 
 def on_days(df: DataFrame, days: Sequence, partition: str = DAY) -> DataFrame:
-    """Rows of the days, as a literal filter that prunes partitions."""
-    hit = F.col(partition).isin([d for d in days if d is not None])
+    """Rows of the days, as a literal filter that prunes partitions. Dates go
+    into it as one piece of text: a column object for each takes seconds where
+    there are thousands."""
+    known = [d for d in days if d is not None]
+    if known and all(type(d) is date for d in known):
+        hit = F.expr(f"`{partition}` IN ({', '.join(f"DATE'{d}'" for d in known)})")
+    else:
+        hit = F.col(partition).isin(known)
     return df.where(hit | F.col(partition).isNull() if None in days else hit)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df by way of a scratch table: what follows reads files, and the steps that
+    made df run once however often it is looked at."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """The first row per key in ``order``; ties fall to the greatest values of
     the remaining columns, so the choice does not depend on how rows are dealt."""
@@ -92,12 +108,14 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
 
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column] = (),
-           partition: str = DAY, dry_run: bool = False, keep_absent: bool = False) -> DataFrame | None:
+           partition: str = DAY, dry_run: bool = False, keep_absent: bool = False,
+           days: Sequence | None = None) -> DataFrame | None:
     """Rows of ``df`` replace stored rows with the same key; within ``df`` the
     first in ``order`` stays (see ``one_per_key``).
 
-    The touched days are listed first and read by a literal filter, so other
-    partitions are neither read nor rewritten. Stored rows without a new one
+    The touched ``days`` are read by a literal filter, so other partitions are
+    neither read nor rewritten; without them the new rows are written to scratch
+    once and listed there. Stored rows without a new one
     are added as they are. With ``keep_absent`` a null cell of a new row leaves
     the stored cell as it is. ``dry_run`` writes nothing and returns one row:
     the number of keys that would be written, and the least of them."""
@@ -106,7 +124,10 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Column
     old = read_if_exists(df.sparkSession, path)
     new = one_per_key(as_stored(df, old), keys, order)
     if old is not None:
-        touched = on_days(old, days_of(df, partition), partition)
+        if days is None:
+            new = written(new, "upsert")
+            days = days_of(new, partition)
+        touched = on_days(old, days, partition)
         if keep_absent:
             cells = [c for c in old.columns if c not in keys and c != partition]
             was = touched.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_was_{c}") for c in cells])
@@ -126,7 +147,7 @@ def upsert_columns(changes: DataFrame, path: str, keys: Sequence[str], columns:
     """Sets some columns of rows already stored; keys not stored are ignored, and
     of several changes to a key one is taken (see ``one_per_key``)."""
     on = list(dict.fromkeys([partition, *keys]))
-    changes = one_per_key(changes.select(*on, *columns), on)
+    changes = written(one_per_key(changes.select(*on, *columns), on), "changes")
     stored = on_days(changes.sparkSession.read.parquet(path), days_of(changes, partition), partition)
     replace_partition(partial_upsert(stored, as_stored(changes, stored), on, columns), path, partition, keys)
 
@@ -143,3 +164,21 @@ def append_stats(stats: DataFrame, path: str, by: Sequence[str] = ("feed", DAY))
 
 def write_by_security(df: DataFrame, path: str, security: str = "securityid") -> None:
     df.hint("rebalance", F.col(security)).write.mode("overwrite").partitionBy(security).parquet(path)
+
+
+def write_clustered(df: DataFrame, path: str, cluster: Sequence[str] = ("securityid", "ts"), blooms: Mapping[str, int] | None = None,
+                    partition: str = DAY, files_per_day: int | None = None, group_bytes: int | None = None) -> None:
+    """Overwrites the partitions ``df`` holds, rows ranged and sorted by
+    ``cluster`` over the files of a day, so that the least and greatest values
+    of a file's row groups are close together and a range scan skips the others.
+    ``blooms`` (column -> about how many distinct values a row group has) adds
+    Bloom filters, by which look-ups of single ids skip row groups that the
+    values of the range cannot rule out. One exchange, by range."""
+    order = [F.col(partition), *[F.col(c) for c in cluster]]
+    ranged = df.repartitionByRange(files_per_day, *order) if files_per_day else df.repartitionByRange(*order)
+    out = ranged.sortWithinPartitions(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if group_bytes:
+        out = out.option("parquet.block.size", group_bytes)
+    for column, values in (blooms or {}).items():
+        out = out.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.bloom.filter.expected.ndv#{column}", values)
+    out.partitionBy(partition).parquet(path)

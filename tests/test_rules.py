@@ -183,8 +183,8 @@ def test_cleaning_snapshots_is_idempotent(spark):
     assert best.count() == 6 and best.agg(F.sum("totalvolumetrade")).first()[0] == 10 + 9 + 20 + 30 + 5 + 1 + 6
 
 
-@pytest.mark.parametrize("rows_per_segment", [3, 1 << 20])
-def test_cleaning_one_hot_security(spark, rows_per_segment):
+@pytest.mark.parametrize("ranges", [2, 300])
+def test_cleaning_one_hot_security(spark, ranges):
     start = datetime(2018, 3, 30, 9, 30)
     rows = []
     for i in range(400):
@@ -193,6 +193,6 @@ def test_cleaning_one_hot_security(spark, rows_per_segment):
                          buyorderrecno="1", sellorderrecno="2", functioncode="0", orderkind="0", price=1.0, tradeqty=1))
     df = build(spark, "trade", rows + rows[:7], "old")
     plain = clean.clean_trades(df)
-    cut = clean.clean_trades(df, rows_per_segment=rows_per_segment)
+    cut = clean.clean_trades(df, ranges=ranges)
     assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
     assert 0 < plain.count() < df.count()
