@@ -1,8 +1,8 @@
 """Ordered scans (previous row, running sum, row number, rank) that stay whole
 and exact when one key holds most of the table.
 
-A plain window puts every row of a key into one task. Here the keys are counted
-first. A key that holds more than its share (2 of ``ranges`` equal shares of the
+A plain window puts every row of a key into one task. Here the keys of a sample
+are counted first. A key that holds more than its share (2 of ``ranges`` equal shares of the
 table) is cut into ranges of its order, at places taken from a sample of its
 rows; all other keys stay whole. Rows are then dealt by (key, range) in one
 exchange, which serves the folding of copies, the totals and the window alike.
@@ -30,6 +30,7 @@ from quotewell.session import scratch_dir
 
 RANGES_PER_PARTITION = 4
 SAMPLES_PER_RANGE = 32
+COUNT_RATE = 1 / 16  # of the rows, to find hot keys
 BLOCK = 64  # ranges whose totals are added up in one window
 COPIES, RANGE = "_copies", "_range"
 
@@ -55,15 +56,22 @@ def range_count(df: DataFrame, ranges: int | None) -> int:
 def hot_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int) -> DataFrame | None:
     """For each key above its share (at most ranges / 2 of them): _k_ keys, the
     order values at which its ranges start, and those of them that fill a range
-    of their own. None where no key is."""
+    of their own. None where no key is. Samples decide where rows are cut, which
+    changes no result."""
     names = _renamed(keys)
-    seen, total = Observation(), F.sum("n").alias("total")
-    counted = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.count("*").alias("n"))
-    top = _written(counted.observe(seen, total).orderBy(F.desc("n")).limit(ranges), "key-counts")
-    rows = seen.get["total"] or 0
-    hot = top.where(F.col("n") * ranges >= 2 * rows)
-    if not rows or hot.isEmpty():
+    own = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.lit(1).alias("_one"))
+    rate, rows = COUNT_RATE, 0
+    while True:  # all rows are counted, keys in a sample of them, or in all where the sample would be small
+        seen = Observation()
+        counted = own.observe(seen, F.count("*").alias("rows")).sample(rate, 7).groupBy(*names).agg(F.count("*").alias("n"))
+        most = counted.agg(F.max("n")).first()[0] or 0
+        rows = seen.get["rows"] if most else 0  # an empty plan observes nothing
+        if rate == 1 or rows * rate >= SAMPLES_PER_RANGE * ranges:
+            break
+        rate = 1.0
+    if not rows or most * ranges < 2 * rows * rate:
         return None
+    hot = _written(own.sample(rate, 7).groupBy(*names).agg(F.count("*").alias("n")).where(F.col("n") * ranges >= 2 * rows * rate), "hot-keys")
     rate = min(1.0, SAMPLES_PER_RANGE * ranges / rows)
     mine = df.join(F.broadcast(hot), _same(keys, names)) if keys else df
     sample = mine.select(*names, F.struct(*order).alias("at")).sample(rate, 11)  # some 32 rows a range in all

@@ -95,6 +95,17 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
+def test_hot_keys_are_found_in_a_sample(spark):
+    df = spark.range(40000).selectExpr("case when id % 3 = 0 then 'hot' else cast(id % 9001 as string) end as k", "id as t", "id % 7 as v")
+    dealt = ordered.deal(df, ["k"], ["t"], 12)
+    sizes = {(r.k, r[ordered.RANGE]): r["count"] for r in dealt.rows.where(f"{ordered.RANGE} >= 0").groupBy("k", ordered.RANGE).count().collect()}
+    assert {k for k, _ in sizes} == {"hot"} and len(sizes) >= 3 and max(sizes.values()) < 8000 and sum(sizes.values()) == 13334
+    assert ordered.hot_ranges(df.where("k <> 'hot'"), ["k"], ["t"], 12) is None
+    w = Window.partitionBy("k").orderBy("t")
+    got = ordered.with_previous(df, ["k"], ["t"], ["v"], ranges=12)
+    assert got.exceptAll(df.withColumn("prev_v", F.lag("v").over(w))).isEmpty() and got.count() == 40000
+
+
 def test_copies_fill_no_task(spark):
     """A third of the table is one row: it is counted before the exchange."""
     df = spark.createDataFrame([("hot", 5, "x")] * 900 + [("hot", i % 50, str(i)) for i in range(900)] + [(str(i), 1, "y") for i in range(900)], "k string, t int, x string")
