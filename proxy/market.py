@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from proxy.core import query
 from quotewell.functions import arrays, codes, keys, numbers, times
-from quotewell.operators import bitmaps, clean, relational, rules
+from quotewell.operators import bitmaps, clean, relational, rules, volumes
 from quotewell.plans import publish, recon
 from quotewell.session import scratch_dir
 from quotewell.sources import readers, schemas, sinks
@@ -375,15 +375,15 @@ def rule_book_detail(t):
 
 
 def _lag_sql(source: str, rule: str, order: str, cols: list[str], bad: str, session: bool = False,
-             keep: str = "") -> str:
+             keep: str = "", by: str = "trade_date") -> str:
     """Breaks per day by a plain lag; ties ordered by all watched columns."""
     ties = ", ".join(dict.fromkeys([*order.split(", "), *cols, *([keep] if keep else [])]))
     lags = ", ".join(f"lag({c}) over w as p_{c}" for c in cols)
     only = f" and {_SESSION}" if session else ""
     return (
-        f"select trade_date, '{rule}' as rule, count(*) filter (where ({bad}){only}) as n from "
+        f"select {by}, '{rule}' as rule, count(*) filter (where ({bad}){only}) as n from "
         f"(select *, {lags} from {source} window w as (partition by trade_date, securityid order by {ties})) as l "
-        "group by trade_date"
+        f"group by {by}"
     )
 
 
@@ -459,6 +459,34 @@ def rule_volume_summary(t):
     return rules.volume_summary({"snap": feed(t, "snap"), "snap_level": feed(t, "snap_level")})
 
 
+_RANGED = "trade_date between date '1995-01-01' and date '1995-12-31'"
+
+
+@query("rule_volume_range", "feed:s n_rows:i n_securities:i near:i", " union all ".join(
+    f"select '{f}' as feed, count(*) as n_rows, count(distinct securityid) as n_securities, 1 as near from {{sql_{f}}} where {_RANGED}"
+    for f in ("order", "trade")))
+def rule_volume_range(t):
+    """A year from its days' states: rows, securities exactly and by sketches (near: within 2 %)."""
+    feeds = {f: feed(t, f) for f in ("order", "trade")}
+    bounds = ("1995-01-01", "1995-12-31")
+    about = volumes.over_range(sinks.written(volumes.daily_states(feeds), "volumes"), *bounds)
+    exact = volumes.exact_over_range(sinks.written(volumes.daily_bitmaps(feeds), "bitmaps"), *bounds)
+    near = (F.abs(F.col("n_items") - F.col("n_securities")) <= F.col("n_securities") * 0.02).cast("int")
+    return about.join(exact.withColumnRenamed("n_items", "n_securities"), "feed").withColumn("near", near)
+
+
+@query("largest_trades", "place:i securityid:s applseqnum:i money:d", """
+select row_number() over (order by money desc, securityid, applseqnum) as place, securityid, applseqnum, money
+from (select securityid, applseqnum, cast(price as decimal(12,2)) * tradeqty as money from {sql_trade}) as t
+qualify place <= 100""")
+def largest_trades(t):
+    """A report of the top hundred, in order: a limit as such."""
+    money = (F.col("price").cast("decimal(12,2)") * F.col("tradeqty").cast("decimal(10,0)")).alias("money")
+    top = relational.first_rows(feed(t, "trade").select("securityid", "applseqnum", money), [F.desc("money"), F.asc("securityid"), F.asc("applseqnum")], 100)
+    w = Window.orderBy(F.desc("money"), "securityid", "applseqnum")  # a hundred rows
+    return top.withColumn("place", F.row_number().over(w))
+
+
 _SUMS_SQL = """
 select t.trade_date, 'trade_sum_vs_total' as rule, count(*) filter (where {test}) as n from (
   select trade_date, securityid, sum(tradeqty) as qty,
@@ -598,6 +626,62 @@ def rule_counters_fall_sh(t):
     return counted.where("rule = 'snap_counters_fall'")
 
 
+_SH_FIELDS = {f"bidsize{i}": f"bid{i}orderqty" for i in range(1, 11)} | {f"offerpx{i}": f"offer{i}price" for i in range(1, 11)} | {
+    f"offersize{i}": f"offer{i}orderqty" for i in range(1, 11)}
+_SH_BOOKS = "(select *, " + _BOOK_LIST + " as a from (select ts, trade_date, securityid, " + ", ".join(
+    f"cast({_SH_FIELDS.get(c, c)} as {'double' if 'px' in c else 'bigint'}) as {c}" for side in ("bid", "offer") for i in range(1, 11) for c in (f"{side}px{i}", f"{side}size{i}")
+) + " from {sql_snap_sh}) as l) as b"
+_SH_PRICES = "(select ts, trade_date, securityid, " + ", ".join(
+    f"cast({c} as {'bigint' if c in ('numtrades', 'totalvolumetrade') else 'double'}) as {c}" for c in [*rules.SNAP_PRICES, *rules.COUNTERS]
+) + " from {sql_snap_sh}) as s"
+_REPORT_SQL_SH = " union all ".join([
+    _count_sql(_SH_PRICES, {"snap_price_range": f"{_SNAP_BAD} or {_NEGATIVE}", "snap_negative_totals": _NEGATIVE, "snap_outside_high_low": _HIGH_LOW}),
+    _count_sql(_SH_BOOKS, {"level_price_without_qty": _EMPTY_LEVEL, "level_qty_without_price": _UNPRICED, "level_order": _BOOK_BAD}),
+    _count_sql("{sql_trade_sh}", {"trade_range": "cast(price as double) <= 0 or cast(tradeqty as double) <= 0"}),
+    _lag_sql(_SH_PRICES, "snap_counters_fall", "ts, numtrades", rules.COUNTERS, _FALLS),
+    _lag_sql(_SH_PRICES, "snap_high_low_moves_back", "ts", ["highpx", "lowpx"], _HIGH_LOW_BACK),
+    """select t.trade_date, 'trade_sum_vs_total' as rule, count(*) filter (where qty <> tot_qty or money <> cast(tot_money as decimal(18,2))) as n
+from (select trade_date, securityid, sum(cast(tradeqty as bigint)) as qty, sum(cast(price as decimal(12,2)) * cast(tradeqty as bigint)) as money
+  from {sql_trade_sh} group by 1, 2) t
+join (select trade_date, securityid, max(cast(totalvolumetrade as bigint)) as tot_qty, max(cast(totalvaluetrade as double)) as tot_money
+  from {sql_snap_sh} group by 1, 2) s on t.trade_date = s.trade_date and t.securityid = s.securityid group by t.trade_date""",
+    *[f"select trade_date, 'rows:{f}' as rule, count(*) as n from {{{x}}} group by trade_date union all "
+      f"select trade_date, 'securities:{f}', count(distinct securityid) from {{{x}}} group by trade_date"
+      for f, x in (("snap", "sql_snap_sh"), ("snap_level", "sql_snap_sh"), ("trade", "sql_trade_sh"))],
+])
+
+
+@query("rule_report_sh", _RULE, _REPORT_SQL_SH)
+def rule_report_sh(t):
+    """The report of that format, with its volumes. Books and snapshots are one file there."""
+    snap = feed(t, "snap", "sh")
+    return rules.report({"snap": snap, "snap_level": snap, "trade": feed(t, "trade", "sh")}, "sh", volumes=True)
+
+
+_BY_SECURITY = "trade_date, securityid"
+_DETAIL_SQL = "select * from (" + " union all ".join([
+    _count_sql("{sql_order}", {"order_range": "(price < 0 or price > 99999999 or orderqty < 0) and price <> -1"}, _BY_SECURITY),
+    _count_sql("{sql_trade}", {"trade_range": "exectype = 'F' and (price <= 0 or tradeqty <= 0)"}, _BY_SECURITY),
+    _lag_sql("{sql_order}", "order_sequence", "applseqnum", ["ts", "applseqnum"], "applseqnum <= p_applseqnum or ts < p_ts", by=_BY_SECURITY),
+    _lag_sql("{sql_trade}", "trade_sequence", "applseqnum", ["ts", "applseqnum"], "applseqnum <= p_applseqnum or ts < p_ts", by=_BY_SECURITY),
+    """select trade_date, securityid, 'trade_without_order' as rule, count(distinct id) as n from (
+  select trade_date, securityid, unnest([bidapplseqnum, offerapplseqnum]) as id from {sql_trade}) as named
+where id <> 0 and (trade_date, id) not in (select trade_date, applseqnum from {sql_order}) group by 1, 2""",
+    *[f"select {_BY_SECURITY}, 'rows:{f}' as rule, count(*) as n from {{sql_{f}}} group by {_BY_SECURITY}" for f in ("order", "trade")],
+    _count_sql("{sql_order}", {f"blank:order:{c}": f"{c} is null or trim({c}) = '' or {c} = 'NaN'" for c in ("contactor", "ordertype")}, _BY_SECURITY),
+    *[_count_sql("(select * from {sql_%s} where isodow(trade_date) in (6, 7)) as c" % f, {f"non_trading_day:{f}": "clock > 80000000 and clock <= 170000000"}, _BY_SECURITY)
+      for f in ("order", "trade")],
+]) + ") as x where n > 0"
+
+
+@query("rule_report_detail", "trade_date:s securityid:s rule:s n:i", _DETAIL_SQL)
+def rule_report_detail(t):
+    """Who breaks what: orders and trades per security, with volumes, blank cells and closed days."""
+    feeds = {f: feed(t, f) for f in ("order", "trade")}
+    closed = feeds["trade"].select("trade_date").unionByName(feeds["order"].select("trade_date")).distinct().where(~times.weekday(F.col("trade_date")))
+    return rules.report(feeds, detail=True, volumes=True, tracked={"order": ["contactor", "ordertype"]}, holidays=closed)
+
+
 # --- cleaning --------------------------------------------------------------
 
 _KEEP_SNAP = f"""

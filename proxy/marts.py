@@ -3,12 +3,14 @@ begin and end values as separate scans, correlated lookups, plain windows."""
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from proxy.core import query
 from quotewell.functions import times
 from quotewell.functions.times import asof_business_day
-from quotewell.plans.marts import assets, flows, monthly, products as p
+from quotewell.plans.marts import assets, flows, monthly, products as p, ranges
 from quotewell.session import scratch_dir
 
 DAY = "1998-06-30"
@@ -399,6 +401,30 @@ def product_profit_month(t):
     return p.product_profit_month(t, DAY)
 
 
+# The same SQL once for each of twelve months, its dates and names changed.
+_YEAR = [(1997, m) for m in range(7, 13)] + [(1998, m) for m in range(1, 7)]
+_RANGE_CTES: dict[str, str] = {}
+for _year, _month in _YEAR:
+    _first = date(_year, _month, 1)
+    _days = {_D: (_first + timedelta(31)).replace(day=1) - timedelta(1), _B: _first - timedelta(1), _M: _first}
+    for _name, _text in _PRODUCT_CTES.items():
+        for _old in _PRODUCT_CTES:
+            _text = _text.replace("{" + _old + "}", "{" + f"{_old}_{_month}" + "}")
+        # first all at once to marks, since one month's begin may be another's end
+        for _i, _was in enumerate(_days):
+            _text = _text.replace(_was, f"<{_i}>")
+        for _i, _is in enumerate(_days.values()):
+            _text = _text.replace(f"<{_i}>", f"date '{_is}'")
+        _RANGE_CTES[f"{_name}_{_month}"] = _text
+    _RANGE_CTES[f"run_{_month}"] = f"select date '{_days[_D]}' as data_dt, * from {{product_profit_{_month}}}"
+
+
+@query("product_profit_range", "data_dt:s pty_id:s prdt_id:s flag:s hold_days:i buy_cnt:i sell_cnt:i tran_pft:d",
+       " union all ".join(f"select * from {{run_{m}}}" for _, m in _YEAR), _RANGE_CTES)
+def product_profit_range(t):
+    return ranges.product_profit_range(t, "1997-07-31", "1998-06-30")
+
+
 _WEALTH = f"""
 select prdt_id from {{valid_now}} where prdt_type_id = 'PA070100' and prdt_id <> 'TA940018'"""
 

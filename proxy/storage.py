@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from proxy.core import query
 from quotewell.functions.times import FULL_SESSIONS, in_sessions
+from quotewell.operators.observed import RuleWatch
+from quotewell.operators.rules import row_rules
 from quotewell.plans import daily, publish, recon
 from quotewell.session import scratch_dir
 from quotewell.sources import bucketed, manifest, partitions, readers, sinks
@@ -151,6 +153,21 @@ def upsert_flag_column(t):
     )
 
 
+@query("publish_trades_observed", "trade_date:s rule:s n:i", """
+select trade_date, 'trade_range' as rule, count(*) filter (where exectype = 'F' and (price <= 0 or tradeqty <= 0)) as n
+from {sql_trade_ticks} group by trade_date
+union all select trade_date, 'published', count(*) from {sql_trade_ticks} t join {products_sz} p on p.prdtid = t.securityid
+group by trade_date""")
+def publish_trades_observed(t):
+    """Trades on their way into the store; the rules are counted by the job that writes them."""
+    path = scratch_dir(t.spark, "observed")
+    stored = sinks.written(normalize(t["raw_trade_ticks"], "trade"), "ticks")
+    watch = RuleWatch(stored, row_rules("trade"), sinks.days_of(stored))
+    sinks.upsert(publish.publish_trades(watch.watched, t["products_sz"]), path, ["trade_date", "row_key"])
+    written = t.spark.read.parquet(path).groupBy("trade_date").agg(F.count("*").alias("n")).withColumn("rule", F.lit("published"))
+    return watch.counts().unionByName(written)
+
+
 @query("daily_chain", "trade_date:s n_store:i n_file:i n_common:i n_file_only:i n_store_only:i n_after:i", """
 select t.trade_date, count(*) filter (where tradeqty > 10) as n_store, count(*) as n_file,
   count(*) filter (where tradeqty > 10) as n_common, count(*) filter (where tradeqty <= 10) as n_file_only,

@@ -38,13 +38,17 @@ def union_padded(frames: Sequence[DataFrame], measures: Sequence[str]) -> DataFr
 def with_rate(df: DataFrame, rates: DataFrame, on: Sequence[str] = ("data_dt", "ccy"),
               rate: str = "exchange_rate", inner: bool = False, default: int | None = 1) -> DataFrame:
     """Adds the day's rate per currency; ``default`` where there is none (or,
-    with ``inner``, drops rows that have none). A rate row that repeats counts once.
+    with ``inner``, drops rows that have none). A rate row that repeats counts
+    once; two different rates of a day and currency are an error when they are met.
 
     The rate table is broadcast: it holds one row per currency and calendar day,
     and the day filter on ``df`` reaches it through the join key, so a year is
     at most 366 x some 180 currencies. Shuffling instead would put all rows of
     a day's home currency into one partition."""
-    r = F.broadcast(rates.groupBy(*on).agg(F.max(rate).alias(rate)))
+    one = F.when(F.max(rate) == F.min(rate), F.max(rate)).when(
+        F.min(rate).isNotNull(), F.raise_error(F.concat(F.lit("different rates on "), F.concat_ws(" ", *[F.first(c).cast("string") for c in on])))
+    )
+    r = F.broadcast(rates.groupBy(*on).agg(one.alias(rate)))
     if inner:
         return df.join(r, list(on))
     out = df.join(r, list(on), "left")
@@ -111,3 +115,11 @@ def threshold_sums(df: DataFrame, value: str, threshold: float) -> DataFrame:
         F.sum(F.when(v > threshold, v)).alias("sum_above"),
         F.sum(F.when(v <= threshold, v)).alias("sum_upto"),
     )
+
+
+def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows in ``order``, in that order; ties fall to the
+    greatest of the remaining columns. Every task keeps n rows, nothing is
+    sorted as a whole."""
+    rest = [F.desc_nulls_last(c) for c in df.columns]
+    return df.orderBy(*order, *rest).limit(n)

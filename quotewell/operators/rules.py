@@ -278,14 +278,14 @@ def sum_vs_total(trades: DataFrame, snaps: DataFrame, fmt: str = "new", mode: st
 
 def missing_reference(trades: DataFrame, orders: DataFrame, bid: str = "bidapplseqnum",
                       offer: str = "offerapplseqnum", seq: str = "applseqnum",
-                      rule: str = "trade_without_order") -> DataFrame:
+                      rule: str = "trade_without_order", detail: bool = False) -> DataFrame:
     """Distinct order numbers named by trades but absent from the day's orders;
-    0 is "no order"."""
-    named = trades.select(
-        DAY, F.explode(F.array(F.col(bid).cast("bigint"), F.col(offer).cast("bigint"))).alias(seq)
-    ).where(F.col(seq) != 0).distinct()
+    0 is "no order". With ``detail`` distinct within each security that names them."""
+    named = named_numbers(trades, bid, offer, seq, _group(detail)).distinct()
     known = orders.select(DAY, F.col(seq).cast("bigint").alias(seq))
-    lost = missing_from(named, known, [DAY, seq]).select(DAY, F.lit(1).alias("n"))
+    lost = missing_from(named, known, [DAY, seq]).select(*_group(detail), F.lit(1).alias("n"))
+    if detail:
+        return _finish(lost.groupBy(*_group(True)).agg(F.sum("n").alias("n")).withColumn("rule", F.lit(rule)), True)
     # a zero per day keeps days without a break in the report
     days = trades.select(DAY, F.lit(0).alias("n"))
     counted = days.unionByName(lost).groupBy(DAY).agg(F.sum("n").alias("n"))
@@ -366,12 +366,33 @@ def feed_report(feed: str, df: DataFrame, fmt: str = "new", mode: str = "any",
     return reduce(DataFrame.unionByName, out)
 
 
-def report(feeds: Mapping[str, DataFrame], fmt: str = "new", mode: str = "any",
-           detail: bool = False) -> DataFrame:
-    """All rules over whatever days the feeds hold: (trade_date, rule, n)."""
+def volume_rules(feed: str, df: DataFrame, detail: bool = False) -> DataFrame:
+    """Rows and distinct securities of a feed as entries of the report; with
+    ``detail`` the rows of each security."""
+    if detail:
+        return _finish(df.groupBy(*_group(True)).agg(F.count("*").alias("n")).withColumn("rule", F.lit(f"rows:{feed}")), True)
+    counted = df.groupBy(DAY).agg(F.count("*").alias(f"rows:{feed}"), F.countDistinct(SECURITY).alias(f"securities:{feed}"))
+    return _finish(counted.unpivot([DAY], [f"rows:{feed}", f"securities:{feed}"], "rule", "n"), False)
+
+
+def report(feeds: Mapping[str, DataFrame], fmt: str = "new", mode: str = "any", detail: bool = False,
+           volumes: bool = False, tracked: Mapping[str, Sequence[str]] | None = None,
+           holidays: DataFrame | None = None) -> DataFrame:
+    """Every rule the feeds at hand allow, over whatever days they hold:
+    (trade_date, rule, n), with ``detail`` per security and offenders only.
+
+    ``volumes`` adds rows and securities per feed, ``tracked`` (feed -> columns)
+    the blank cells of columns that must not be blank, ``holidays`` the rows of
+    closed days, each named by its feed."""
     parts = [feed_report(name, df, fmt, mode, detail) for name, df in feeds.items()]
     if "trade" in feeds and "snap" in feeds:
         parts.append(sum_vs_total(feeds["trade"], feeds["snap"], fmt, mode, detail=detail))
-    if "trade" in feeds and "order" in feeds and not detail:
-        parts.append(missing_reference(feeds["trade"], feeds["order"]))
+    if "trade" in feeds and "order" in feeds:
+        parts.append(missing_reference(feeds["trade"], feeds["order"], detail=detail))
+    if volumes:
+        parts += [volume_rules(name, df, detail) for name, df in feeds.items()]
+    for name, columns in (tracked or {}).items():
+        parts.append(count_rows(feeds[name], {f"blank:{name}:{c}": blank(c) for c in columns}, detail))
+    if holidays is not None:
+        parts += [on_closed_days(df, holidays, rule=f"non_trading_day:{name}", detail=detail) for name, df in feeds.items()]
     return reduce(DataFrame.unionByName, parts)
