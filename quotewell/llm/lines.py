@@ -23,13 +23,36 @@ def _hashes(key: Column) -> list[Column]:
     return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2")]
 
 
+def _common(base: DataFrame, min_docs: int, long_enough: Column) -> DataFrame:
+    """h1, h2 of the keys that at least min_docs documents hold, of rows (ident, body).
+
+    Keys are counted by row, with map-side combine, wherever an id has one row
+    only. Of ids with several rows, and there alone, a key counts once an id.
+    """
+    ids = base.select(F.xxhash64("ident").alias("id"), F.xxhash64(F.lit("second"), "ident").alias("id2"), "ident", "body")
+    known = F.col("ident").isNotNull()
+    repeated = saved(ids.where(known).groupBy("id", "id2").count().where("count > 1").select("id", "id2"), "repeated-ids")
+    keys = F.array_distinct(F.transform(_lines("body"), lambda line: F.btrim(line, F.lit(_BLANKS))))
+
+    def hashed(rows: DataFrame, *keep: str) -> DataFrame:
+        return rows.select(*keep, F.explode(keys).alias("key")).where(long_enough).select(*keep, *_hashes(F.col("key")))
+
+    if repeated.limit(1).count():
+        single = hashed(ids.join(repeated, ["id", "id2"], "left_anti"))
+        several = hashed(ids.where(known).join(repeated, ["id", "id2"], "left_semi"), "id", "id2").distinct().select("h1", "h2")
+        counted = single.unionByName(several)
+    else:
+        counted = hashed(ids)
+    return saved(counted.groupBy("h1", "h2").count().where(F.col("count") >= min_docs).select("h1", "h2"), "common-lines")
+
+
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """Drops lines whose key is in at least `min_docs` rows of docs.
+    """Drops lines whose key is in at least `min_docs` documents of docs.
 
     A line ends at \\n. Its key is the line without blanks at its ends and with
     A-Z in lower case; keys under `min_chars` code points are never dropped. A
-    row counts once per key however often it holds the line; rows that repeat
-    count each. Null and empty texts are one empty line. An empty table gives
+    document is an id: it counts once per key however often it holds the line
+    and however many rows it has. Rows without an id are documents each. Null and empty texts are one empty line. An empty table gives
     an empty result.
 
     Returns doc (the whole row), n_lines, n_dropped, kept (the remaining lines,
@@ -42,13 +65,9 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: st
     lines go back to their documents, which rebuild the text from them.
     """
     base = docs.select(packed(docs), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"), F.col(f"`{ident}`").alias("ident"))
-    base = base.select("doc", "body", *key_pair(F.col("ident"), F.col("body")))
+    base = base.select("doc", "body", "ident", *key_pair(F.col("ident"), F.col("body")))
     long_enough = F.length("key") >= min_chars
-    common = saved(
-        base.select(F.explode(F.array_distinct(F.transform(_lines("body"), lambda line: F.btrim(line, F.lit(_BLANKS))))).alias("key"))
-        .where(long_enough).select(*_hashes(F.col("key"))).groupBy("h1", "h2").count().where(F.col("count") >= min_docs).select("h1", "h2"),
-        "common-lines",
-    )
+    common = _common(base, min_docs, long_enough)
     lines = base.select("k1", "k2", F.posexplode(_lines("body")).alias("pos", "line")).select("k1", "k2", "pos", _key("line")).where(long_enough)
     hits = (
         lines.select("k1", "k2", "pos", *_hashes(F.col("key"))).join(common, ["h1", "h2"])

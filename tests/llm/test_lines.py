@@ -40,10 +40,20 @@ def test_against_plain(spark):
     assert results(line_dedup(table(spark, TEXTS), 2, min_chars=6)) == sorted(plain(TEXTS, 2, 6))
 
 
-def test_repeated_rows_count_each(spark):
-    texts = ["same\nown"] * 5 + ["other"]
-    df = table(spark, texts).drop("key").unionByName(table(spark, texts).drop("key"))
-    assert results(line_dedup(df, 10)) == sorted(plain(texts * 2, 10))
+def numbered(spark, rows):
+    return spark.createDataFrame([(i, t, *["x"] * 7) for i, t in rows], SCHEMA).repartition(3)
+
+
+def test_a_document_counts_once_however_many_rows_it_has(spark):
+    same = numbered(spark, [(1, "same\nown")] * 10)
+    assert results(line_dedup(same, 10)) == [(2, 0, "same\nown")] * 10
+    assert results(line_dedup(numbered(spark, [(i, "same") for i in range(10)]), 10)) == [(1, 1, "")] * 10
+    # nine documents, one of them with many rows and texts, and rows without an id, which are documents each
+    rows = [(i, "same\nx") for i in range(8)] + [(8, "same"), (8, "SAME\ny"), (8, "z")] * 20
+    assert sum(r[1] for r in results(line_dedup(numbered(spark, rows), 10))) == 0
+    both = results(line_dedup(numbered(spark, [*rows, (None, " same ")]), 10))
+    assert sum(r[1] for r in both) == 8 + 40 + 1 and sum(r[2] == "y" for r in both) == 20
+    assert sum(r[1] for r in results(line_dedup(numbered(spark, [(None, "q")] * 10 + rows), 10))) == 10
 
 
 def test_stage_keeps_columns_and_rows(spark):
