@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewell.llm import jaccard, links
@@ -75,12 +76,32 @@ def test_jaccard_against_plain(spark, monkeypatch):
         monkeypatch.setattr(links, "CHUNK", chunk)
         rows = list(enumerate(corpus()))
         want_links, want_group = plain([t for _, t in rows])
-        got = {r.ident: (r.n_links, r.component_id) for r in jaccard_links(texts(spark, rows), recall=0.999999).collect()}
+        got = {r.ident: (r.n_links, r.component_id) for r in jaccard_links(texts(spark, rows)).collect()}
         assert got == {i: (want_links[i], want_group[i]) for i, _ in rows}, small
 
 
 def test_runs_reach_the_recall():
     assert [jaccard.runs_for(r, 0.8) for r in (0.8, 0.9, 0.99, jaccard.RECALL)] == [1, 2, 3, 5]
+    assert [jaccard.runs_for(jaccard.RECALL, 0.8, d) for d in (1, 2, 3, 10)] == [5, 7, 9, 20]
+
+
+def test_recall_where_buckets_split_ten_times(spark, monkeypatch):
+    """Pairs of 64-token sketches with 52 tokens in common, among sets that share most buckets with them: every
+    bucket of more than two sets is split, down to the last level; the production recall has to hold."""
+    monkeypatch.setattr(jaccard, "SMALL", 2)
+    monkeypatch.setattr(jaccard, "SIMILAR", 2.0)
+    random = np.random.default_rng(4)
+    common = random.integers(0, 1 << 30, jaccard.TOKENS)
+    rows = []
+    for pair in range(250):
+        first = np.where(random.random(jaccard.TOKENS) < 0.85, common, random.integers(0, 1 << 30, jaccard.TOKENS))
+        other = first.copy()
+        other[random.choice(jaccard.TOKENS, 12, replace=False)] = random.integers(1 << 30, 1 << 31, 12)
+        rows += [(2 * pair, first.tolist()), (2 * pair + 1, other.tolist())]
+    sets = spark.createDataFrame(rows, "node long, sketch array<int>").repartition(4)
+    met = jaccard.candidate_buckets(sets, jaccard.RECALL, 0.8).distinct()
+    left, right = met.where("node % 2 = 0"), met.select((F.col("node") - 1).alias("node"), "bucket").where("node % 2 = 0")
+    assert left.join(right, ["node", "bucket"]).select("node").distinct().count() >= 248
 
 
 def test_one_large_family(spark):
