@@ -4,74 +4,124 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quotewell.llm.common import col, key_pair, packed, read, saved, small_batches, unpacked
 
 ORDER = 4  # characters of an n-gram
-SIGNS = 64  # 0: border of a text, 1 to 62: the most frequent characters, 63: all others
+BITS = 21  # of a character: every code point has a sign of its own
+MASK = (1 << BITS) - 1
 CALIBRATE = 5  # one in so many trusted documents sets the thresholds, the others train
 MIN_CALIBRATE = 20  # with fewer of them a language takes the thresholds of all languages
 FENCE = 0.99  # quantile of a language's trusted documents that its fence is
 SHORT = 100  # characters; see judged()
+BATCH_CHARS = 1 << 22  # characters whose n-grams are looked up together, about
 _CHARS = 1 << 19  # characters looked at together
 
 
-@dataclass
+@dataclass(frozen=True)
 class Model:
-    """signs: the characters with a sign of their own, in order; logs: natural logarithm of the probability of every n-gram's last sign."""
+    """Per order from 1 the tables (hi, lo, p) of n-grams seen and (hi, lo, backoff) of contexts seen; base: probability of a character before anything is known.
 
-    signs: list[int]
-    logs: np.ndarray
+    hi and lo hold the first two and the last two characters of an n-gram, BITS each.
+    """
+
+    levels: list[tuple[DataFrame, DataFrame]]
+    base: float
 
 
 def _codes(text: str) -> np.ndarray:
-    """Code points with digits as 0, those past 16 bits as the last one of these."""
-    codes = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4"), 0xFFFF).astype(np.uint16)
-    return np.where((codes >= 48) & (codes <= 57), np.uint16(48), codes)
+    """Code points with digits as 0."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return np.where((codes >= 48) & (codes <= 57), np.uint32(48), codes)
 
 
 def _pieces(text: str) -> Iterator[np.ndarray]:
     """Codes of a text in parts of bounded size, each with the ORDER - 1 codes before it; borders are 0."""
     for at in range(0, max(len(text), 1), _CHARS):
         codes = _codes(text[max(0, at - ORDER + 1) : at + _CHARS])
-        yield np.concatenate((np.zeros(ORDER - 1, np.uint16), codes)) if at == 0 else codes
+        yield np.concatenate((np.zeros(ORDER - 1, np.uint32), codes)) if at == 0 else codes
+
+
+def _halves(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """hi and lo of the n-gram that ends at each code from the ORDER-th on."""
+    c = codes.astype(np.int64)
+    return (c[:-3] << BITS) | c[1:-2], (c[2:-1] << BITS) | c[3:]
+
+
+class _Keys:
+    """One 64-bit key for each n-gram of the characters at hand.
+
+    Up to 65,536 different characters share its bits exactly; with more (no
+    script has so many) hi and lo are hashed into them.
+    """
+
+    def __init__(self, chars: np.ndarray):
+        self.chars, self.exact = chars, len(chars) <= 1 << 16
+        if self.exact:
+            self.number = np.zeros(0x110000, np.uint64)
+            self.number[chars] = np.arange(len(chars), dtype=np.uint64)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        if not self.exact:
+            return self.hashed(*_halves(codes))
+        n = self.number[codes]
+        return (n[:-3] << np.uint64(48)) | (n[1:-2] << np.uint64(32)) | (n[2:-1] << np.uint64(16)) | n[3:]
+
+    @staticmethod
+    def hashed(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        x = hi.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (lo.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        return x ^ (x >> np.uint64(29))
+
+    def of_halves(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        if not self.exact:
+            return self.hashed(hi, lo)
+        parts = [self.number[x] for x in (hi >> BITS, hi & MASK, lo >> BITS, lo & MASK)]
+        return (parts[0] << np.uint64(48)) | (parts[1] << np.uint64(32)) | (parts[2] << np.uint64(16)) | parts[3]
+
+
+def _counted(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """hi, lo and number of the different n-grams of the texts."""
+    pieces = [codes for text in texts if text for codes in _pieces(text) if len(codes) >= ORDER]
+    if not pieces:
+        return tuple(np.empty(0, np.int64) for _ in range(3))
+    present = np.zeros(0x110000, bool)
+    for codes in pieces:
+        present[codes] = True
+    keys = _Keys(np.flatnonzero(present))
+    every = np.concatenate([keys.of(codes) for codes in pieces])
+    if keys.exact:
+        found, n = np.unique(every, return_counts=True)
+        c = [keys.chars[(found >> np.uint64(shift)) & np.uint64(0xFFFF)].astype(np.int64) for shift in (48, 32, 16, 0)]
+        return (c[0] << BITS) | c[1], (c[2] << BITS) | c[3], n
+    _, first, n = np.unique(every, return_index=True, return_counts=True)
+    halves = [_halves(codes) for codes in pieces]
+    return np.concatenate([h for h, _ in halves])[first], np.concatenate([x for _, x in halves])[first], n
 
 
 def count_ngrams(texts: DataFrame) -> DataFrame:
-    """gram (ORDER characters of 16 bits, the first in front) and n over all rows of the only column, each batch counted before the shuffle."""
+    """hi, lo and n of all n-grams of the only column, each batch counted before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column(0).to_pylist():
-                for codes in _pieces(text):
-                    codes = codes.astype(np.uint64)
-                    found.append(reduce(lambda g, i, c=codes: (g << np.uint64(16)) | c[i : len(c) - ORDER + 1 + i], range(ORDER), np.zeros(max(len(codes) - ORDER + 1, 0), np.uint64)))
-            grams, n = np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["gram", "n"])
-
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _signed(grams: DataFrame) -> tuple[list[int], DataFrame]:
-    """The SIGNS - 2 most frequent characters, and the n-grams in signs of 6 bits."""
-    last = F.col("gram").bitwiseAND(0xFFFF)
-    top = grams.groupBy(last.alias("code")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "code").limit(SIGNS - 2).collect()
-    signs = sorted(r["code"] for r in top)
-    code = {c: i + 1 for i, c in enumerate(signs)} | {0: 0}
-    table = F.create_map(*[F.lit(x) for pair in code.items() for x in pair])
-    packed_signs = F.lit(0).cast("long")
-    for i in range(ORDER):
-        own = F.shiftrightunsigned("gram", 16 * (ORDER - 1 - i)).bitwiseAND(0xFFFF).cast("int")
-        packed_signs = F.shiftleft(packed_signs, 6).bitwiseOR(F.coalesce(F.element_at(table, own), F.lit(SIGNS - 1)).cast("long"))
-    return signs, grams.select(packed_signs.alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _counted(batch.column(0).to_pylist())], names=["hi", "lo", "n"])
+
+    return texts.mapInArrow(run, "hi long, lo long, n long").groupBy("hi", "lo").agg(F.sum("n").alias("n"))
+
+
+def _context(hi: str = "hi", lo: str = "lo") -> tuple[Column, Column]:
+    """An n-gram without its last character."""
+    return F.shiftright(hi, BITS), F.shiftleft(F.col(hi).bitwiseAND(MASK), BITS).bitwiseOR(F.shiftright(lo, BITS))
+
+
+def _tail(order: int, hi: str = "hi", lo: str = "lo") -> tuple[Column, Column]:
+    """An n-gram of this order without its first character."""
+    zero = F.lit(0).cast("long")
+    return (F.col(hi).bitwiseAND(MASK) if order == 4 else zero), (F.col(lo) if order >= 3 else F.col(lo).bitwiseAND(MASK) if order == 2 else zero)
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -87,79 +137,113 @@ def _own_discount(d: list[float]) -> Column:
     return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
 
 
-def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """Per order from 1: the probabilities (gram, p) of n-grams seen, and (ctx, backoff) of contexts seen.
+def train(texts: DataFrame) -> Model:
+    """The model of all rows of the only column (null texts left out before).
 
     The highest order counts occurrences, the lower ones in how many different
     characters they are seen after. All of it are joins of count tables, sharded
-    by context and by suffix:
-    p(gram) = (n - D(n)) / total(ctx) + backoff(ctx) * p(gram without its first sign).
+    by context and by suffix, and stays in tables:
+    p(gram) = (n - D(n)) / total(ctx) + backoff(ctx) * p(gram without its first character).
     """
-    levels = [counts]
-    for order in range(ORDER - 1, 0, -1):
-        suffix = F.col("gram").bitwiseAND((1 << 6 * order) - 1)
-        levels.insert(0, saved(levels[0].groupBy(suffix.alias("gram")).agg(F.count("*").alias("n")), f"counts-{order}"))
+    small_batches(texts.sparkSession)
+    levels = [saved(count_ngrams(texts), "ngrams")]
+    for order in range(ORDER, 1, -1):
+        hi, lo = _tail(order)
+        levels.insert(0, saved(levels[0].groupBy(hi.alias("hi"), lo.alias("lo")).agg(F.count("*").alias("n")), f"counts-{order - 1}"))
+    base = 1.0 / (levels[0].count() + 1)  # characters seen, and one for all others
     out: list[tuple[DataFrame, DataFrame]] = []
     for order, level in enumerate(levels, 1):
         d = _discounts(level)
-        level = level.withColumn("ctx", F.shiftright("gram", 6)).withColumn("tail", F.col("gram").bitwiseAND((1 << 6 * (order - 1)) - 1))
-        contexts = level.groupBy("ctx").agg(F.sum("n").alias("total"), F.sum(_own_discount(d)).alias("left"))
-        contexts = saved(contexts.select("ctx", "total", (F.col("left") / F.col("total")).alias("backoff")), f"contexts-{order}")
-        lower = out[-1][0].select(F.col("gram").alias("tail"), F.col("p").alias("lower")) if out else None
-        seen = level.join(contexts, "ctx")
-        seen = seen.join(lower, "tail") if lower is not None else seen.withColumn("lower", F.lit(1.0 / SIGNS))
-        seen = saved(seen.select("gram", ((F.col("n") - _own_discount(d)) / F.col("total") + F.col("backoff") * F.col("lower")).alias("p")), f"model-{order}")
-        out.append((seen, contexts.select("ctx", "backoff")))
-    return out
-
-
-def train(texts: DataFrame) -> Model:
-    """The model of all rows of the only column (null texts left out before).
-
-    Counts are gathered over all the text. The finished tables have at most
-    SIGNS ** ORDER entries (16.8 million), whatever the text; that fixed bound
-    is what lets every worker hold the table of probabilities.
+        (ch, cl), (th, tl) = _context(), _tail(order)
+        level = level.select("hi", "lo", "n", ch.alias("ch"), cl.alias("cl"), th.alias("th"), tl.alias("tl"))
+        contexts = level.groupBy("ch", "cl").agg(F.sum("n").alias("total"), F.sum(_own_discount(d)).alias("left"))
+        contexts = saved(contexts.select("ch", "cl", "total", (F.col("left") / F.col("total")).alias("backoff")), f"contexts-{order}")
+        seen = level.join(contexts, ["ch", "cl"])
+        if out:
+            seen = seen.join(out[-1][0].select(F.col("hi").alias("th"), F.col("lo").alias("tl"), F.col("p").alias("lower")), ["th", "tl"])
+        else:
+            seen = seen.withColumn("lower", F.lit(base))
+        p = (F.col("n") - _own_discount(d)) / F.col("total") + F.col("backoff") * F.col("lower")
+        out.append((saved(seen.select("hi", "lo", p.alias("p")), f"model-{order}"), contexts.select(F.col("ch").alias("hi"), F.col("cl").alias("lo"), "backoff")))
+    return Model(out, base)
+
+
+def log_probabilities(grams: DataFrame, model: Model) -> DataFrame:
+    """hi, lo, log: natural logarithm of the probability of the last character of each n-gram (distinct hi, lo).
+
+    An n-gram takes its own probability where it was seen, else that of its
+    suffix times the back-off of its context, and so on down: one left join a
+    table, n-grams and model sharded alike.
     """
-    small_batches(texts.sparkSession)
-    signs, counts = _signed(saved(count_ngrams(texts), "ngrams"))
-    p = np.full(SIGNS, 1.0 / SIGNS, np.float32)
-    for order, (seen, contexts) in enumerate(kneser_ney(saved(counts, "sign-ngrams")), 1):
-        backoff = np.ones(SIGNS ** (order - 1), np.float32)
-        own = contexts.toPandas()
-        backoff[own["ctx"].to_numpy()] = own["backoff"].to_numpy()
-        # Every n-gram starts as backoff(ctx) * p(suffix); those seen then get their own value.
-        p = backoff[0] * p if order == 1 else (backoff.reshape(SIGNS, -1, 1) * p.reshape(1, -1, SIGNS)).reshape(-1)
-        own = seen.toPandas()
-        p[own["gram"].to_numpy()] = own["p"].to_numpy()
-    return Model(signs, np.log(np.maximum(p, 1e-12)))
-
-
-def perplexities(rows: DataFrame, model: Model, text: str = "body") -> DataFrame:
-    """rows with chars and perplexity per character in place of the text; null perplexity for a null or empty text."""
-    small_batches(rows.sparkSession)
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    others = [c for c in rows.columns if c != text]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        sign = np.full(1 << 16, SIGNS - 1, np.int32)
-        sign[own.signs] = np.arange(1, len(own.signs) + 1)
-        sign[0] = 0
-        for batch in batches:
-            out, chars = [], []
-            for body in batch.column(text).to_pylist():
-                total, n = 0.0, 0
-                for codes in _pieces(body) if body else ():
-                    s = sign[codes]
-                    gram = reduce(lambda g, i, s=s: (g << 6) | s[i : len(s) - ORDER + 1 + i], range(1, ORDER), s[: len(s) - ORDER + 1])
-                    total += float(own.logs[gram].sum(dtype=np.float64))
-                    n += len(gram)
-                out.append(float(np.exp(-total / n)) if n else None)
-                chars.append(n)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(chars, pa.int64()), pa.array(out, pa.float64())], names=[*others, "chars", "perplexity"])
-
-    schema = T.StructType([*(f for f in rows.schema.fields if f.name != text), T.StructField("chars", T.LongType()), T.StructField("perplexity", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    rows = grams.select("hi", "lo", F.col("hi").alias("h"), F.col("lo").alias("l"), F.lit(1.0).alias("weight"), F.lit(None).cast("double").alias("p"))
+    for order in range(ORDER, 0, -1):
+        seen, contexts = model.levels[order - 1]
+        (ch, cl), (th, tl) = _context("h", "l"), _tail(order, "h", "l")
+        seen = seen.select(F.col("hi").alias("h"), F.col("lo").alias("l"), F.col("p").alias("own"))
+        contexts = contexts.select(F.col("hi").alias("ch"), F.col("lo").alias("cl"), "backoff")
+        rows = rows.join(seen, ["h", "l"], "left").withColumns({"ch": ch, "cl": cl}).join(contexts, ["ch", "cl"], "left")
+        rows = rows.select(
+            "hi", "lo", th.alias("h"), tl.alias("l"), (F.col("weight") * F.coalesce("backoff", F.lit(1.0))).alias("weight"),
+            F.coalesce("p", F.col("weight") * F.col("own")).alias("p"),
+        )
+    return rows.select("hi", "lo", F.ln(F.greatest(F.coalesce("p", F.col("weight") * F.lit(model.base)), F.lit(1e-12))).alias("log"))
+
+
+def _single(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """One row for each id and text (k1, k2), and whether any went: copies of a row would crowd the batch their keys name."""
+    counts = rows.groupBy("k1", "k2").count()
+    again = saved(counts.where("count > 1").select("k1", "k2"), "repeated")
+    if not again.limit(1).count():
+        return rows, False
+    one = rows.join(again, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("body").alias("body"))
+    return rows.join(again, ["k1", "k2"], "left_anti").select("k1", "k2", "body").unionByName(one.select("k1", "k2", "body")), True
+
+
+def perplexities(rows: DataFrame, model: Model) -> DataFrame:
+    """rows (k1, k2, body and others) with chars and perplexity per character in place of the text; null perplexity for a null or empty text.
+
+    Texts are dealt into batches of about BATCH_CHARS characters by their keys,
+    once. A batch names its different n-grams; these are joined with the model,
+    each once for all batches, and the logarithms come back to the batches that
+    named them, where the sums of the documents are made. What a task holds is
+    one batch and its n-grams, whatever the size of the model.
+    """
+    spark = rows.sparkSession
+    small_batches(spark)
+    single, fewer = _single(rows)
+    texts = single.select("k1", "k2", "body") if fewer else rows.select("k1", "k2", "body")
+    total = texts.agg(F.sum(F.length("body").cast("long"))).first()[0] or 0
+    n = max(1, -(-int(total) // BATCH_CHARS))
+    dealt = texts.select("k1", "k2", "body", F.pmod(F.xxhash64("k1", "k2"), F.lit(n)).alias("batch")).repartition("batch")
+
+    def name(table: pa.Table) -> pa.Table:
+        hi, lo, _ = _counted(table.column("body").to_pylist())
+        return pa.table({"batch": pa.array(np.full(len(hi), table.column("batch")[0].as_py()), pa.int64()), "hi": pa.array(hi, pa.int64()), "lo": pa.array(lo, pa.int64())})
+
+    named = dealt.groupBy("batch").applyInArrow(name, "batch long, hi long, lo long")
+    logs = log_probabilities(named.select("hi", "lo").distinct(), model)
+    known = named.join(logs, ["hi", "lo"]).select("batch", "hi", "lo", "log")
+
+    def score(docs: pa.Table, grams: pa.Table) -> pa.Table:
+        hi, lo, log = (grams.column(c).to_numpy() for c in ("hi", "lo", "log"))
+        keys = _Keys(np.unique(np.concatenate([hi >> BITS, hi & MASK, lo >> BITS, lo & MASK])))
+        own = keys.of_halves(hi, lo)
+        order = np.argsort(own)
+        own, log = own[order], log[order]
+        out, chars = [], []
+        for body in docs.column("body").to_pylist():
+            total, n = 0.0, 0
+            for codes in _pieces(body) if body else ():
+                at = np.searchsorted(own, keys.of(codes))
+                total += float(log[at].sum())
+                n += len(at)
+            out.append(float(np.exp(-total / n)) if n else None)
+            chars.append(n)
+        return pa.table({"k1": docs.column("k1"), "k2": docs.column("k2"), "chars": pa.array(chars, pa.int64()), "perplexity": pa.array(out, pa.float64())})
+
+    found = dealt.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(score, "k1 long, k2 long, chars long, perplexity double")
+    others = [c for c in rows.columns if c != "body"]
+    return rows.select(*others).join(saved(found, "scores"), ["k1", "k2"]).select(*others, "chars", "perplexity")
 
 
 def _calibrating(ident: Column) -> Column:

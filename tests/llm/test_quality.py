@@ -22,15 +22,11 @@ def table(spark, rows):
 
 
 def plain_model(texts):
-    """Interpolated modified Kneser-Ney with dictionaries, order by order."""
-    chars = Counter()
+    """Interpolated modified Kneser-Ney with dictionaries, order by order, over all characters."""
     padded = [["\0"] * 3 + ["0" if c in "0123456789" else c for c in t] for t in texts]
-    for p in padded:
-        chars.update(p[3:])
-    signs = sorted(c for c, _ in sorted(chars.items(), key=lambda x: (-x[1], x[0]))[:62])
-    number = {c: i + 1 for i, c in enumerate(signs)} | {"\0": 0}
+    base = 1 / (len({c for p in padded for c in p[3:]}) + 1)
     counts = [None] * 5
-    counts[4] = Counter(tuple(number.get(c, 63) for c in p[i : i + 4]) for p in padded for i in range(len(p) - 3))
+    counts[4] = Counter(tuple(map(ord, p[i : i + 4])) for p in padded for i in range(len(p) - 3))
     for k in (3, 2, 1):
         counts[k] = Counter(g[1:] for g in counts[k + 1])
     tables = {}
@@ -47,7 +43,7 @@ def plain_model(texts):
 
     def p(gram):
         if not gram:
-            return 1 / 64
+            return base
         own, d, total, left = tables[len(gram)]
         lower = p(gram[1:])
         if gram[:-1] not in total:
@@ -55,19 +51,71 @@ def plain_model(texts):
         v = own[gram]
         return (max(v - d[min(v, 3) - 1], 0) if v else 0) / total[gram[:-1]] + left[gram[:-1]] / total[gram[:-1]] * lower
 
-    return number, p
+    return p
+
+
+def halves(g):
+    return (g[0] << 21) | g[1], (g[2] << 21) | g[3]
 
 
 def test_model_against_plain(spark):
-    texts = [*prose(30), "Ünïcode — 1234 text 🙂", "", "a", "zz" * 40]
+    texts = [*prose(30), "Ünïcode — 1234 text 🙂🙃", "", "a", "zz" * 40, "Привет, мир", "日本語の文"]
     model = train(spark.createDataFrame([(t,) for t in texts], "body string").repartition(3))
-    number, p = plain_model(texts)
-    assert [chr(c) for c in model.signs] == sorted(c for c in number if c != "\0" and c != "🙂") or len(model.signs) == len(number) - 1
+    p = plain_model(texts)
     random = np.random.default_rng(2)
-    seen = [tuple(map(int, g)) for g in random.integers(0, 64, (300, 4))] + [tuple(number.get(c, 63) for c in "the "), (0, 0, 0, number["T"]), (0, 0, 0, 0)]
-    for g in seen:
-        at = ((g[0] * 64 + g[1]) * 64 + g[2]) * 64 + g[3]
-        assert model.logs[at] == pytest.approx(math.log(p(g)), abs=2e-5), g
+    signs = [0, *map(ord, "the of,.T0zПриво日本語🙂🙃\U0010ffff")]
+    asked = {tuple(int(signs[i]) for i in g) for g in random.integers(0, len(signs), (400, 4))}
+    asked |= {tuple(map(ord, "the ")), (0, 0, 0, ord("T")), (0, 0, 0, 0), tuple(map(ord, "ривe")), tuple(map(ord, "本語の文"))}
+    grams = spark.createDataFrame([halves(g) for g in asked], "hi long, lo long").repartition(3)
+    got = {(r.hi, r.lo): r.log for r in quality.log_probabilities(grams, model).collect()}
+    assert len(got) == len(asked)
+    for g in asked:
+        assert got[halves(g)] == pytest.approx(math.log(p(g)), abs=1e-9), g
+
+
+@pytest.mark.parametrize("chars", [1 << 22, 300])
+def test_perplexities_against_plain(spark, monkeypatch, chars):
+    """In one batch and in many, copies of rows among them."""
+    monkeypatch.setattr(quality, "BATCH_CHARS", chars)
+    texts = [*prose(20), "Привет, мир", "日本語", "", None, "x", "🙂" * 30]
+    model = train(spark.createDataFrame([(t,) for t in texts if t is not None], "body string"))
+    p = plain_model([t for t in texts if t is not None])
+    rows = [(i, t) for i, t in enumerate([*texts, "new 77 text 文", "%" * 50])] + [(0, texts[0])] * 5 + [(1000, texts[1])]
+    df = spark.createDataFrame([(i, t, hash((i, t)) >> 8, i) for i, t in rows], "ident long, body string, k1 long, k2 long").repartition(4)
+    out = quality.perplexities(df, model).collect()
+    assert sorted(r.ident for r in out) == sorted(i for i, _ in rows)
+    for r in out:
+        text = dict(rows)[r.ident]
+        padded = [0, 0, 0, *[ord("0") if c in "0123456789" else ord(c) for c in text or ""]]
+        logs = [math.log(max(p(tuple(padded[i : i + 4])), 1e-12)) for i in range(len(padded) - 3)]
+        assert r.chars == len(logs) and (r.perplexity is None) == (not logs)
+        if logs:
+            assert r.perplexity == pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-9)
+
+
+def test_keys_of_very_many_characters():
+    chars = np.arange(0x110000, dtype=np.int64)
+    keys = quality._Keys(chars)
+    assert not keys.exact
+    codes = np.random.default_rng(1).integers(0, 0x110000, 5000).astype(np.uint32)
+    hi, lo = quality._halves(codes)
+    assert (keys.of(codes) == keys.of_halves(hi, lo)).all() and len(np.unique(keys.of(codes))) == len({*zip(hi, lo, strict=True)})
+    texts = ["".join(chr(c) for c in range(0x1000, 0xD800)) + "".join(chr(c) for c in range(0x10000, 0x20000))] * 2
+    hi, lo, n = quality._counted(texts)
+    assert set(n) == {2} and len(n) == len(texts[0])
+
+
+def test_a_script_beside_a_majority_is_judged_for_itself(spark):
+    """Prose and junk of a script that one text in ten is in, over the same letters."""
+    random = np.random.default_rng(3)
+    words = "это был не на что по как она из так все его было для вот когда даже тут".split()
+    russian = lambda n, seed: [" ".join(np.random.default_rng(seed + i).choice(words, 40)) + "." for i in range(n)]
+    good = [(i, t, "en") for i, t in enumerate(prose(1500))] + [(5000 + i, t, "ru") for i, t in enumerate(russian(200, 10))]
+    new = [(7000 + i, t, "ru") for i, t in enumerate(russian(30, 5000))]
+    letters = sorted({c for w in words for c in w})
+    junk = [(8000 + i, " ".join("".join(random.choice(letters, 4)) for _ in range(40)), "ru") for i in range(30)]
+    keep = {r.ident: r.keep for r in judged(table(spark, good + new + junk), labelled(spark, good)).collect()}
+    assert not any(keep[i] for i, *_ in junk) and all(keep[i] for i, *_ in new)
 
 
 def labelled(spark, rows):
