@@ -157,9 +157,12 @@ def _search(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "vec", ident: str = "vec_id") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row of queries the k rows of vectors with the highest inner product, ties to the smaller id.
 
-    Both have ident (long) and vector (array<long>, all of one length, no nulls
-    inside). A row never finds its own id. Rows with a null id or vector take no
-    part; a row that repeats in full counts once. With fewer than k others all are returned.
+    Both have ident (long) and vector (array<long>, no nulls inside); vectors
+    shorter than the longest end in zeros, so an empty one scores 0 with all. A
+    row never finds its own id. Rows with a null id or vector take no part; a row
+    that repeats in full counts once, and rows of one id with different vectors
+    are one query (or answer) each, whose answers are ranked together under the
+    id. With fewer than k others all are returned.
 
     Equal vectors are one entry with their k + 1 least ids, beyond which no id
     can be among the answers. Each query first searches the subtree of the
@@ -169,8 +172,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "ve
     """
     spark = vectors.sparkSession
     small_batches(spark, 4096)
-    rows = vectors.select(col(ident).alias("vec_id"), col(vector).alias("vec")).where("vec_id is not null and vec is not null").distinct()
-    asked = queries.select(col(ident).alias("query_id"), col(vector).alias("vec")).where("query_id is not null and vec is not null").distinct()
+    rows = vectors.select(col(ident).alias("vec_id"), col(vector).alias("vec")).where("vec_id is not null and vec is not null")
+    asked = queries.select(col(ident).alias("query_id"), col(vector).alias("vec")).where("query_id is not null and vec is not null")
+    width = max(1, *[x.agg(F.max(F.size("vec"))).first()[0] or 0 for x in (rows, asked)])
+    even = F.concat("vec", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("vec")))
+    rows, asked = (x.withColumn("vec", even).distinct() for x in (rows, asked))
     found = saved(rows.withColumn("node", F.xxhash64("vec")), "vectors")
     asked = saved(asked.withColumn("query", F.xxhash64("query_id", "vec")), "queries")
     ceiling = found.agg(F.max(F.aggregate("vec", F.lit(0).cast("long"), lambda s, x: s + x * x))).first()[0]
@@ -197,11 +203,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "ve
 
     aimed = saved(asked.mapInArrow(reach, "query_id long, vec array<long>, query long, regions array<int>, bounds array<double>"), "aimed")
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")
-    spread = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def searched(where: DataFrame, name: str) -> DataFrame:
+        """Subtrees go to the blocks of queries that ask for them, to no others."""
         by = ["region", "part", "block"]
-        answers = spread.groupBy(*by).cogroup(where.select("query_id", "vec", "worst", *by).groupBy(*by)).applyInArrow(_search(k), "query_id long, vec_id long, score long")
+        where = saved(where.select("query_id", "vec", "worst", *by), f"{name}-asked")
+        wanted = saved(pages.join(where.select(*by).distinct(), ["region", "part"]), f"{name}-pages")
+        answers = wanted.groupBy(*by).cogroup(where.groupBy(*by)).applyInArrow(_search(k), "query_id long, vec_id long, score long")
         return saved(answers, name)
 
     home = aimed.select("query_id", "vec", F.col("regions")[0].alias("region"), F.lit(0).alias("part"), F.lit(None).cast("long").alias("worst"), block)

@@ -48,9 +48,19 @@ def test_edge_cases(spark):
     assert got(top_k(table(spark, alone), table(spark, alone), 3)) == []
 
 
+def test_vectors_of_unequal_length(spark):
+    """Shorter ones end in zeros; an empty one scores 0 with all."""
+    rows = [(1, [1, 2, 3]), (2, [2]), (3, []), (4, [0, 5]), (5, [-1, 0, 0]), (6, [-1]), (7, [])]
+    even = [(i, v + [0] * (3 - len(v))) for i, v in rows]
+    assert got(top_k(table(spark, rows), table(spark, rows), 4)) == plain(even, even, 4)
+    assert got(top_k(table(spark, rows[1:3]), table(spark, rows), 4)) == plain(even[1:3], even, 4)
+    empty = [(1, []), (2, []), (3, [])]
+    assert got(top_k(table(spark, empty), table(spark, empty), 2)) == plain(empty, empty, 2)
+
+
 def test_query_on_odd_vectors(spark, tmp_path):
     random = np.random.default_rng(8)
-    rows = [(i, random.standard_normal(8).astype(np.float32).tolist()) for i in range(100)] + [(100, None), (120, [float("nan")] * 8), (140, [None] * 8), (160, [0.0] * 8)]
+    rows = [(i, random.standard_normal(8).astype(np.float32).tolist()) for i in range(100)] + [(100, None), (120, [float("nan")] * 8), (140, [None] * 8), (160, [0.0] * 8), (180, []), (200, [1.5, -2.0])]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
-    good = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(int).tolist()) for i, v in rows if i not in (100, 120, 140)]
+    good = [(i, np.floor(64 * np.array([*v, *[0.0] * (8 - len(v))], np.float32).astype(float)).astype(int).tolist()) for i, v in rows if i not in (100, 120, 140)]
     assert got(op2_top_k(spark, str(tmp_path))) == plain(good, [r for r in good if r[0] % 20 == 0], 20)
