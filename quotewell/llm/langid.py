@@ -12,11 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quotewell.llm.common import col, read, small_batches
+from quotewell.llm.common import col, read, saved, small_batches
 
 BUCKETS = 1 << 14  # n-grams of one to three characters hash into so many features
 ROWS_PER_LANG = 600  # bound of the sample that weights are fitted on, per language
-PARTS = 16
 _PIECE = 1 << 19  # characters looked at together
 _CALIBRATE = 5  # every fifth sampled row fits the temperature, the others the weights
 
@@ -147,11 +146,15 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", ident: str =
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
 
     hashed = usable.withColumn("at", F.xxhash64("ident", "body"))
-    # The least of each part first, then the least of those: no task sees more than PARTS * rows_per_lang rows of a language.
-    ranked = hashed.select("lang", "at", F.pmod("at", F.lit(PARTS)).alias("part"))
-    for by in (["lang", "part"], ["lang"]):
-        ranked = ranked.withColumn("n", F.row_number().over(W.partitionBy(*by).orderBy("at"))).where(F.col("n") <= rows_per_lang)
-    sample = hashed.join(F.broadcast(ranked.select(F.col("at"), F.col("lang")).distinct()), ["at", "lang"])
+    # Rows alike in id and text are one. Where a language has many, a limit on the hash, set by their number, leaves
+    # about twice as many as are wanted, so what is ranked is bounded whatever the table and however it is split.
+    several = saved(hashed.select("lang", "at").distinct(), "sample-hashes")
+    share = F.least(F.lit(1.0), 2.0 * rows_per_lang / F.count("*"))
+    limit = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((F.lit(-float(1 << 63)) + share * float(1 << 64)).cast("long"))
+    limits = several.groupBy("lang").agg(limit.alias("limit"))
+    few = several.join(limits, "lang").where(F.col("at") <= F.col("limit")).select("lang", "at")
+    ranked = few.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("at"))).where(F.col("n") <= rows_per_lang).select("at", "lang")
+    sample = hashed.join(saved(ranked, "sample"), ["at", "lang"]).groupBy("at", "lang").agg(F.first("body").alias("body"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blank = Model([], np.zeros((0, 0)), np.zeros(0), idf, 1.0)
@@ -163,7 +166,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", ident: str =
             )
 
     rows: pd.DataFrame = sample.select("lang", "at", "body").mapInArrow(vectors, "lang string, at long, i array<int>, x array<float>").toPandas()
-    rows = rows.drop_duplicates(["lang", "at"]).sort_values(["at", "lang"])
+    rows = rows.sort_values(["at", "lang"])
     langs = sorted(rows["lang"].unique())
     labels = rows["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
     return fit([(np.asarray(i), np.asarray(x, dtype=np.float64)) for i, x in zip(rows["i"], rows["x"], strict=True)], langs, labels, idf)

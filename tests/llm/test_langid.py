@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 from pyspark.sql import types as T
 
@@ -73,3 +75,82 @@ def test_language_is_no_input(spark, tmp_path):
         table(spark, changed).write.parquet(str(tmp_path / name / "documents.parquet"))
     a, b = (sorted(map(tuple, op9_language_id(spark, str(tmp_path / n)).select("doc_id", "held_out", "lang_pred").collect())) for n in "ab")
     assert a == b and {x[2] for x in a} == set(WORDS)
+
+
+def plain_ftrl(rows, n_langs, labels, size, train_on, epochs=4, alpha=0.5, beta=1.0, l1=1e-2, l2=1e-3):
+    """Follow-the-regularised-leader, one weight at a time."""
+    z = [[0.0] * n_langs for _ in range(size + 1)]
+    n = [[0.0] * n_langs for _ in range(size + 1)]
+
+    def weight(f, k):
+        if abs(z[f][k]) <= l1:
+            return 0.0
+        return -(z[f][k] - math.copysign(l1, z[f][k])) / ((beta + math.sqrt(n[f][k])) / alpha + l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(epochs):
+        for i in order.permutation(train_on):
+            items = [*zip(*rows[i], strict=True), (size, 1.0)]
+            scores = [sum(x * weight(f, k) for f, x in items) for k in range(n_langs)]
+            top = max(scores)
+            exps = [math.exp(s - top) for s in scores]
+            p = [e / sum(exps) for e in exps]
+            old = {(f, k): weight(f, k) for f, _ in items for k in range(n_langs)}
+            for f, x in items:
+                for k in range(n_langs):
+                    g = x * (p[k] - (labels[i] == k))
+                    sigma = (math.sqrt(n[f][k] + g * g) - math.sqrt(n[f][k])) / alpha
+                    z[f][k] += g - sigma * old[f, k]
+                    n[f][k] += g * g
+    return np.array([[weight(f, k) for k in range(n_langs)] for f in range(size + 1)])
+
+
+def small_problem(n=60, size=40, seed=4):
+    random = np.random.default_rng(seed)
+    labels = random.integers(0, 3, n)
+    rows = []
+    for y in labels:
+        at = np.sort(random.choice(size, 8, replace=False))
+        x = random.random(8) + (at % 3 == y) * 0.7
+        rows.append((at, x / np.sqrt((x * x).sum())))
+    return rows, labels, size
+
+
+def test_weights_against_plain():
+    rows, labels, size = small_problem()
+    for l1, zeros in ((1e-2, False), (0.3, True)):
+        model = langid.fit(rows, ["a", "b", "c"], labels, np.ones(size), l1=l1)
+        want = plain_ftrl(rows, 3, labels, size, [i for i in range(len(rows)) if i % 5], l1=l1)
+        assert np.allclose(model.weights, want[:-1], atol=1e-10) and np.allclose(model.bias, want[-1], atol=1e-10)
+        assert (model.weights == 0).any() == zeros and (model.weights != 0).any()
+
+
+def test_temperature_against_a_grid():
+    rows, labels, size = small_problem(200)
+    model = langid.fit(rows, ["a", "b", "c"], labels, np.ones(size))
+    held = range(0, len(rows), 5)
+    logits = np.array([rows[i][1] @ model.weights[rows[i][0]] + model.bias for i in held])
+    rest = 1 / (len(logits) + 2)
+
+    def loss(t):
+        z = logits / t
+        logs = z - z.max(axis=1, keepdims=True)
+        logs = logs - np.log(np.exp(logs).sum(axis=1, keepdims=True))
+        own = logs[np.arange(len(logs)), labels[::5]]
+        return -((1 - rest) * own + rest * logs.mean(axis=1)).mean()
+
+    grid = np.exp(np.linspace(np.log(0.05), np.log(20), 4001))
+    best = grid[np.argmin([loss(t) for t in grid])]
+    assert abs(np.log(model.temperature) - np.log(best)) < 0.005
+
+
+def test_repeats_count_once_and_do_not_fill_the_sample(spark, monkeypatch):
+    """Whatever repeats, the same rows are learned from; each reaches the driver once."""
+    seen = []
+    real = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda rows, *a, **k: seen.append(len(rows)) or real(rows, *a, **k))
+    rows = sentences(240)
+    plain = train(table(spark, rows), rows_per_lang=50)
+    more = train(table(spark, rows + [rows[0]] * 3000), rows_per_lang=50)
+    assert seen == [150, 150] and (plain.weights != 0).sum() > 0
+    assert ((plain.weights != 0) == (more.weights != 0)).mean() > 0.9  # the frequencies differ, the sample does not
