@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 from os.path import commonprefix
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +50,8 @@ class Encoder:
     one before it are still at hand, and only the rest of the word is new.
     """
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, path: str, data: bytes | None = None):
+        spec = json.loads(Path(path).read_bytes() if data is None else data)
         signs, model = _byte_signs(), spec["model"]
         as_bytes = lambda token: bytes(signs[c] for c in token)
         self.ids = {as_bytes(token): i for token, i in model["vocab"].items() if all(c in signs for c in token)}
@@ -173,11 +175,19 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per worker process and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def shipped(spark: SparkSession, path: str) -> Callable[[], Encoder]:
+    """For workers: the encoder of a vocabulary file that only the driver has to
+    reach. Its bytes go to the executors; each worker process makes one encoder of them."""
+    data = spark.sparkContext.broadcast(Path(path).read_bytes())
+    name = uuid.uuid4().hex
+
+    def own() -> Encoder:
+        if name not in _ENCODERS:
+            same = hashlib.sha256(data.value).hexdigest()
+            _ENCODERS[name] = _ENCODERS.setdefault(same, _ENCODERS.get(same) or Encoder(path, data.value))
+        return _ENCODERS[name]
+
+    return own
 
 
 def bpe(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
@@ -192,11 +202,11 @@ def bpe(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFra
     trie; encodings are remembered up to a fixed number of words, so memory does
     not grow with the table. There is no shuffle.
     """
-    path = path or default_tokenizer()
+    make = shipped(docs.sparkSession, path or default_tokenizer())
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = make()
         for batch in batches:
             ids = own.encode(batch.column("doc").field(text).to_pylist())
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
