@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,26 @@ class Model:
     base: float
 
 
+def _pressed(rows: DataFrame, text: str = "body") -> DataFrame:
+    """rows with their texts compressed one by one: what is dealt over the network, or waits on disk for it, is about a third."""
+    rest = [c for c in rows.columns if c != text]
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_up = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = batch.column(text).cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array([zip_up(t) if t else t for t in texts], pa.binary())], names=[*rest, text])
+
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in rest)
+    return rows.mapInArrow(press, f"{kinds + ', ' if kinds else ''}{text} binary")
+
+
+def _texts(column: pa.ChunkedArray | pa.Array) -> Iterator[str | None]:
+    """The texts again, one at a time."""
+    unzip = zstandard.ZstdDecompressor().decompress
+    return (unzip(t).decode("utf-8", "surrogatepass") if t else (None if t is None else "") for t in column.to_pylist())
+
+
 def _codes(text: str) -> np.ndarray:
     """Code points with digits as 0."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -84,7 +105,7 @@ class _Keys:
         return (parts[0] << np.uint64(48)) | (parts[1] << np.uint64(32)) | (parts[2] << np.uint64(16)) | parts[3]
 
 
-def _counted(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _counted(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """hi, lo and number of the different n-grams of the texts."""
     pieces = [codes for text in texts if text for codes in _pieces(text) if len(codes) >= ORDER]
     if not pieces:
@@ -104,11 +125,11 @@ def _counted(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def count_ngrams(texts: DataFrame) -> DataFrame:
-    """hi, lo and n of all n-grams of the only column, each batch counted before the shuffle."""
+    """hi, lo and n of all n-grams of the only column (compressed), each batch counted before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _counted(batch.column(0).to_pylist())], names=["hi", "lo", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _counted(_texts(batch.column(0)))], names=["hi", "lo", "n"])
 
     return texts.mapInArrow(run, "hi long, lo long, n long").groupBy("hi", "lo").agg(F.sum("n").alias("n"))
 
@@ -138,7 +159,7 @@ def _own_discount(d: list[float]) -> Column:
 
 
 def train(texts: DataFrame) -> Model:
-    """The model of all rows of the only column (null texts left out before).
+    """The model of all rows of the only column, compressed (null texts left out before).
 
     The highest order counts occurrences, the lower ones in how many different
     characters they are seen after. All of it are joins of count tables, sharded
@@ -214,10 +235,10 @@ def perplexities(rows: DataFrame, model: Model) -> DataFrame:
     texts = single.select("k1", "k2", "body") if fewer else rows.select("k1", "k2", "body")
     total = texts.agg(F.sum(F.length("body").cast("long"))).first()[0] or 0
     n = max(1, -(-int(total) // BATCH_CHARS))
-    dealt = texts.select("k1", "k2", "body", F.pmod(F.xxhash64("k1", "k2"), F.lit(n)).alias("batch")).repartition("batch")
+    dealt = _pressed(texts.select("k1", "k2", "body")).withColumn("batch", F.pmod(F.xxhash64("k1", "k2"), F.lit(n))).repartition("batch")
 
     def name(table: pa.Table) -> pa.Table:
-        hi, lo, _ = _counted(table.column("body").to_pylist())
+        hi, lo, _ = _counted(_texts(table.column("body")))
         return pa.table({"batch": pa.array(np.full(len(hi), table.column("batch")[0].as_py()), pa.int64()), "hi": pa.array(hi, pa.int64()), "lo": pa.array(lo, pa.int64())})
 
     named = dealt.groupBy("batch").applyInArrow(name, "batch long, hi long, lo long")
@@ -231,7 +252,7 @@ def perplexities(rows: DataFrame, model: Model) -> DataFrame:
         order = np.argsort(own)
         own, log = own[order], log[order]
         out, chars = [], []
-        for body in docs.column("body").to_pylist():
+        for body in _texts(docs.column("body")):
             total, n = 0.0, 0
             for codes in _pieces(body) if body else ():
                 at = np.searchsorted(own, keys.of(codes))
@@ -266,7 +287,8 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str =
     trusted = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("ident")).distinct()
     rows = docs.select(col(ident).alias("ident"), col(lang).alias("lang"), col(text).alias("body"))
     # Labels grow with the documents: the join is a sort-merge join at every size, not a broadcast as long as they are few.
-    model = train(rows.where(~_calibrating(F.col("ident")) & F.col("body").isNotNull()).join(trusted.hint("merge"), "ident", "left_semi").select("body"))
+    others = _pressed(rows.where(~_calibrating(F.col("ident")) & F.col("body").isNotNull()).select("ident", "body"))
+    model = train(others.join(trusted.hint("merge"), "ident", "left_semi").select("body"))
     scored = saved(perplexities(rows.select("ident", "lang", *key_pair(F.col("ident"), F.col("body")), "body"), model), "perplexities")
 
     logs = scored.where(_calibrating(F.col("ident")) & F.col("perplexity").isNotNull()).join(trusted, "ident", "left_semi").select("lang", F.ln("perplexity").alias("log"))

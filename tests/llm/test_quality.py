@@ -60,7 +60,7 @@ def halves(g):
 
 def test_model_against_plain(spark):
     texts = [*prose(30), "Ünïcode — 1234 text 🙂🙃", "", "a", "zz" * 40, "Привет, мир", "日本語の文"]
-    model = train(spark.createDataFrame([(t,) for t in texts], "body string").repartition(3))
+    model = train(quality._pressed(spark.createDataFrame([(t,) for t in texts], "body string").repartition(3)))
     p = plain_model(texts)
     random = np.random.default_rng(2)
     signs = [0, *map(ord, "the of,.T0zПриво日本語🙂🙃\U0010ffff")]
@@ -78,7 +78,7 @@ def test_perplexities_against_plain(spark, monkeypatch, chars):
     """In one batch and in many, copies of rows among them."""
     monkeypatch.setattr(quality, "BATCH_CHARS", chars)
     texts = [*prose(20), "Привет, мир", "日本語", "", None, "x", "🙂" * 30]
-    model = train(spark.createDataFrame([(t,) for t in texts if t is not None], "body string"))
+    model = train(quality._pressed(spark.createDataFrame([(t,) for t in texts if t is not None], "body string")))
     p = plain_model([t for t in texts if t is not None])
     rows = [(i, t) for i, t in enumerate([*texts, "new 77 text 文", "%" * 50])] + [(0, texts[0])] * 5 + [(1000, texts[1])]
     df = spark.createDataFrame([(i, t, hash((i, t)) >> 8, i) for i, t in rows], "ident long, body string, k1 long, k2 long").repartition(4)
