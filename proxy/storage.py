@@ -42,15 +42,15 @@ def ingest_available_now(t):
 _FILES = {"index": ("hq_index", INDEX), "trade": ("hq_trade", TRADE)}
 
 
-def _drop_files(t, root, part):
+def _drop_files(t, root, part, marked=True):
     """One half of the index and trade files into day folders, with their markers and a file of no table."""
     rows = {"index": t["raw_index"], "trade": t["raw_trade_ticks"]}
     for half in (0, 1):
         for feed, (name, schema) in _FILES.items():
             mine = rows[feed].where(F.pmod(F.xxhash64("securityid", "origtime"), F.lit(4)) == 2 * part + half)
             mine.select(*schema.fieldNames()).write.mode("append").option("mapreduce.output.basename", name).csv(f"{root}/d{half}", sep="\t")
-        for other in ("ok", "stock_status"):
-            t.spark.range(1).select(F.lit("x").alias("value")).write.mode("append").option("mapreduce.output.basename", other).text(f"{root}/d{half}")
+        for other in ("ok", "notes") if marked else ("notes",):
+            t.spark.range(1).select(F.lit("x").alias("value")).coalesce(1).write.mode("append").option("mapreduce.output.basename", other).text(f"{root}/d{half}")
 
 
 @query("ingest_manifest", "feed:s trade_date:s n:i volume:d", """
@@ -77,6 +77,27 @@ def ingest_manifest(t):
     return parts[0].unionByName(parts[1])
 
 
+@query("ingest_routed_feeds", "feed:s trade_date:s n:i", """
+select 'index' as feed, cast(trade_date as varchar) as trade_date, count(*) as n from {sql_index} group by trade_date
+union all select 'trade', cast(trade_date as varchar), count(*) from {sql_trade_ticks} group by trade_date
+union all select 'refused', 'notes', 4 where exists (select 1 from {events})""")
+def ingest_routed_feeds(t):
+    """Index and trade files of two days in a stream each, and what no stream takes."""
+    base = scratch_dir(t.spark, "routed")
+    targets = {feed: f"{base}/{feed}" for feed in _FILES}
+    for part in (0, 1):
+        _drop_files(t, f"{base}/in", part, marked=part == 1)
+        days = ingest.ingest_feeds(t.spark, f"{base}/in", targets, f"{base}/checkpoint", marker="ok-*", feeds=list(_FILES))
+        assert len(days) == 2 * part  # days without a marker wait
+    parts = [
+        t.spark.read.parquet(targets[feed]).groupBy(F.col("trade_date").cast("string").alias("trade_date")).agg(F.count("*").alias("n")).withColumn("feed", F.lit(feed))
+        for feed in _FILES
+    ]
+    name = F.regexp_extract("path", r"([a-z_]+)[^/]*$", 1).alias("trade_date")
+    refused = ingest.refused_files(t.spark, f"{base}/in", days, marker="ok-*").groupBy(name).agg(F.count("*").alias("n"))
+    return parts[0].unionByName(parts[1]).unionByName(refused.withColumn("feed", F.lit("refused")))
+
+
 def _ticks(t):
     return t["events"].select(
         "event_id", "user_id", "event_type", F.col("value").cast("decimal(12,2)").alias("value"),

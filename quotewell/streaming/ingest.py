@@ -4,6 +4,7 @@ day partitions of the feed tables."""
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,15 +14,23 @@ from quotewell.sources.files import matching_paths
 from quotewell.sources.readers import feed_of_file, normalize
 from quotewell.sources.schemas import FEEDS
 
-# Name patterns of the new format, so that each feed lists only
-# its own files (the old format spells names in any case; there the name test
-# alone decides).
-NEW_PATTERNS = {
-    "snap": "*snap_spot*", "snap_level": "*snap_level*", "index": "*index*",
-    "order": "*order*", "trade": "*trade*",
+# What is in the names of a feed's files, so that each feed reads
+# no others (a name may still turn out to be of another feed; the route decides).
+NAMES = {
+    "new": {"snap": ["snap_spot"], "snap_level": ["snap_level"], "index": ["index"], "order": ["order"], "trade": ["trade"]},
+    "old": {"snap": ["snap_spot", "snapshot"], "snap_level": ["snap_level", "snapshotdw"], "index": ["index"], "order": ["order"], "trade": ["trade"]},
 }
 
 
+def name_pattern(feed: str, fmt: str) -> str:
+    """A glob for the file names of a feed; the old format spells them in any letter case."""
+    def spelled(word: str) -> str:
+        return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word) if fmt == "old" else word
+
+    words = [f"*{spelled(w)}*" for w in NAMES[fmt][feed]]
+    return words[0] if len(words) == 1 else "{" + ",".join(words) + "}"
+
+
 def ready_days(spark: SparkSession, root: str, marker: str = "ok") -> list[str]:
     """Day folders below ``root`` that hold the (usually empty) marker file. One
     entry per day."""
@@ -54,8 +63,9 @@ def ingest_available(
 
 
 def refused_files(spark: SparkSession, root: str, days: Sequence[str], fmt: str = "new", marker: str = "ok") -> DataFrame:
-    """The files of these days that belong to no feed: path. One row per file."""
-    paths = [p for day in days for p in matching_paths(spark, f"{root}/{day}/*") if p.rsplit("/", 1)[-1] != marker]
+    """The files of these days that belong to no feed: path. One row per file;
+    names that Spark itself passes over (_SUCCESS and the like) do not count."""
+    paths = [p for day in days for p in matching_paths(spark, f"{root}/{day}/*") if not fnmatch(p.rsplit("/", 1)[-1], marker) and p.rsplit("/", 1)[-1][0] not in "_."]
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
     return listed.where(feed_of_file(F.col("path"), fmt).isNull())
 
@@ -91,6 +101,6 @@ def ingest_feeds(spark: SparkSession, root: str, targets: Mapping[str, str], che
 
         ingest_available(
             spark, f"{root}/{{{','.join(days)}}}/*", FEEDS[fmt][feed], f"{checkpoint}/{feed}", route,
-            options={"sep": sep, **({"pathGlobFilter": NEW_PATTERNS[feed]} if fmt == "new" else {})},
+            options={"sep": sep, "pathGlobFilter": name_pattern(feed, fmt)},
         )
     return days
