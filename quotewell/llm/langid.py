@@ -151,7 +151,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", ident: str =
     several = saved(hashed.select("lang", "at").distinct(), "sample-hashes")
     share = F.least(F.lit(1.0), 2.0 * rows_per_lang / F.count("*"))
     limit = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((F.lit(-float(1 << 63)) + share * float(1 << 64)).cast("long"))
-    limits = several.groupBy("lang").agg(limit.alias("limit"))
+    limits = saved(several.groupBy("lang").agg(limit.alias("limit")), "sample-limits")  # its size decides how it is joined
     few = several.join(limits, "lang").where(F.col("at") <= F.col("limit")).select("lang", "at")
     ranked = few.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("at"))).where(F.col("n") <= rows_per_lang).select("at", "lang")
     sample = hashed.join(saved(ranked, "sample"), ["at", "lang"]).groupBy("at", "lang").agg(F.first("body").alias("body"))
