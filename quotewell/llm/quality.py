@@ -105,23 +105,45 @@ class _Keys:
         return (parts[0] << np.uint64(48)) | (parts[1] << np.uint64(32)) | (parts[2] << np.uint64(16)) | parts[3]
 
 
+def _groups(pieces: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The pieces in lists of about _CHARS codes."""
+    group, size = [], 0
+    for codes in pieces:
+        group.append(codes)
+        size += len(codes)
+        if size >= _CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def _counted(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """hi, lo and number of the different n-grams of the texts."""
-    pieces = [codes for text in texts if text for codes in _pieces(text) if len(codes) >= ORDER]
+    """hi, lo and number of the different n-grams of the texts, sorted and counted some at a time."""
+    pieces = [codes for text in texts if text for codes in _pieces(text)]
     if not pieces:
         return tuple(np.empty(0, np.int64) for _ in range(3))
     present = np.zeros(0x110000, bool)
     for codes in pieces:
         present[codes] = True
     keys = _Keys(np.flatnonzero(present))
-    every = np.concatenate([keys.of(codes) for codes in pieces])
-    if keys.exact:
-        found, n = np.unique(every, return_counts=True)
-        c = [keys.chars[(found >> np.uint64(shift)) & np.uint64(0xFFFF)].astype(np.int64) for shift in (48, 32, 16, 0)]
-        return (c[0] << BITS) | c[1], (c[2] << BITS) | c[3], n
-    _, first, n = np.unique(every, return_index=True, return_counts=True)
-    halves = [_halves(codes) for codes in pieces]
-    return np.concatenate([h for h, _ in halves])[first], np.concatenate([x for _, x in halves])[first], n
+    parts = []
+    for group in _groups(pieces):
+        every = np.concatenate([keys.of(codes) for codes in group])
+        if keys.exact:
+            parts.append(np.unique(every, return_counts=True))
+        else:
+            own, first, n = np.unique(every, return_index=True, return_counts=True)
+            parts.append((own, n, *(np.concatenate(x)[first] for x in zip(*map(_halves, group), strict=True))))
+    every, n, *halves = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    starts = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+    n = np.add.reduceat(n[order], starts)
+    if not keys.exact:
+        return halves[0][order][starts], halves[1][order][starts], n
+    c = [keys.chars[(every[starts] >> np.uint64(shift)) & np.uint64(0xFFFF)].astype(np.int64) for shift in (48, 32, 16, 0)]
+    return (c[0] << BITS) | c[1], (c[2] << BITS) | c[3], n
 
 
 def count_ngrams(texts: DataFrame) -> DataFrame:
