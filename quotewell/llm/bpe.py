@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 from os.path import commonprefix
 from pathlib import Path
@@ -13,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -175,19 +175,22 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def shipped(spark: SparkSession, path: str) -> Callable[[], Encoder]:
-    """For workers: the encoder of a vocabulary file that only the driver has to
-    reach. Its bytes go to the executors; each worker process makes one encoder of them."""
-    data = spark.sparkContext.broadcast(Path(path).read_bytes())
-    name = uuid.uuid4().hex
+class Vocabulary:
+    """A vocabulary file that only the driver has to reach: its bytes go to the executors."""
 
-    def own() -> Encoder:
-        if name not in _ENCODERS:
-            same = hashlib.sha256(data.value).hexdigest()
-            _ENCODERS[name] = _ENCODERS.setdefault(same, _ENCODERS.get(same) or Encoder(path, data.value))
-        return _ENCODERS[name]
+    def __init__(self, spark: SparkSession, path: str):
+        content = Path(path).read_bytes()
+        self.name, self.data = hashlib.sha256(content).hexdigest(), spark.sparkContext.broadcast(content)
 
-    return own
+    def encoder(self) -> Encoder:
+        """One per worker process and vocabulary, kept from task to task."""
+        return _encoder(self.name, self.data)
+
+
+def _encoder(name: str, data: Broadcast) -> Encoder:
+    if name not in _ENCODERS:
+        _ENCODERS[name] = Encoder("", data.value)
+    return _ENCODERS[name]
 
 
 def bpe(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
@@ -202,11 +205,11 @@ def bpe(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFra
     trie; encodings are remembered up to a fixed number of words, so memory does
     not grow with the table. There is no shuffle.
     """
-    make = shipped(docs.sparkSession, path or default_tokenizer())
+    vocabulary = Vocabulary(docs.sparkSession, path or default_tokenizer())
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = make()
+        own = vocabulary.encoder()
         for batch in batches:
             ids = own.encode(batch.column("doc").field(text).to_pylist())
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quotewell.llm.bpe import default_tokenizer, shipped
+from quotewell.llm.bpe import Vocabulary, default_tokenizer
 from quotewell.llm.common import col, read, small_batches
 from quotewell.session import scratch_dir
 from quotewell.sources.files import matching_paths
@@ -29,12 +29,12 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, tex
     empty text is a bare separator; a null id is an empty entry. A vocabulary
     with ids beyond 16 bits is refused.
     """
-    make = shipped(docs.sparkSession, path or default_tokenizer())
+    vocabulary = Vocabulary(docs.sparkSession, path or default_tokenizer())
     small_batches(docs.sparkSession)
     line_end = int(separator).to_bytes(2, "little").decode("latin-1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = make()
+        own = vocabulary.encoder()
         if max(own.raw, default=0) >= 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         for batch in batches:
