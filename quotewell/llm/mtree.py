@@ -105,51 +105,87 @@ def build(classes: DataFrame, ceiling: float) -> tuple[DataFrame, DataFrame]:
     return pages, saved(regions, "regions")
 
 
+def _merged(best: list[np.ndarray], found: list[list[np.ndarray]], k: int) -> list[np.ndarray]:
+    """query, score, id of the k best answers of each query, ties to the smaller id, ordered by query."""
+    query, score, ident = (np.concatenate([b, *parts]) for b, parts in zip(best, zip(*found, strict=True), strict=True))
+    order = np.lexsort((ident, -score, query))
+    query, score, ident = query[order], score[order], ident[order]
+    first = np.r_[True, query[1:] != query[:-1]]
+    place = np.arange(len(query)) - np.maximum.accumulate(np.where(first, np.arange(len(query)), 0))
+    return [x[place < k] for x in (query, score, ident)]
+
+
 def _search(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The function that searches one subtree for a block of queries."""
+    """The function that searches one subtree for a block of queries.
+
+    Each query takes its pages nearest bound first and ends at the first one
+    beyond its limit. All queries take a step together, so that those which are
+    at one page meet its entries in one matrix product.
+    """
 
     def run(tree: pa.Table, asked: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
+        best = [np.empty(0, np.int64)] * 3
+        queries = asked.column("query_id").to_numpy()
         if len(tree) and len(asked):
             parent, pivots = np.array(tree.column("parent")[0].as_py()), _rows(tree.column("pivot"))
             radius, to_parent = tree.column("radius").to_numpy(), tree.column("to_parent").to_numpy()
-            width = pivots.shape[1] - 1
-            entries = [np.array(e.values.to_numpy()).reshape(-1, width) for e in tree.column("entries")]
-            own, ids = [e.values.to_numpy() for e in tree.column("own")], tree.column("ids").to_pylist()
-            ceiling = float((parent * parent).sum())
-            for query, vec, worst in zip(asked.column("query_id").to_pylist(), asked.column("vec").to_pylist(), asked.column("worst").to_pylist(), strict=True):
-                q = np.array(vec, np.int64)
-                target = np.append(q.astype(np.float64), 0.0)
-                offset = float(target @ target) + ceiling
-                best: list[tuple[int, int]] = []  # (-score, vec_id), ascending
-                least = worst if worst is not None else None  # a score that must be reached
-
-                def limit(offset: float = offset) -> float:
-                    return np.inf if least is None else np.sqrt(max(offset - 2 * least, 0)) * (1 + _EPS) + _EPS
-
-                to_query = float(np.sqrt(((target - parent) ** 2).sum()))
-                # By the triangle inequality with stored distances, before any distance to a pivot is computed.
-                open_pages = np.flatnonzero(np.abs(to_query - to_parent) - radius <= limit())
-                d = np.sqrt(((pivots[open_pages] - target) ** 2).sum(axis=1))
-                bounds = d - radius[open_pages]
-                for i in np.argsort(bounds, kind="stable"):
-                    if bounds[i] > limit():
-                        break
-                    page = open_pages[i]
-                    near = np.flatnonzero(np.abs(d[i] - own[page]) <= limit())
-                    scores = entries[page][near] @ q
-                    if least is not None:
-                        good = scores >= least
-                        near, scores = near[good], scores[good]
-                    if not len(near):
-                        continue
-                    best += [(-int(s), v) for e, s in zip(near, scores, strict=True) for v in ids[page][e] if v != query]
-                    best = sorted(best)[:k]
-                    if len(best) == k:
-                        least = -best[-1][0] if least is None else max(least, -best[-1][0])
-                out += [(query, v, -s) for s, v in best]
-        columns = list(zip(*out, strict=True)) if out else [[], [], []]
-        return pa.table({name: pa.array(values, pa.int64()) for name, values in zip(("query_id", "vec_id", "score"), columns, strict=True)})
+            width, ceiling = pivots.shape[1] - 1, float((parent * parent).sum())
+            q = _rows(asked.column("vec"))
+            target = np.concatenate((q.astype(np.float64), np.zeros((len(q), 1))), axis=1)
+            offset = (target * target).sum(axis=1) + ceiling
+            # no partial sum of a score exceeds the product of both lengths, up to which doubles hold whole numbers
+            kind = np.float64 if offset.max() < 2.0**52 else np.int64
+            q = q.astype(kind)
+            entries = [np.array(e.values.to_numpy()).reshape(-1, width).astype(kind).T for e in tree.column("entries")]
+            own = [e.values.to_numpy() for e in tree.column("own")]
+            ids = [(e.values.flatten().to_numpy(), np.diff(e.values.offsets.to_numpy())) for e in tree.column("ids")]
+            unknown = np.iinfo(np.int64).min
+            least = np.array(asked.column("worst").fill_null(unknown).to_numpy())  # scores that must be reached
+
+            def limit(rows: np.ndarray) -> np.ndarray:
+                reach = np.sqrt(np.maximum(offset[rows] - 2.0 * least[rows], 0)) * (1 + _EPS) + _EPS
+                return np.where(least[rows] == unknown, np.inf, reach)
+
+            every = np.arange(len(q))
+            to_query = np.sqrt(((target - parent) ** 2).sum(axis=1))
+            # By the triangle inequality with stored distances, before any distance to a pivot is computed.
+            opened = np.abs(to_query[:, None] - to_parent) - radius <= limit(every)[:, None]
+            d = np.full(opened.shape, np.inf)
+            for p in range(len(pivots)):
+                rows = np.flatnonzero(opened[:, p])
+                d[rows, p] = np.sqrt(((target[rows] - pivots[p]) ** 2).sum(axis=1))
+            bounds = d - radius
+            order, active = np.argsort(bounds, axis=1, kind="stable"), every
+            for step in range(len(pivots)):
+                page = order[active, step]
+                go = bounds[active, page] <= limit(active)
+                active, page = active[go], page[go]
+                found = []
+                for p in np.unique(page):
+                    rows = active[page == p]
+                    reach = limit(rows)
+                    near = np.flatnonzero((own[p] >= (d[rows, p] - reach).min()) & (own[p] <= (d[rows, p] + reach).max()))
+                    scores = q[rows] @ entries[p][:, near]
+                    floor = least[rows].astype(kind)
+                    if len(near) > k + 1:  # one of them may be the query itself
+                        floor = np.maximum(floor, np.partition(scores, -k - 1, axis=1)[:, -k - 1])
+                    row, entry = np.nonzero(scores >= floor[:, None])
+                    named, copies = ids[p]
+                    n = copies[near[entry]]
+                    start = (np.cumsum(copies) - copies)[near[entry]]
+                    at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    answer = [np.repeat(rows[row], n), np.repeat(scores[row, entry].astype(np.int64), n), named[at]]
+                    other = answer[2] != queries[answer[0]]
+                    found.append([x[other] for x in answer])
+                if not found:
+                    break
+                if not any(len(x[0]) for x in found):
+                    continue
+                best = _merged(best, found, k)
+                have = np.bincount(best[0], minlength=len(q))
+                full = np.flatnonzero(have >= k)
+                least[full] = np.maximum(least[full], best[1][np.cumsum(have)[full] - 1])
+        return pa.table({"query_id": pa.array(queries[best[0]], pa.int64()), "vec_id": pa.array(best[2], pa.int64()), "score": pa.array(best[1], pa.int64())})
 
     return run
 

@@ -1,4 +1,7 @@
+import sys
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -64,3 +67,33 @@ def test_query_on_odd_vectors(spark, tmp_path):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     good = [(i, np.floor(64 * np.array([*v, *[0.0] * (8 - len(v))], np.float32).astype(float)).astype(int).tolist()) for i, v in rows if i not in (100, 120, 140)]
     assert got(op2_top_k(spark, str(tmp_path))) == plain(good, [r for r in good if r[0] % 20 == 0], 20)
+
+
+def test_queries_of_a_block_step_together():
+    """Calls follow the pages, not queries times pages; scores beyond doubles stay whole."""
+    random = np.random.default_rng(4)
+    for scale, spread in ((60, 7), (1 << 30, 1000)):
+        x = random.integers(-scale, scale, (4, 6))[random.integers(0, 4, 400)] + random.integers(-spread, spread, (400, 6))
+        x = np.unique(x, axis=0)
+        ceiling = float((x.astype(float) ** 2).sum(axis=1).max())
+        m = mtree._metric(x, ceiling)
+        page = mtree._paged(m, 8)
+        parts = [np.flatnonzero(page == p) for p in np.unique(page)]
+        own = [np.sqrt(((m[at] - m[at[0]]) ** 2).sum(axis=1)) for at in parts]
+        tree = pa.table({
+            "parent": [m[0].tolist() for _ in parts], "pivot": [m[at[0]].tolist() for at in parts], "radius": [float(d.max()) for d in own],
+            "to_parent": [float(np.sqrt(((m[at[0]] - m[0]) ** 2).sum())) for at in parts], "entries": [x[at].ravel().tolist() for at in parts],
+            "own": [d.tolist() for d in own], "ids": [[[int(i)] for i in at] for at in parts],
+        })
+        asked = pa.table({"query_id": pa.array(range(300), pa.int64()), "vec": x[:300].tolist(), "worst": pa.array([None] * 300, pa.int64())})
+        calls = []
+        sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+        try:
+            out = mtree._search(5)(tree, asked)
+        finally:
+            sys.setprofile(None)
+        rows = [(i, v) for i, v in enumerate(x.tolist())]
+        scores = x.astype(object) @ x.astype(object).T
+        wanted = {(i, j, int(scores[i, j])) for i in range(300) for j in sorted((j for j in range(len(rows)) if j != i), key=lambda j: (-scores[i, j], j))[:5]}
+        assert set(zip(*[out.column(c).to_pylist() for c in ("query_id", "vec_id", "score")], strict=True)) == wanted
+        assert len(calls) < 40 * len(parts) ** 2 + 400
