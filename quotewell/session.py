@@ -24,6 +24,16 @@ ADAPTIVE = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# What one task sorts or aggregates follows the bytes it is given, so shuffles
+# begin with many partitions, of which Spark joins small ones up to a size, and
+# files are read in small pieces. A task then holds as much of a large table as
+# of a small one. Values the cluster names itself stay.
+TASK_SIZES = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.files.maxPartitionBytes": "16m",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in ADAPTIVE.items():
@@ -31,6 +41,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sized(spark: SparkSession) -> SparkSession:
+    """The session with tasks of bounded size."""
+    for key, value in TASK_SIZES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 _OWN: dict[str, tempfile.TemporaryDirectory] = {}
 
 
