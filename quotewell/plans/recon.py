@@ -140,22 +140,28 @@ def digest_diff(files: DataFrame, store: DataFrame, keys: Sequence[str], session
         store = store.where(in_sessions(_clock(store), sessions))
     stored = digests(store, keys, minutes, security)
     if scope == "file_securities":
-        stored = present_in(stored, held.select(security).distinct(), [security])
+        stored = stored.where(F.col(security).isNotNull())
     names = list(block_columns(keys, minutes, security))
-    sums = ["n", "_d1", "_d2", "_d3", "_d4"]
+    sums = ["_d1", "_d2", "_d3", "_d4"]
+    zero = F.lit(0).cast("bigint")
     sides = [
-        x.select(*names, *[(F.col(c) * sign).alias(c) for c in sums], F.when(F.lit(sign) > 0, F.col("n")).otherwise(0).alias("n_file"), F.when(F.lit(sign) < 0, F.col("n")).otherwise(0).alias("n_store"))
-        for x, sign in ((held, 1), (stored, -1))
+        held.select(*names, *sums, F.col("n").alias("n_file"), zero.alias("n_store")),
+        stored.select(*names, *[(-F.col(c)).alias(c) for c in sums], zero.alias("n_file"), F.col("n").alias("n_store")),
     ]
     met = sides[0].unionByName(sides[1]).groupBy(*names).agg(*[F.sum(c).alias(c) for c in (*sums, "n_file", "n_store")])
-    same = reduce(lambda a, c: a & (F.col(c) == 0), sums, F.lit(True))
+    same = reduce(lambda a, c: a & (F.col(c) == 0), sums, F.col("n_file") == F.col("n_store"))
     blocks = sinks.written(met.select(*names, "n_file", "n_store", same.alias("same")), "blocks")
+    if scope == "file_securities":
+        # blocks of the files name a security of the files; only blocks of the store alone are looked up
+        alone = present_in(blocks.where("n_file = 0"), held.select(security).distinct(), [security])
+        blocks = blocks.where("n_file > 0").unionByName(sinks.written(alone, "store-blocks"))
     differ = blocks.where(~F.col("same")).select(*[F.col(c).alias(f"_b_{c}") for c in names])
 
     def in_doubt(df: DataFrame) -> DataFrame:
-        own = df.select(*keys, *[c.alias(f"_o_{n}") for n, c in block_columns(keys, minutes, security).items()])
-        match = reduce(lambda a, n: a & F.col(f"_o_{n}").eqNullSafe(F.col(f"_b_{n}")), names, F.lit(True))
-        return own.join(differ, match, "left_semi").select(*keys)
+        own = {n: n if n in keys else f"_o_{n}" for n in names}
+        rows = df.select(*keys, *[c.alias(own[n]) for n, c in block_columns(keys, minutes, security).items() if n not in keys])
+        match = reduce(lambda a, n: a & F.col(own[n]).eqNullSafe(F.col(f"_b_{n}")), names, F.lit(True))
+        return rows.join(differ, match, "left_semi").select(*keys)
 
     counts = _counted(in_doubt(files), in_doubt(store), keys)
     return DigestDiff(blocks, counts)
