@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET, BITS = "bucket", "bits"
+ROWS = 1 << 16  # numbers a task builds bitmaps of: scattered ones take 4 KB each
 
 
 def place(number: Column) -> tuple[Column, Column]:
@@ -21,10 +22,14 @@ def place(number: Column) -> tuple[Column, Column]:
 
 
 def number_bitmaps(df: DataFrame, number: str, by: Sequence[str]) -> DataFrame:
-    """by..., bucket, bits: the numbers of each group as bitmaps, nulls left out."""
+    """by..., bucket, bits: the numbers of each group as bitmaps, nulls left out.
+    The rows are counted, and dealt by bitmap where one task would hold too many."""
     bucket, bit = place(F.col(number).cast("bigint"))
-    known = df.where(F.col(number).isNotNull())
-    return known.groupBy(*by, bucket.alias(BUCKET)).agg(F.bitmap_construct_agg(bit).alias(BITS))
+    known = df.where(F.col(number).isNotNull()).select(*by, bucket.alias(BUCKET), bit.alias("_bit"))
+    tasks = -(-known.count() // ROWS)
+    if tasks > 1:
+        known = known.repartition(tasks, F.xxhash64(*by, BUCKET))
+    return known.groupBy(*by, BUCKET).agg(F.bitmap_construct_agg("_bit").alias(BITS))
 
 
 def merged_bitmaps(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -186,3 +186,11 @@ def test_bitmap_rule_by_channel_shuffles_bitmaps(spark, rows):
     out = bitmaps.number_bitmaps(orders, "applseqnum", ["trade_date"])
     plan = executed(out)
     assert plan.index("Exchange hashpartitioning(trade_date") < plan.index("partial_bitmap_construct_agg")  # below: built before the shuffle
+
+
+def test_scattered_numbers_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(bitmaps, "ROWS", 50)
+    df = spark.range(0, 400, 1, 1).select(F.lit(1).alias("d"), (F.col("id") * 40000).alias("v"))
+    sets = bitmaps.number_bitmaps(df, "v", ["d"])
+    assert "REPARTITION_BY_NUM" in executed(sets)  # one task of a file built a bitmap of 4 KB for each of its rows
+    assert sets.agg(F.sum(F.bitmap_count("bits"))).first()[0] == 400 and bitmaps.rows_outside(df, "v", sets, ["d"]).isEmpty()
