@@ -653,8 +653,9 @@ join (select trade_date, securityid, max(cast(totalvolumetrade as bigint)) as to
 
 @query("rule_report_sh", _RULE, _REPORT_SQL_SH)
 def rule_report_sh(t):
-    """The report of that format, with its volumes. Books and snapshots are one file there."""
-    snap = feed(t, "snap", "sh")
+    """The report of that format, with its volumes. Books and snapshots are one file there,
+    which is made and parsed once for all its rules."""
+    snap = sinks.written(feed(t, "snap", "sh").select(*rules.SNAP_READ), "snap-sh")
     return rules.report({"snap": snap, "snap_level": snap, "trade": feed(t, "trade", "sh")}, "sh", volumes=True)
 
 

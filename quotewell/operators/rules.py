@@ -37,6 +37,13 @@ def levels(stem: str, depth: int = DEPTH) -> list[str]:
     return [f"{stem}{i}" for i in range(1, depth + 1)]
 
 
+# What the rules read of snapshots and books, where one file holds both.
+SNAP_READ = [
+    DAY, SECURITY, "ts", "clock", *SNAP_PRICES, *COUNTERS,
+    *[c for stem in ("bidpx", "bidsize", "offerpx", "offersize") for c in levels(stem)],
+]
+
+
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names]
 

@@ -36,3 +36,19 @@ def test_values_of_the_cluster_stay(plain):
     sized(plain)
     assert plain.conf.get("spark.sql.files.maxPartitionBytes") == "3m"
     assert plain.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
+
+
+def test_the_sh_file_is_made_once_for_all_rules(plain, tmp_path):
+    at = F.lit("2020-01-02 00:00:00").cast("timestamp_ntz")
+    orders = plain.range(8).select(
+        F.col("id").alias("o_orderkey"), F.lit(3).cast("bigint").alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        (F.col("id") * 100.0).alias("o_totalprice"), at.alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"))
+    lines = plain.range(8).select(
+        F.col("id").alias("l_orderkey"), F.lit(3).cast("bigint").alias("l_partkey"), F.lit(1).cast("bigint").alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.lit(9.0).alias("l_quantity"), F.lit(70.0).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"),
+        F.lit("A").alias("l_returnflag"), F.lit("F").alias("l_linestatus"), at.alias("l_shipdate"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    report = queries()["rule_report_sh"](plain, str(tmp_path))
+    assert "o_orderkey" not in report._jdf.queryExecution().optimizedPlan().toString()  # nine times before
+    assert {r.rule: r.n for r in report.collect()}["rows:snap"] == 8
