@@ -32,6 +32,8 @@ TASK_SIZES = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.files.maxPartitionBytes": "16m",
+    # Folders are listed by at most so many tasks, not by one each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "100",
 }
 
 

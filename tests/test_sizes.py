@@ -52,3 +52,15 @@ def test_the_sh_file_is_made_once_for_all_rules(plain, tmp_path):
     report = queries()["rule_report_sh"](plain, str(tmp_path))
     assert "o_orderkey" not in report._jdf.queryExecution().optimizedPlan().toString()  # nine times before
     assert {r.rule: r.n for r in report.collect()}["rows:snap"] == 8
+
+
+def test_many_folders_are_listed_by_few_tasks(plain, tmp_path):
+    path = str(tmp_path / "by")
+    plain.range(0, 150, 1, 1).withColumn("securityid", F.col("id")).write.partitionBy("securityid").parquet(path)
+    context = plain.sparkContext
+    context.setJobGroup("listing", "")
+    sized(plain).read.schema("id long, securityid long").parquet(path).inputFiles()
+    seen = context.statusTracker()
+    stages = [s for j in seen.getJobIdsForGroup("listing") for s in seen.getJobInfo(j).stageIds]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert max(seen.getStageInfo(s).numTasks for s in stages) == 100  # a task a folder before
