@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
-from os.path import commonprefix
 from pathlib import Path
 
 import numpy as np
@@ -21,12 +22,24 @@ from quotewell.llm.common import packed, read, small_batches, unpacked
 
 # Fixed value: how the vocabulary cuts a text into words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_FAR = re.compile("[\U00010000-\U0010ffff]")
 _FINDALL_CHARS = 1 << 20  # longer texts are cut into words a part at a time
 _PART_WORDS = 1 << 17
-_KEEP_WORDS = 1 << 19  # words remembered per worker; then it starts anew
+_KEEP_WORDS = 1 << 19  # words, and steps, remembered per worker; then it starts anew
 _KEEP_CHARS = 64  # longer words are encoded again each time
 
 
+def _near_words() -> re.Pattern[str]:
+    """WORDS for texts without characters beyond 16 bits, in Python's faster re: the classes are the characters that WORDS takes for them."""
+    signs = "".join(map(chr, [*range(0xD800), *range(0xE000, 1 << 16)]))
+    ranges = lambda kind: "".join(f"\\u{ord(m[0][0]):04x}-\\u{ord(m[0][-1]):04x}" for m in regex.finditer(kind, signs))
+    letters, numbers, spaces = ranges(r"\p{L}+"), ranges(r"\p{N}+"), ranges(r"\s+")
+    return re.compile(f" ?[{letters}]+|'(?:[stmd]|re|ve|ll)| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+|[{spaces}]+(?![^{spaces}])|[{spaces}]+")
+
+
+NEAR_WORDS = _near_words()
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -48,6 +61,10 @@ class Encoder:
     the last token of what comes before it. Sorted words are the trie in
     depth-first order, so the last tokens of the prefix a word shares with the
     one before it are still at hand, and only the rest of the word is new.
+
+    The entries at the end of a prefix follow from its place: the longest end of
+    it with which an entry starts. A step from place to place by one byte is
+    found once and remembered, with those entries, the longest first.
     """
 
     def __init__(self, path: str, data: bytes | None = None):
@@ -67,15 +84,17 @@ class Encoder:
             a, b = self.ids[as_bytes(left)], self.ids[as_bytes(right)]
             self.merge_rank[a, b] = rank
             self.parts.setdefault(self.ids[as_bytes(left + right)], (a, b, rank))
-        ends: dict[bytes, set[int]] = {}
-        for token in self.ids:
-            if len(token) > 2:
-                ends.setdefault(token[-3:], {1, 2}).add(len(token))
-        # The last three bytes of a prefix: the lengths its last token may have.
-        self.ends = {end: sorted(lengths, reverse=True) for end, lengths in ends.items()}
+        self.after: dict[int, dict[int, int]] = {}  # by left token: the ranks of its merges
+        for (x, y), rank in self.merge_rank.items():
+            self.after.setdefault(x, {})[y] = rank
+        self.names = list({b""} | {token[:n] for token in self.ids for n in range(1, len(token) + 1)})
+        self.places = {name: i for i, name in enumerate(self.names)}
+        self.steps: dict[int, tuple[int, tuple[tuple[int, int], ...]]] = {}
         self.follows: dict[tuple[int, int], bool] = {}
         self.spines: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        # The ids of a word as the bytes of 32-bit integers; special tokens stand for themselves.
+        self.special_words = {i: array("i", [i]).tobytes() for i in self.special.values()}
+        self.known: dict[str | int, bytes] = dict(self.special_words)
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens at one edge (0 first, 1 last) while `token` is built, each with the rank of the merge that ends it."""
@@ -93,29 +112,48 @@ class Encoder:
         """Whether a b stay two tokens: no merge across their border comes before the ones inside them, the left first at equal rank."""
         out = self.follows.get((a, b))
         if out is None:
-            rank = self.merge_rank.get
+            right = self._spine(b, 0)
             out = not any(
-                (m := rank((x, y))) is not None and m < x_ends and m <= y_ends
-                for x, x_ends in self._spine(a, 1) for y, y_ends in self._spine(b, 0)
+                (m := ranks.get(y)) is not None and m < x_ends and m <= y_ends
+                for x, x_ends in self._spine(a, 1) if (ranks := self.after.get(x)) for y, y_ends in right
             )
             if len(self.follows) > 4 * _KEEP_WORDS:
                 self.follows.clear()
             self.follows[a, b] = out
         return out
 
-    def _walk(self, words: list[bytes]) -> Iterator[tuple[int, ...]]:
-        """The encodings of sorted words."""
-        token_of, lengths_of, known, ask = self.ids.get, self.ends.get, self.follows.get, self.may_follow
+    def _step(self, key: int) -> tuple[int, tuple[tuple[int, int], ...]]:
+        """From place key >> 8 by byte key & 255: the next place, and length and id of each entry that ends there."""
+        seen = self.names[key >> 8] + bytes([key & 255])
+        while seen not in self.places:
+            seen = seen[1:]
+        ends = (seen[i:] for i in range(len(seen)))
+        out = self.places[seen], tuple((len(end), self.ids[end]) for end in ends if end in self.ids)
+        if len(self.steps) > _KEEP_WORDS:
+            self.steps.clear()
+        self.steps[key] = out
+        return out
+
+    def _walk(self, words: Iterable[bytes]) -> Iterator[bytes]:
+        """The encodings of sorted words, as the bytes of 32-bit integers."""
+        step_of, new_step, known, ask = self.steps.get, self._step, self.follows.get, self.may_follow
         last: list[int] = [-1]  # by prefix length: its last token
-        size: list[int] = [0]  # and that token's length
+        size: list[int] = [0]  # that token's length
+        places: list[int] = [self.places[b""]]  # and the prefix's place
         before = b""
         for word in words:
-            shared = len(commonprefix((before, word)))
-            del last[shared + 1 :], size[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                for n in lengths_of(word[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
-                    if n > end or (token := token_of(word[end - n : end])) is None:
-                        continue
+            end = 0
+            for x, y in zip(before, word):  # noqa: B905
+                if x != y:
+                    break
+                end += 1
+            del last[end + 1 :], size[end + 1 :], places[end + 1 :]
+            place = places[end]
+            for byte in word[end:]:
+                end += 1
+                key = place << 8 | byte
+                place, choices = step_of(key) or new_step(key)
+                for n, token in choices:
                     if n == end:
                         break
                     pair = (last[end - n], token)
@@ -127,46 +165,47 @@ class Encoder:
                     raise ValueError(f"no token ends {word[:end]!r}")
                 last.append(token)
                 size.append(n)
-            out, end = [], len(word)
+                places.append(place)
+            out = []
             while end:
                 out.append(last[end])
                 end -= size[end]
             before = word
-            yield tuple(reversed(out))
+            out.reverse()
+            yield array("i", out).tobytes()
 
-    def learn(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """A table with the encodings of all these words."""
-        new = sorted({w.encode() for w in words if w not in self.known})
+    def learn(self, words: set[str | int]) -> list[str]:
+        """Puts the encodings of all these words into the table; gives back the long ones, which are not to stay there."""
+        new = words.difference(self.known)
         if len(self.known) + len(new) > _KEEP_WORDS:
-            self.known = {}
-            new = sorted({w.encode() for w in words})
-        fresh = dict(zip((w.decode() for w in new), self._walk(new), strict=True))
-        self.known |= {w: t for w, t in fresh.items() if len(w) <= _KEEP_CHARS}
-        return {**self.known, **fresh} if any(len(w) > _KEEP_CHARS for w in fresh) else self.known
+            self.known = dict(self.special_words)
+            new = words.difference(self.known)
+        order = sorted(new)
+        self.known.update(zip(order, self._walk(w.encode() for w in order), strict=True))
+        return [w for w in order if len(w) > _KEEP_CHARS]
 
     def words(self, text: str, special: bool = True) -> Iterator[list[str | int]]:
         """The words of a text in lists of bounded length; ids of special tokens stand as ints if `special`."""
         for piece in self.split_special.split(text) if special and self.split_special else [text]:
             if special and piece in self.special:
                 yield [self.special[piece]]
-            elif len(piece) <= _FINDALL_CHARS:
-                yield WORDS.findall(piece)
+                continue
+            pattern = NEAR_WORDS if piece.isascii() or not _FAR.search(piece) else WORDS
+            if len(piece) <= _FINDALL_CHARS:
+                yield pattern.findall(piece)
             else:
-                found = WORDS.finditer(piece)
+                found = pattern.finditer(piece)
                 while part := [m.group() for m in islice(found, _PART_WORDS)]:
                     yield part
 
     def encode(self, texts: list[str | None], special: bool = True) -> list[np.ndarray]:
         """Token ids of each text; a null text has none."""
         cut = [list(self.words(t or "", special)) for t in texts]
-        table = self.learn({w for parts in cut for part in parts for w in part if type(w) is str})
-        get = lambda w: table[w] if type(w) is str else (w,)
-        return [
-            np.fromiter(chain.from_iterable(chain.from_iterable(
-                map(table.__getitem__, part) if part and type(part[0]) is str else map(get, part) for part in parts
-            )), dtype=np.int32)
-            for parts in cut
-        ]
+        long = self.learn(set(chain.from_iterable(chain.from_iterable(cut))))
+        found = [np.frombuffer(b"".join(map(self.known.__getitem__, chain.from_iterable(parts))), np.int32) for parts in cut]
+        for word in long:
+            del self.known[word]
+        return found
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")

@@ -38,6 +38,38 @@ def test_any_text(text):
     assert (ids, OWN.decode(ids)) == library(text)
 
 
+class Asked(dict):
+    def __contains__(self, key):
+        raise AssertionError(f"{key} was looked up again")
+
+    __getitem__ = get = __contains__
+
+
+def test_steps_are_found_once(monkeypatch):
+    texts = ["the then thereafter, thatched", "Ördnung überall, 12345 niños!", "日本語テキスト"]
+    own = Encoder(default_tokenizer())
+    ids = [x.tolist() for x in own.encode(texts)]
+    own.known = {}
+    monkeypatch.setattr(own, "ids", Asked(own.ids))
+    assert [x.tolist() for x in own.encode(texts)] == ids == [library(t)[0] for t in texts]
+
+
+def test_words_of_every_character():
+    signs = [chr(i) for i in [*range(0xD800), *range(0xE000, 1 << 16), *range(0x1F600, 0x1F650), 0x10000, 0x10FFFF]]
+    for shape in ("a{0}b {0}1{0} {0} {0}{0}, {0}", "{0}", "'{0}'s  {0}\n{0}'re "):
+        for c in signs:
+            assert [*OWN.words(shape.format(c))] == [module.WORDS.findall(shape.format(c))]
+
+
+def test_vocabulary_without_some_bytes(tmp_path):
+    path = tmp_path / "small.json"
+    path.write_text('{"model": {"vocab": {"a": 0, "b": 1, "ab": 2, "aba": 3}, "merges": ["a b", "ab a"]}, "added_tokens": []}')
+    own = Encoder(str(path))
+    assert [x.tolist() for x in own.encode(["ababab", None, "aba"])] == [[2, 2, 2], [], [3]]
+    with pytest.raises(ValueError):
+        own.encode(["abc"])
+
+
 def test_long_texts_and_forgetting(monkeypatch):
     monkeypatch.setattr(module, "_FINDALL_CHARS", 40)
     monkeypatch.setattr(module, "_PART_WORDS", 3)
